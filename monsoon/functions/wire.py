@@ -24,7 +24,14 @@ def decoded(value: Column, schema: T.StructType) -> Column:
     return F.from_json(from_bytes(value), schema)
 
 
-def json_object(text: Column, ddl: str) -> Column:
-    """Parse text that is one JSON object; NULL for anything else."""
-    bare = F.trim(text)
-    return F.from_json(F.when(bare.startswith("{") & bare.endswith("}"), bare), ddl)
+def json_document(text: Column) -> Column:
+    """Parse text that is one JSON object; NULL for anything else.
+
+    The result is a variant: reading a field gives NULL if it is absent, and a variant
+    null if it is there with null.
+    """
+    return F.when(F.rtrim(text).endswith("}"), F.try_parse_json(text))
+
+
+def field(document: Column, name: str, type_name: str = "variant") -> Column:
+    return F.try_variant_get(document, f"$.{name}", type_name)

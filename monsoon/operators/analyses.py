@@ -79,13 +79,18 @@ def extreme_total(observations: DataFrame, limits: Column | None = None) -> Data
 
 
 def hourly_trend(observations: DataFrame, view: str = "weather_api") -> DataFrame:
-    """Mean temperature and events per hour of day over all cities, as SQL on the view."""
+    """Mean temperature and events per hour of day over all cities, as SQL on the view.
+
+    Events of unknown time form one group, which the HAVING clause drops. As a WHERE
+    clause the same test would parse every time a second time.
+    """
     register_view(observations, view)
     return observations.sparkSession.sql(
         f"""
         SELECT jam, round(avg(temperature), 2) AS suhu_avg, count(*) AS jumlah_event
-        FROM (SELECT hour(ts_obj) AS jam, temperature FROM {view} WHERE ts_obj IS NOT NULL)
+        FROM (SELECT hour(ts_obj) AS jam, temperature FROM {view})
         GROUP BY jam
+        HAVING count(jam) > 0
         ORDER BY jam
         """
     )
@@ -132,9 +137,15 @@ def coldest_hour(observations: DataFrame) -> DataFrame:
 
 def flush_batches(observations: DataFrame, seconds: int = S.FLUSH_SECONDS) -> DataFrame:
     """Events per flush interval; an interval without events has no row."""
+    batch = F.floor(F.unix_seconds("ts_obj") / seconds)
     return (
         with_event_time(observations)
-        .groupBy(F.window("ts_obj", f"{seconds} seconds").alias("batch"))
-        .agg(F.count(F.lit(1)).alias("jumlah_event"))
-        .select(plain_text(F.col("batch.start")).alias("batch_start"), "jumlah_event")
+        .select(batch.alias("batch"))
+        .groupBy("batch")
+        .agg(F.count("batch").alias("timed"), F.count(F.lit(1)).alias("jumlah_event"))
+        .filter(F.col("timed") > 0)
+        .select(
+            plain_text(F.timestamp_seconds(F.col("batch") * seconds)).alias("batch_start"),
+            "jumlah_event",
+        )
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.functions.clock import iso_text
-from monsoon.functions.wire import json_object
+from monsoon.functions.wire import field, json_document
 from monsoon.sources.dimensions import cities
 
 _REASON = "alasan"
@@ -27,42 +27,40 @@ def attach_city(raw: DataFrame, city_table: DataFrame | None = None) -> DataFram
     return raw.join(names, "kode", "left")
 
 
-def _missing_field(current: Column) -> Column:
-    """An absent field; a field present with null is not missing."""
-    return ~reduce(
-        lambda a, b: a & b, (F.map_contains_key(current, name) for name in S.RESPONSE_FIELDS)
-    )
-
-
 def checked_responses(raw: DataFrame, city_table: DataFrame | None = None) -> DataFrame:
-    """Answers with the parsed ``current`` object and the reason for rejection, if any.
+    """Answers with their parsed body and the reason for rejection, if any.
 
-    Parsing into a map keeps absent and null apart, which a struct does not. One parse
-    serves the checks and the values.
+    A field that is there with null is accepted, an absent one is not. The parsed body
+    passes through a generator, below which no filter is pushed; otherwise each use of
+    it in a filter would become a parse of its own.
     """
-    parsed = attach_city(raw, city_table).withColumn(
-        "current", json_object(F.col("body"), "current MAP<STRING, STRING>")["current"]
+    answer = F.col("answer")
+    present = reduce(
+        lambda a, b: a & b,
+        (field(answer, f"current.{name}").isNotNull() for name in S.RESPONSE_FIELDS),
     )
-    current = F.col("current")
-    return parsed.withColumn(
-        _REASON,
-        F.when(F.col("body").isNull(), "no_answer")
-        .when(current.isNull(), "no_current")
-        .when(_missing_field(current), "missing_field")
-        .when(F.col("nama_kota").isNull(), "unknown_city"),
+    return (
+        attach_city(raw, city_table)
+        .select("*", F.inline(F.array(F.struct(json_document(F.col("body")).alias("answer")))))
+        .withColumn(
+            _REASON,
+            F.when(F.col("body").isNull(), "no_answer")
+            .when(field(answer, "current").isNull(), "no_current")
+            .when(~present, "missing_field")
+            .when(F.col("nama_kota").isNull(), "unknown_city"),
+        )
     )
 
 
 def observations(checked: DataFrame, *keep: str) -> DataFrame:
     """The accepted answers in the shape of an event."""
-    current = F.col("current")
-    types = {field.name: field.dataType for field in S.OBSERVATION}
+    types = {f.name: f.dataType.simpleString() for f in S.OBSERVATION}
     return checked.filter(F.col(_REASON).isNull()).select(
         *keep,
         F.col("kode").alias("kode_kota"),
         "nama_kota",
         *(
-            current[source].try_cast(types[name]).alias(name)
+            field(F.col("answer"), f"current.{source}", types[name]).alias(name)
             for source, name in S.RESPONSE_FIELDS.items()
         ),
         iso_text(F.col("fetched_at")).alias("timestamp"),

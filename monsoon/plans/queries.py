@@ -126,7 +126,7 @@ def feed_entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weather_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "bus")
-    events = tables.as_observations(tables.read(spark, sf_dir, "events"))
+    events = tables.as_observations(tables.read(spark, sf_dir, "events"), "ts")
     publish(
         weather_messages(
             events, F.col("event_id"), F.col("ts"), BUS_PARTITIONS, extra=("event_id",)

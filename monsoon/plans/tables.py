@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monsoon import schemas as S
-from monsoon.functions.clock import plain_text
 from monsoon.functions.text import prefix
 from monsoon.functions.wire import KEEP_NULLS
 
@@ -21,59 +22,57 @@ EVENTS = S.shape(
 )
 DOCUMENTS = S.shape(doc_id=S.WHOLE, text=S.TEXT, lang=S.TEXT, source=S.TEXT, n_chars=S.WHOLE)
 
+TABLES = {"events": EVENTS, "documents": DOCUMENTS}
+
 DOCS_PER_POLL = 100
 FIRST_ARRIVAL = 1704067200  # 2024-01-01 00:00:00 UTC
 ENTRY_COLUMNS = ["title", "link", "description", "pubDate"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
+def read_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # The bracket makes this a pattern, which a file stream accepts for a table of
     # one file as well as for a directory.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return spark.readStream.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parque[t]")
+
 
+def _quoted(values: Iterable[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
-def as_observations(events: DataFrame) -> DataFrame:
+
+def as_observations(events: DataFrame, *keep: str) -> DataFrame:
     """Events as observations of the six cities: both time layouts, unknown
     temperatures, unreadable and missing times all occur."""
-    numbered = ", ".join(f"({i}L, '{k}', '{n}')" for i, (k, n, _, _) in enumerate(S.CITIES))
-    city = events.sparkSession.sql(
-        f"SELECT * FROM VALUES {numbered} AS city(idx, kode_kota, nama_kota)"
-    )
-    n = F.col("event_id")
-    return events.join(F.broadcast(city), F.col("user_id") % 6 == F.col("idx")).select(
+    return events.filter("user_id % 6 BETWEEN 0 AND 5").selectExpr(
         "event_id",
-        "ts",
-        "kode_kota",
-        "nama_kota",
-        F.when(n % 97 == 0, None)
-        .otherwise((200 + (n * 7) % 180).cast("double") / 10.0)
-        .alias("temperature"),
-        (40 + (n * 13) % 55).cast("double").alias("humidity"),
-        (F.col("value") / 10.0).alias("wind_speed"),
-        (F.col("user_id") % 100).alias("weather_code"),
-        F.when(n % 89 == 0, "garbage")
-        .when(n % 83 == 0, None)
-        .when(n % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-        .otherwise(plain_text(F.col("ts")))
-        .alias("timestamp"),
+        *keep,
+        f"get(array({_quoted(code for code, *_ in S.CITIES)}), int(user_id % 6)) AS kode_kota",
+        f"get(array({_quoted(name for _, name, *_ in S.CITIES)}), int(user_id % 6)) AS nama_kota",
+        "IF(event_id % 97 = 0, NULL, double(200 + event_id * 7 % 180) / 10D) AS temperature",
+        "double(40 + event_id * 13 % 55) AS humidity",
+        "value / 10D AS wind_speed",
+        "user_id % 100 AS weather_code",
+        """CASE WHEN event_id % 89 = 0 THEN 'garbage'
+                WHEN event_id % 83 = 0 THEN NULL
+                WHEN event_id % 2 = 0 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS `timestamp`""",
     )
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_observations(read(spark, sf_dir, "events")).drop("ts")
+    return as_observations(read(spark, sf_dir, "events"))
 
 
 def observations_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_observations(read_stream(spark, sf_dir, "events", EVENTS))
+    return as_observations(read_stream(spark, sf_dir, "events"), "ts")
 
 
 def as_responses(events: DataFrame) -> DataFrame:
     """The observations as landed answers, some of them failed in each possible way."""
-    obs = as_observations(events)
+    obs = as_observations(events, "ts")
     fields = [F.col(name).alias(source) for source, name in S.RESPONSE_FIELDS.items()]
     whole = F.struct(F.struct(*fields).alias("current"))
     partial = F.struct(F.struct(*fields[1:]).alias("current"))
@@ -96,7 +95,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_responses(read_stream(spark, sf_dir, "events", EVENTS))
+    return as_responses(read_stream(spark, sf_dir, "events"))
 
 
 def _arrival(seconds: Column) -> Column:
@@ -129,7 +128,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_candidates(read_stream(spark, sf_dir, "documents", DOCUMENTS))
+    return as_candidates(read_stream(spark, sf_dir, "documents"))
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
