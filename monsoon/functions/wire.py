@@ -6,20 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monsoon.functions.text import from_bytes, to_bytes
+from monsoon.functions.text import from_bytes
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def json_text(*columns: str) -> Column:
-    """The named columns as one JSON object, NULL fields written out."""
+def json_text(*columns: Column | str) -> Column:
+    """The columns as one JSON object, NULL fields written out."""
     return F.to_json(F.struct(*columns), KEEP_NULLS)
 
 
-def json_bytes(*columns: str) -> Column:
-    return to_bytes(json_text(*columns))
-
-
 def decoded(value: Column, schema: T.StructType) -> Column:
     return F.from_json(from_bytes(value), schema)
 

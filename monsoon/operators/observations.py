@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monsoon import schemas as S
@@ -52,23 +52,37 @@ def checked_responses(raw: DataFrame, city_table: DataFrame | None = None) -> Da
     )
 
 
-def observations(checked: DataFrame, *keep: str) -> DataFrame:
-    """The accepted answers in the shape of an event."""
+def observation_columns() -> list[Column]:
+    """The fields of an event, read from a checked answer."""
     types = {f.name: f.dataType.simpleString() for f in S.OBSERVATION}
-    return checked.filter(F.col(_REASON).isNull()).select(
-        *keep,
+    return [
         F.col("kode").alias("kode_kota"),
-        "nama_kota",
+        F.col("nama_kota"),
         *(
             field(F.col("answer"), f"current.{source}", types[name]).alias(name)
             for source, name in S.RESPONSE_FIELDS.items()
         ),
         iso_text(F.col("fetched_at")).alias("timestamp"),
-    )
+    ]
+
+
+def rejected_columns() -> list[Column]:
+    """A rejected answer, whole, with its reason."""
+    return [
+        F.col("kode"),
+        F.col("body"),
+        iso_text(F.col("fetched_at")).alias("fetched_at"),
+        F.col(_REASON),
+    ]
+
+
+def is_accepted() -> Column:
+    return F.col(_REASON).isNull()
+
+
+def observations(checked: DataFrame, *keep: str) -> DataFrame:
+    return checked.filter(is_accepted()).select(*keep, *observation_columns())
 
 
 def rejected(checked: DataFrame, *keep: str) -> DataFrame:
-    """The other answers, whole, each with its reason."""
-    return checked.filter(F.col(_REASON).isNotNull()).select(
-        *keep, "kode", "body", "fetched_at", _REASON
-    )
+    return checked.filter(~is_accepted()).select(*keep, *rejected_columns())

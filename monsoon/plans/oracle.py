@@ -288,6 +288,7 @@ def statements() -> dict[str, str]:
             WITH {W} SELECT CAST(CAST(ts_obj AS DATE) AS VARCHAR) AS event_date,
               COUNT(*) AS jumlah_event FROM t GROUP BY 1""",
         "stream_observations": ACCEPTED,
+        "stream_rejected": REJECTED,
         "stream_store": events,
         "stream_dedup": f"WITH {N} SELECT link FROM f",
         "stream_first_seen": f"WITH {N} SELECT doc_id, {S2} FROM f",

@@ -18,14 +18,14 @@ from monsoon.operators import report as R
 from monsoon.operators.current import current_conditions
 from monsoon.plans import tables
 from monsoon.session import ROCKSDB, scratch, using
-from monsoon.sinks.bus import news_messages, publish, weather_messages
+from monsoon.sinks.bus import answer_messages, news_messages, publish, weather_messages
 from monsoon.sinks.results import write_curated, write_json
 from monsoon.sources.bus import messages, peek, read_topic
 from monsoon.sources.feeds import feed_entries, feed_summaries
 from monsoon.sources.inventory import stored_files
 from monsoon.sources.weather import weather_files
 from monsoon.streaming.dedup import distinct_links, first_seen_stream
-from monsoon.streaming.publish import publish_stream, store_rejects
+from monsoon.streaming.publish import publish_stream
 from monsoon.streaming.store import store_stream
 from monsoon.streaming.triggers import DRAIN
 
@@ -61,8 +61,7 @@ def observations_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = O.checked_responses(tables.responses(spark, sf_dir))
-    return O.rejected(checked, "event_id").withColumn("fetched_at", iso_text(F.col("fetched_at")))
+    return O.rejected(O.checked_responses(tables.responses(spark, sf_dir)), "event_id")
 
 
 # --- News -----------------------------------------------------------------------
@@ -177,22 +176,26 @@ def stored_rows_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams, drained -----------------------------------------------------------
 
 
-def stream_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed answers to the bus as a stream, rejected ones to their own table."""
-    path = scratch(spark, "ingest")
+def _stream_answers(spark: SparkSession, sf_dir: str) -> str:
+    """Landed answers to the bus as one stream."""
+    path = scratch(spark, "answers")
     checked = O.checked_responses(tables.responses_stream(spark, sf_dir))
-    accepted = O.observations(checked, "event_id", "fetched_at")
-    sent = publish_stream(
-        weather_messages(accepted, F.col("event_id"), F.col("fetched_at"), extra=("event_id",)),
-        f"{path}/bus-checkpoint",
+    publish_stream(
+        answer_messages(checked, F.col("event_id"), extra=("event_id",)),
+        f"{path}/checkpoint",
         f"{path}/bus",
-    )
-    kept = store_rejects(
-        O.rejected(checked, "event_id"), f"{path}/rejects", f"{path}/rejects-checkpoint"
-    )
-    sent.awaitTermination()
-    kept.awaitTermination()
-    return messages(read_topic(spark, S.TOPIC_WEATHER, f"{path}/bus"), EVENT)
+    ).awaitTermination()
+    return f"{path}/bus"
+
+
+def stream_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bus = read_topic(spark, S.TOPIC_WEATHER, _stream_answers(spark, sf_dir))
+    return messages(bus, EVENT)
+
+
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bus = read_topic(spark, S.TOPIC_REJECTED, _stream_answers(spark, sf_dir))
+    return messages(bus, T.StructType([*EVENT_ID.fields, *S.REJECTED.fields]))
 
 
 def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +286,7 @@ def registry() -> dict[str, Query]:
         "file_inventory": file_inventory,
         "stored_rows_per_day": stored_rows_per_day,
         "stream_observations": stream_observations,
+        "stream_rejected": stream_rejected,
         "stream_store": stream_store,
         "stream_dedup": stream_dedup,
         "stream_first_seen": stream_first_seen,

@@ -31,6 +31,8 @@ ARTICLE = shape(
 
 RAW_RESPONSE = shape(kode=TEXT, body=TEXT, fetched_at=INSTANT)
 
+REJECTED = shape(kode=TEXT, body=TEXT, fetched_at=TEXT, alasan=TEXT)
+
 RAW_FEED = shape(feed_ord=T.IntegerType(), feed_url=TEXT, xml=TEXT, fetched_at=INSTANT)
 
 FEED_DOCUMENT = shape(
@@ -71,6 +73,7 @@ FEEDS = [
 
 TOPIC_WEATHER = "weather-api"
 TOPIC_NEWS = "weather-rss"
+TOPIC_REJECTED = "weather-api-rejected"  # ours: answers that are no observation
 
 POLL_WEATHER_SECONDS = 600
 POLL_NEWS_SECONDS = 300

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.functions.text import link_key, to_bytes
-from monsoon.functions.wire import json_bytes
+from monsoon.functions.wire import json_text
+from monsoon.operators.observations import is_accepted, observation_columns, rejected_columns
 from monsoon.sources.bus import partition_of
 
 
 def to_messages(
     events: DataFrame,
-    topic: str,
+    topic: Column,
     key: Column,
-    fields: list[str],
+    value: Column,
     seq: Column,
     sent_at: Column,
     partitions: int = 1,
@@ -27,12 +28,12 @@ def to_messages(
     each partition through one task.
     """
     return events.select(
-        F.lit(topic).alias("topic"),
+        topic.alias("topic"),
         partition_of(key, partitions).alias("partition"),
         seq.cast("bigint").alias("offset"),
         sent_at.cast("timestamp").alias("timestamp"),
         to_bytes(key).alias("key"),
-        json_bytes(*fields).alias("value"),
+        to_bytes(value).alias("value"),
     )
 
 
@@ -40,13 +41,25 @@ def weather_messages(
     events: DataFrame, seq: Column, sent_at: Column, partitions: int = 1, extra: tuple = ()
 ) -> DataFrame:
     """Weather events keyed by city, so one city stays in one partition."""
+    value = json_text(*extra, *S.OBSERVATION.names)
+    topic = F.lit(S.TOPIC_WEATHER)
+    return to_messages(events, topic, F.col("kode_kota"), value, seq, sent_at, partitions)
+
+
+def answer_messages(
+    checked: DataFrame, seq: Column, partitions: int = 1, extra: tuple = ()
+) -> DataFrame:
+    """Checked answers: observations to the weather topic, the others to a topic of
+    their own. One parse of each answer and one stream serve both."""
+    event = json_text(*extra, *observation_columns())
+    refusal = json_text(*extra, *rejected_columns())
     return to_messages(
-        events,
-        S.TOPIC_WEATHER,
-        F.col("kode_kota"),
-        [*extra, *S.OBSERVATION.names],
+        checked,
+        F.when(is_accepted(), S.TOPIC_WEATHER).otherwise(S.TOPIC_REJECTED),
+        F.col("kode"),
+        F.when(is_accepted(), event).otherwise(refusal),
         seq,
-        sent_at,
+        F.col("fetched_at"),
         partitions,
     )
 
@@ -55,15 +68,9 @@ def news_messages(
     articles: DataFrame, seq: Column, sent_at: Column, partitions: int = 1, extra: tuple = ()
 ) -> DataFrame:
     """Articles keyed by the short hash of their link."""
-    return to_messages(
-        articles,
-        S.TOPIC_NEWS,
-        link_key(F.col("link")),
-        [*extra, *S.ARTICLE.names],
-        seq,
-        sent_at,
-        partitions,
-    )
+    value = json_text(*extra, *S.ARTICLE.names)
+    key = link_key(F.col("link"))
+    return to_messages(articles, F.lit(S.TOPIC_NEWS), key, value, seq, sent_at, partitions)
 
 
 def publish(messages: DataFrame, path: str | None = None, servers: str | None = None) -> None:

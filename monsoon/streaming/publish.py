@@ -35,16 +35,3 @@ def publish_stream(
     if name:
         writer = writer.queryName(name)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
-def store_rejects(
-    rejects: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN
-) -> StreamingQuery:
-    """Keep the rejected answers."""
-    return (
-        rejects.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )

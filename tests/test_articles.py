@@ -1,0 +1,131 @@
+"""Feeds and articles on handwritten polls."""
+
+from __future__ import annotations
+
+from conftest import tuples
+from pyspark.sql import functions as F
+
+from monsoon.operators import articles as N
+from monsoon.sources.feeds import feed_entries, feed_summaries
+
+ORDER = ["poll", "feed_ord", "pos"]
+
+
+def rss(title: str | None, *items: str) -> str:
+    head = f"<title>{title}</title>" if title is not None else ""
+    return f'<?xml version="1.0"?><rss version="2.0"><channel>{head}{"".join(items)}</channel></rss>'
+
+
+def item(title: str, link: str | None, more: str = "") -> str:
+    at = "" if link is None else f"<link>{link}</link>"
+    return f"<item><title>{title}</title>{at}{more}</item>"
+
+
+OLD = "<pubDate>Mon, 06 Apr 2026 08:00:00 +0700</pubDate>"
+POLLS = [
+    (1, 0, "u0", rss("F0", item("A1", "a"), item("E", ""), item("N", None), item("B1", "b"))),
+    (1, 1, "u1", rss("F1", item("A2", "a"), item("C1", "c"))),
+    (2, 0, "u0", rss("F0", item("B2", "b"), item("D1", "d", OLD))),
+    (2, 1, "u1", "<rss><channel><item><title>X</title>"),
+]
+
+
+def polled(spark, polls=POLLS):
+    df = spark.createDataFrame(polls, "poll int, feed_ord int, feed_url string, xml string")
+    return df.withColumn("fetched_at", F.timestamp_seconds(1778068800 + F.col("poll") * 300))
+
+
+def articles(spark):
+    return N.as_articles(feed_entries(polled(spark)), *ORDER)
+
+
+def test_first_seen(spark):
+    first = N.first_seen(articles(spark), ORDER)
+    found = {r.link: (r.judul, r.sumber) for r in first.collect()}
+    # The article dated a month earlier is new all the same.
+    assert found == {"a": ("A1", "F0"), "b": ("B1", "F0"), "c": ("C1", "F1"), "d": ("D1", "F0")}
+
+
+def test_first_seen_is_idempotent(spark):
+    once = N.first_seen(articles(spark), ORDER)
+    assert sorted(tuples(N.first_seen(once, ORDER))) == sorted(tuples(once))
+
+
+def test_new_per_poll(spark):
+    assert sorted(tuples(N.new_per_poll(articles(spark), F.col("poll")))) == [(1, 3), (2, 1)]
+
+
+def test_poll_without_news_counts_zero(spark):
+    again = [(p, f, u, x) for p, f, u, x in POLLS] + [(3, 0, "u0", POLLS[0][3])]
+    rows = N.as_articles(feed_entries(polled(spark, again)), *ORDER)
+    assert sorted(tuples(N.new_per_poll(rows, F.col("poll")))) == [(1, 3), (2, 1), (3, 0)]
+
+
+def test_not_sent_before(spark):
+    every = articles(spark)
+    later, earlier = every.filter("poll = 2"), every.filter("poll = 1")
+    assert [r.link for r in N.not_sent_before(later, earlier, ORDER).collect()] == ["d"]
+
+
+def test_defaults(spark):
+    xml = rss(None, "<item><link>z</link></item>")
+    row = N.as_articles(feed_entries(polled(spark, [(1, 0, "u0", xml)]))).first()
+    assert tuple(row) == ("", "z", "", "2026-05-06T12:05:00", "u0", "2026-05-06T12:05:00")
+
+
+def test_summary_is_cut_in_characters(spark):
+    text = "é" * 400
+    xml = rss("F", item("t", "z", f"<description><![CDATA[{text}]]></description>"))
+    entries = feed_entries(polled(spark, [(1, 0, "u0", xml)]))
+    assert N.as_articles(entries).first().ringkasan == text[:300]
+    assert N.as_articles(entries, summary_chars=200).first().ringkasan == text[:200]
+
+
+def test_preview_keeps_order_and_empty_links(spark):
+    shown = N.preview(articles(spark).filter("poll = 1"), ["feed_ord"], ["pos"])
+    got = [(r.feed_ord, r.judul) for r in shown.orderBy("feed_ord", "pos").collect()]
+    assert got == [(0, "A1"), (0, "E"), (0, "N"), (1, "A2"), (1, "C1")]
+
+
+def test_feed_summaries(spark):
+    polls = [POLLS[0], (1, 2, "u2", rss(None)), POLLS[3]]
+    rows = feed_summaries(polled(spark, polls)).collect()
+    assert {(r.feed_url, r.judul_feed, r.jumlah_artikel) for r in rows} == {
+        ("u0", "F0", 4),
+        ("u1", "tidak ada judul", 0),
+        ("u2", "tidak ada judul", 0),
+    }
+
+
+def test_latest_news(spark):
+    rows = [
+        ("a", "Wed, 06 May 2026 09:00:00 +0700"),
+        ("b", "Wed, 06 May 2026 03:00:00 GMT"),
+        ("c", "2026-05-06T02:30:00"),
+        ("d", "soon"),
+        ("e", "Wed, 6 May 2026 02:00:00 +0000"),
+    ]
+    df = spark.createDataFrame(rows, "link string, waktu_terbit string")
+    assert [r.link for r in N.latest_news(df, 5).collect()] == ["b", "c", "a", "e", "d"]
+    assert [r.link for r in N.latest_news(df, 2).collect()] == ["b", "c"]
+
+
+def test_a_link_with_a_third_of_all_rows(spark):
+    n = 6000
+    df = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("l"), F.col("id") % 1000)).alias("link"),
+        F.concat(F.lit("t"), "id").alias("judul"),
+    )
+    expected: dict[str, int] = {}
+    for i in range(n):
+        expected.setdefault("hot" if i % 3 == 0 else f"l{i % 1000}", i)
+    # Ids arrive out of order over the tasks.
+    shuffled = df.repartition(7, F.col("doc_id") % 7)
+    got = {r.link: r.doc_id for r in N.first_seen(shuffled, ["doc_id"]).collect()}
+    assert got == expected
+    counts = dict(tuples(N.new_per_poll(shuffled, F.floor(F.col("doc_id") / 100))))
+    assert sum(counts.values()) == len(expected)
+    assert counts == {
+        p: sum(1 for first in expected.values() if first // 100 == p) for p in range(n // 100)
+    }
