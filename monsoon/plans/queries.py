@@ -233,10 +233,8 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "first-seen")
     articles = N.as_articles(tables.candidates_stream(spark, sf_dir), "doc_id")
-    first_seen_stream(
-        articles, f"{path}/articles", f"{path}/checkpoint", ARRIVAL, trigger=DRAIN
-    ).awaitTermination()
-    return spark.read.parquet(f"{path}/articles").drop("batch")
+    first_seen_stream(articles, path, ARRIVAL, trigger=DRAIN).awaitTermination()
+    return spark.read.parquet(path).drop("batch")
 
 
 def registry() -> dict[str, Query]:

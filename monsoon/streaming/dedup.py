@@ -40,9 +40,13 @@ def distinct_links_within(articles: DataFrame, time: str, horizon: str) -> DataF
     )
 
 
-def _append_new(path: str, order: list) -> Callable[[DataFrame, int], None]:
+Forward = Callable[[DataFrame], None]
+
+
+def _append_new(path: str, order: list, forward: Forward | None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        own = f"{path}/batch={batch_id}"
         fresh = first_seen(batch, order).persist()
         try:
             new = fresh
@@ -53,9 +57,11 @@ def _append_new(path: str, order: list) -> Callable[[DataFrame, int], None]:
                 sent = spark.read.parquet(path).filter(F.col("batch") < batch_id).select("link")
                 known = sent.join(fresh.select("link"), "link", "left_semi")
                 new = fresh.join(known, "link", "left_anti")
-            new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            new.write.mode("overwrite").parquet(own)
         finally:
             fresh.unpersist()
+        if forward:
+            forward(spark.read.schema(batch.schema).parquet(own))
 
     return write
 
@@ -63,21 +69,25 @@ def _append_new(path: str, order: list) -> Callable[[DataFrame, int], None]:
 def first_seen_stream(
     articles: DataFrame,
     path: str,
-    checkpoint: str,
     order: list,
     trigger: dict = POLL_NEWS,
+    forward: Forward | None = None,
 ) -> StreamingQuery:
     """The first article of each link in arrival order, appended batch by batch.
 
     The stored articles are themselves the record of what was sent: result and memory
     are one table and commit together. Each batch writes its own directory and reads
     only earlier ones, so a repeated batch replaces its own files and finds the same
-    articles new. Repeats inside a batch are removed in each task before the shuffle,
+    articles new. The position of the stream is kept below the same path, for without
+    it the batches would be numbered anew and replace older ones. Repeats inside a batch are removed in each task before the shuffle,
     and of the history only the link column is read.
+
+    ``forward`` gets the new articles of each batch once they are stored, for example
+    to publish them. After a failure it may get a batch again, but none is left out.
     """
     return (
-        articles.writeStream.foreachBatch(_append_new(path, order))
-        .option("checkpointLocation", checkpoint)
+        articles.writeStream.foreachBatch(_append_new(path, order, forward))
+        .option("checkpointLocation", f"{path}/_checkpoint")
         .trigger(**trigger)
         .start()
     )

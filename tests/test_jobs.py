@@ -1,0 +1,82 @@
+"""The commands end to end, from landed answers and feeds to stored results."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+from test_articles import POLLS, polled
+from test_sources import FULL, answers
+
+from monsoon import jobs
+from monsoon import schemas as S
+from monsoon.sources.weather import weather_files
+
+
+def run(spark, *argv):
+    args = jobs.parser().parse_args([str(a) for a in argv])
+    query = args.run(spark, args)
+    if query is not None:
+        query.awaitTermination()
+
+
+def land(df, schema, path):
+    df.select(*(F.col(f.name).cast(f.dataType) for f in schema)).write.mode("append").parquet(str(path))
+
+
+def test_weather_from_answers_to_results(spark, tmp_path, capsys):
+    landed, bus = tmp_path / "landed", tmp_path / "bus"
+    ingest = ("publish-weather", landed, "--bus", bus, "--checkpoint", tmp_path / "c1", "--drain")
+    store = ("store", tmp_path / "api", "--topic", S.TOPIC_WEATHER, "--bus", bus)
+    store += ("--checkpoint", tmp_path / "c2", "--drain")
+    land(answers(spark, [("JKT", FULL % "30.5"), ("SBY", FULL % "36"), ("DPS", None)]), S.RAW_RESPONSE, landed)
+    run(spark, *ingest)
+    run(spark, *store)
+    land(answers(spark, [("JKT", FULL % "31.5")]), S.RAW_RESPONSE, landed)
+    for _ in range(2):
+        run(spark, *ingest)
+        run(spark, *store)
+
+    stored = weather_files(spark, str(tmp_path / "api"), multi_line=False)
+    assert sorted((r.kode_kota, r.temperature) for r in stored.collect()) == [
+        ("JKT", 30.5), ("JKT", 31.5), ("SBY", 36.0),
+    ]
+    run(spark, "store", tmp_path / "rejected", "--topic", S.TOPIC_REJECTED, "--bus", bus,
+        "--checkpoint", tmp_path / "c3", "--drain")
+    [refused] = spark.read.json(str(tmp_path / "rejected")).collect()
+    assert (refused.kode, refused.alasan) == ("DPS", "no_answer")
+
+    run(spark, "analyse", tmp_path / "api", tmp_path / "hasil", "--lines")
+    cities = spark.read.json(str(tmp_path / "hasil/suhu_per_kota")).collect()
+    assert {(r.kode_kota, r.suhu_avg, r.jumlah_event) for r in cities} == {
+        ("SBY", 36.0, 1), ("JKT", 31.0, 2),
+    }
+    [extreme] = spark.read.json(str(tmp_path / "hasil/kondisi_ekstrem")).collect()
+    assert (extreme.nama_kota, extreme.jumlah_event_ekstrem) == ("Surabaya", 1)
+    [hour] = spark.read.json(str(tmp_path / "hasil/tren_jam")).collect()
+    assert (hour.jam, hour.jumlah_event) == (12, 3)
+    [document] = spark.read.text(str(tmp_path / "hasil/spark_results")).collect()
+    assert set(json.loads(document.value)) == {"suhu_kota", "ekstrem", "tren_jam"}
+    assert spark.read.json(str(tmp_path / "hasil/narasi")).count() == 3
+    assert "Surabaya" in capsys.readouterr().out
+
+    run(spark, "curate", tmp_path / "api", tmp_path / "curated", "--lines")
+    assert spark.read.parquet(str(tmp_path / "curated")).count() == 3
+    run(spark, "peek", "--topic", S.TOPIC_WEATHER, "--bus", bus)
+    run(spark, "files", tmp_path / "api")
+    shown = capsys.readouterr().out
+    assert "key=JKT" in shown and "part-" in shown
+
+
+def test_news_from_feeds_to_files(spark, tmp_path):
+    landed, bus = tmp_path / "landed", tmp_path / "bus"
+    for poll in (1, 2):
+        land(polled(spark, [p for p in POLLS if p[0] == poll]), S.RAW_FEED, landed)
+        run(spark, "publish-news", landed, tmp_path / "sent", "--bus", bus, "--drain",
+            "--partitions", 6)
+        run(spark, "store", tmp_path / "rss", "--topic", S.TOPIC_NEWS, "--bus", bus,
+            "--checkpoint", tmp_path / "c2", "--drain")
+    stored = spark.read.schema(S.ARTICLE).json(str(tmp_path / "rss")).collect()
+    assert sorted((r.link, r.judul) for r in stored) == [
+        ("a", "A1"), ("b", "B1"), ("c", "C1"), ("d", "D1"),
+    ]

@@ -65,11 +65,11 @@ def stored(spark, path):
 @pytest.mark.parametrize("at_once", [True, False])
 def test_first_seen_batch_equals_stream(spark, tmp_path, at_once):
     """One batch or one per poll, with a restart in between: the same articles."""
-    landed, out, check = tmp_path / "in", tmp_path / "out", str(tmp_path / "check")
+    landed, out = tmp_path / "in", tmp_path / "out"
 
     def run():
         first_seen_stream(
-            stream_of(spark, landed), str(out), check, ORDER, trigger=triggers.DRAIN
+            stream_of(spark, landed), str(out), ORDER, trigger=triggers.DRAIN
         ).awaitTermination()
 
     for poll in POLLS:
@@ -92,7 +92,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     for poll in POLLS:
         land(landed, poll)
     rows = spark.read.schema(ARTICLES).json(str(landed))
-    write = _append_new(out, ORDER)
+    write = _append_new(out, ORDER, None)
     write(rows.filter("poll <= 2"), 0)
     for _ in range(2):
         write(rows.filter("poll > 2"), 1)
@@ -100,6 +100,20 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(FIRST)
 
 
+def test_new_articles_are_forwarded(spark, tmp_path):
+    landed, passed = tmp_path / "in", []
+    for poll in POLLS:
+        land(landed, poll)
+        first_seen_stream(
+            stream_of(spark, landed),
+            str(tmp_path / "out"),
+            ORDER,
+            triggers.DRAIN,
+            forward=lambda new: passed.append(sorted(r.link for r in new.collect())),
+        ).awaitTermination()
+    assert passed == [["a", "b"], ["c"], [], ["d"]]
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_distinct_links(spark, tmp_path, salts):
     landed, out = tmp_path / "in", str(tmp_path / "out")
