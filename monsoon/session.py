@@ -9,13 +9,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+SETTINGS = {"spark.sql.session.timeZone": "UTC", **ADAPTIVE}
+
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -18,21 +18,20 @@ def write_document(document: DataFrame, path: str) -> None:
     document.write.mode("overwrite").text(path)
 
 
-def write_curated(observations: DataFrame, path: str) -> None:
+def write_curated(observations: DataFrame, path: str, regroup: bool = True) -> None:
     """Observations as Parquet by day, for scans that prune days and columns.
 
-    The rebalance hint lets adaptive execution cut a day that holds much of the data
-    into several files and join small ones, instead of one task per day.
+    Regrouping shuffles the rows by day. Adaptive execution then cuts a day that holds
+    much of the data into several files and joins small ones, instead of one task per
+    day. Files that hold few days each, as batch files do, need no regrouping when they
+    are large; without it every task writes its own file for each day it meets.
     """
-    (
-        observations.withColumn(
-            "event_date", event_time(F.col("timestamp")).cast("date")
-        )
-        .hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(path)
+    dated = observations.withColumn(
+        "event_date", event_time(F.col("timestamp")).cast("date")
     )
+    if regroup:
+        dated = dated.hint("rebalance", "event_date")
+    dated.write.mode("overwrite").partitionBy("event_date").parquet(path)
 
 
 def display(df: DataFrame, n: int = 20, truncate: bool = False) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from monsoon.operators.articles import first_seen, with_link
+from monsoon.session import ADAPTIVE, using
 from monsoon.streaming.triggers import POLL_NEWS
 
 
@@ -44,9 +45,7 @@ Forward = Callable[[DataFrame], None]
 
 
 def _append_new(path: str, order: list, forward: Forward | None) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{path}/batch={batch_id}"
+    def store_new(batch: DataFrame, batch_id: int, own: str) -> None:
         fresh = first_seen(batch, order).persist()
         try:
             new = fresh
@@ -54,14 +53,24 @@ def _append_new(path: str, order: list, forward: Forward | None) -> Callable[[Da
                 # Counting fills the cache, so the optimizer knows the true size of the
                 # batch and broadcasts its links only if they are below its threshold.
                 fresh.count()
-                sent = spark.read.parquet(path).filter(F.col("batch") < batch_id).select("link")
+                stored = batch.sparkSession.read.parquet(path)
+                sent = stored.filter(F.col("batch") < batch_id).select("link")
                 known = sent.join(fresh.select("link"), "link", "left_semi")
                 new = fresh.join(known, "link", "left_anti")
-            new.write.mode("overwrite").parquet(own)
+            # The stream's shuffle has many small partitions; write few files instead.
+            new.hint("rebalance").write.mode("overwrite").parquet(own)
         finally:
             fresh.unpersist()
-        if forward:
-            forward(spark.read.schema(batch.schema).parquet(own))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{path}/batch={batch_id}"
+        # A stream turns adaptive execution off in its session. Once the batch is cached,
+        # the rest are batch plans that gain from it.
+        with using(spark, ADAPTIVE):
+            store_new(batch, batch_id, own)
+            if forward:
+                forward(spark.read.schema(batch.schema).parquet(own))
 
     return write
 
