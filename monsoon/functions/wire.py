@@ -20,14 +20,14 @@ def decoded(value: Column, schema: T.StructType) -> Column:
     return F.from_json(from_bytes(value), schema)
 
 
-def json_document(text: Column) -> Column:
-    """Parse text that is one JSON object; NULL for anything else.
+def json_object(text: Column, schema: T.StructType) -> Column:
+    """Typed fields of text that is one JSON object; all NULL for anything else."""
+    whole = F.when(F.rtrim(text).endswith("}"), text)
+    return F.from_json(whole, schema, {"allowSingleQuotes": "false"})
 
-    The result is a variant: reading a field gives NULL if it is absent, and a variant
-    null if it is there with null.
-    """
-    return F.when(F.rtrim(text).endswith("}"), F.try_parse_json(text))
 
-
-def field(document: Column, name: str, type_name: str = "variant") -> Column:
-    return F.try_variant_get(document, f"$.{name}", type_name)
+def has_fields(text: Column, path: str, names: list[str]) -> Column:
+    """Whether the JSON object at a path has all the fields, with null or not."""
+    found = F.json_object_keys(F.get_json_object(text, path))
+    wanted = F.array(*(F.lit(name) for name in names))
+    return F.coalesce(F.size(F.array_except(wanted, found)) == 0, F.lit(False))

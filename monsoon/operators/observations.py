@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monsoon import schemas as S
 from monsoon.functions.clock import iso_text
-from monsoon.functions.wire import field, json_document
+from monsoon.functions.wire import has_fields, json_object
 from monsoon.sources.dimensions import cities
 
 _REASON = "alasan"
@@ -27,26 +28,30 @@ def attach_city(raw: DataFrame, city_table: DataFrame | None = None) -> DataFram
     return raw.join(names, "kode", "left")
 
 
+def _answer_schema() -> T.StructType:
+    kinds = {f.name: f.dataType for f in S.OBSERVATION}
+    return S.shape(current=S.shape(**{k: kinds[v] for k, v in S.RESPONSE_FIELDS.items()}))
+
+
 def checked_responses(raw: DataFrame, city_table: DataFrame | None = None) -> DataFrame:
-    """Answers with their parsed body and the reason for rejection, if any.
+    """Answers with their parsed values and the reason for rejection, if any.
 
-    A field that is there with null is accepted, an absent one is not. The parsed body
-    passes through a generator, below which no filter is pushed; otherwise each use of
-    it in a filter would become a parse of its own.
+    A field that is there with null is accepted, an absent one is not. Typed parsing
+    reads both as NULL, so the names of the fields are looked up where a value is NULL,
+    and only there. The parsed values pass through a generator, below which no filter
+    is pushed; otherwise each use of them in a filter would become a parse of its own.
     """
-    answer = F.col("answer")
-    present = reduce(
-        lambda a, b: a & b,
-        (field(answer, f"current.{name}").isNotNull() for name in S.RESPONSE_FIELDS),
-    )
+    current, fields = F.col("current"), list(S.RESPONSE_FIELDS)
+    parsed = json_object(F.col("body"), _answer_schema())["current"]
+    unknown = reduce(lambda a, b: a | b, (current[name].isNull() for name in fields))
     return (
         attach_city(raw, city_table)
-        .select("*", F.inline(F.array(F.struct(json_document(F.col("body")).alias("answer")))))
+        .select("*", F.inline(F.array(F.struct(parsed.alias("current")))))
         .withColumn(
             _REASON,
             F.when(F.col("body").isNull(), "no_answer")
-            .when(field(answer, "current").isNull(), "no_current")
-            .when(~present, "missing_field")
+            .when(current.isNull(), "no_current")
+            .when(unknown & ~has_fields(F.col("body"), "$.current", fields), "missing_field")
             .when(F.col("nama_kota").isNull(), "unknown_city"),
         )
     )
@@ -54,14 +59,10 @@ def checked_responses(raw: DataFrame, city_table: DataFrame | None = None) -> Da
 
 def observation_columns() -> list[Column]:
     """The fields of an event, read from a checked answer."""
-    types = {f.name: f.dataType.simpleString() for f in S.OBSERVATION}
     return [
         F.col("kode").alias("kode_kota"),
         F.col("nama_kota"),
-        *(
-            field(F.col("answer"), f"current.{source}", types[name]).alias(name)
-            for source, name in S.RESPONSE_FIELDS.items()
-        ),
+        *(F.col("current")[k].alias(v) for k, v in S.RESPONSE_FIELDS.items()),
         iso_text(F.col("fetched_at")).alias("timestamp"),
     ]
 

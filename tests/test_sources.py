@@ -97,6 +97,8 @@ def test_answers(spark):
             ("DPS", '{"current":5}'),
             ("DPS", "[" + FULL % "1" + "]"),
             ("JKT", FULL % "1" + " trailing"),
+            ("JKT", (FULL % "1")[:-1]),
+            ("JKT", (FULL % "1").replace('"', "'")),
             ("XXX", FULL % "20"),
         ],
     )
@@ -109,9 +111,11 @@ def test_answers(spark):
     assert accepted["SBY"].temperature is None
     reasons = sorted((r.kode, r.alasan) for r in O.rejected(checked).collect())
     assert reasons == [
-        ("DPS", "missing_field"),
         ("DPS", "no_answer"),
         ("DPS", "no_current"),
+        ("DPS", "no_current"),
+        ("JKT", "no_current"),
+        ("JKT", "no_current"),
         ("JKT", "no_current"),
         ("MDN", "no_current"),
         ("MKS", "no_current"),
