@@ -36,7 +36,7 @@ def _arrival_number():
 
 
 def run_analyse(spark: SparkSession, args: argparse.Namespace) -> None:
-    stored = weather_files(spark, args.input, multi_line=not args.lines)
+    stored = weather_files(spark, args.input, multi_line=args.indented)
     rows = analyse(stored, args.output)
     for result in (R.totals(rows), R.city_rows(rows), R.extreme_rows(rows), R.hour_rows(rows)):
         display(result, n=24)
@@ -44,7 +44,7 @@ def run_analyse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_curated(weather_files(spark, args.input, multi_line=not args.lines), args.output)
+    write_curated(weather_files(spark, args.input, multi_line=args.indented), args.output)
 
 
 def run_publish_weather(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
@@ -116,7 +116,7 @@ def parser() -> argparse.ArgumentParser:
 
     for name, run in (("analyse", run_analyse), ("curate", run_curate)):
         sub = command(name, run, "input", "output")
-        sub.add_argument("--lines", action="store_true", help="one record or array per line")
+        sub.add_argument("--indented", action="store_true", help="arrays over several lines")
     weather = command("publish-weather", run_publish_weather, "input", bus=True, stream=True)
     weather.add_argument("--partitions", type=int, default=1)
     news = command(

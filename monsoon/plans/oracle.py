@@ -287,6 +287,8 @@ def statements() -> dict[str, str]:
         "stored_rows_per_day": f"""
             WITH {W} SELECT CAST(CAST(ts_obj AS DATE) AS VARCHAR) AS event_date,
               COUNT(*) AS jumlah_event FROM t GROUP BY 1""",
+        "stored_city_results": f"WITH {W}, {CITY_STATS} SELECT * FROM city",
+        "stored_document": DOCUMENT,
         "stream_observations": ACCEPTED,
         "stream_rejected": REJECTED,
         "stream_store": events,

@@ -17,6 +17,7 @@ from monsoon.operators import observations as O
 from monsoon.operators import report as R
 from monsoon.operators.current import current_conditions
 from monsoon.plans import tables
+from monsoon.plans.analyse import CITIES, DOCUMENT, analyse
 from monsoon.session import ROCKSDB, scratch, using
 from monsoon.sinks.bus import answer_messages, news_messages, publish, weather_messages
 from monsoon.sinks.results import write_curated, write_json
@@ -154,7 +155,7 @@ def article_bus_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def results_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "json")
     write_json(tables.observations(spark, sf_dir), path)
-    return weather_files(spark, path, multi_line=False, extra=EVENT_ID)
+    return weather_files(spark, path, extra=EVENT_ID)
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +174,26 @@ def stored_rows_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _analysed(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch(spark, "hasil")
+    analyse(tables.observations(spark, sf_dir), path)
+    return path
+
+
+def stored_city_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [f for f in S.OBSERVATION if f.name in A.CITY]
+    measures = S.shape(
+        suhu_avg=S.REAL, suhu_tertinggi=S.REAL, suhu_terendah=S.REAL, jumlah_event=S.WHOLE
+    )
+    schema = T.StructType([*fields, *measures])
+    return spark.read.schema(schema).json(f"{_analysed(spark, sf_dir)}/{CITIES}")
+
+
+def stored_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_analysed(spark, sf_dir)}/{DOCUMENT}"
+    return spark.read.text(path).withColumnRenamed("value", "dokumen")
+
+
 # --- Streams, drained -----------------------------------------------------------
 
 
@@ -211,7 +232,7 @@ def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store_stream(
         messages(bus, EVENT), f"{path}/api", f"{path}/api-checkpoint", trigger=DRAIN
     ).awaitTermination()
-    return weather_files(spark, f"{path}/api", multi_line=False, extra=EVENT_ID)
+    return weather_files(spark, f"{path}/api", extra=EVENT_ID)
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +304,8 @@ def registry() -> dict[str, Query]:
         "results_json_roundtrip": results_json_roundtrip,
         "file_inventory": file_inventory,
         "stored_rows_per_day": stored_rows_per_day,
+        "stored_city_results": stored_city_results,
+        "stored_document": stored_document,
         "stream_observations": stream_observations,
         "stream_rejected": stream_rejected,
         "stream_store": stream_store,

@@ -32,20 +32,21 @@ def _unreadable() -> Column:
 def weather_files(
     spark: SparkSession,
     path: str,
-    multi_line: bool = True,
+    multi_line: bool = False,
     extra: T.StructType = T.StructType(),
 ) -> DataFrame:
     """Every observation of every batch file under ``path``, a directory or glob.
 
-    ``multi_line`` reads each file as one JSON document, so arrays may be indented;
-    such files cannot be split. With False each line is a record or a whole array,
-    which fits the files this package writes, and large files are split over tasks.
-    ``extra`` declares fields beyond those of an observation.
+    Each line is a record or a whole array of records, as batch files and the files of
+    ``store_stream`` have them, and large files are split over tasks. Arrays indented
+    over several lines need ``multi_line``, which reads a file as one document and
+    therefore must not be used on files with a record per line: only the first would
+    be read. ``extra`` declares fields beyond those of an observation.
     """
     return _scan(spark, path, multi_line, extra).filter(~_unreadable()).drop(S.CORRUPT)
 
 
-def weather_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def weather_rejects(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The records ``weather_files`` leaves out, with file and text."""
     return (
         _scan(spark, path, multi_line, T.StructType())

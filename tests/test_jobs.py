@@ -37,7 +37,7 @@ def test_weather_from_answers_to_results(spark, tmp_path, capsys):
         run(spark, *ingest)
         run(spark, *store)
 
-    stored = weather_files(spark, str(tmp_path / "api"), multi_line=False)
+    stored = weather_files(spark, str(tmp_path / "api"))
     assert sorted((r.kode_kota, r.temperature) for r in stored.collect()) == [
         ("JKT", 30.5), ("JKT", 31.5), ("SBY", 36.0),
     ]
@@ -46,7 +46,7 @@ def test_weather_from_answers_to_results(spark, tmp_path, capsys):
     [refused] = spark.read.json(str(tmp_path / "rejected")).collect()
     assert (refused.kode, refused.alasan) == ("DPS", "no_answer")
 
-    run(spark, "analyse", tmp_path / "api", tmp_path / "hasil", "--lines")
+    run(spark, "analyse", tmp_path / "api", tmp_path / "hasil")
     cities = spark.read.json(str(tmp_path / "hasil/suhu_per_kota")).collect()
     assert {(r.kode_kota, r.suhu_avg, r.jumlah_event) for r in cities} == {
         ("SBY", 36.0, 1), ("JKT", 31.0, 2),
@@ -60,7 +60,7 @@ def test_weather_from_answers_to_results(spark, tmp_path, capsys):
     assert spark.read.json(str(tmp_path / "hasil/narasi")).count() == 3
     assert "Surabaya" in capsys.readouterr().out
 
-    run(spark, "curate", tmp_path / "api", tmp_path / "curated", "--lines")
+    run(spark, "curate", tmp_path / "api", tmp_path / "curated")
     assert spark.read.parquet(str(tmp_path / "curated")).count() == 3
     run(spark, "peek", "--topic", S.TOPIC_WEATHER, "--bus", bus)
     run(spark, "files", tmp_path / "api")

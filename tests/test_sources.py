@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import OBSERVATIONS, tuples
 from pyspark.sql import functions as F
 
@@ -25,9 +26,14 @@ def test_all_files_are_one_table(weather):
     assert by_text(tuples(weather)) == by_text(rows)
 
 
-def test_arrays_on_one_line_need_no_multi_line(spark, weather_dir, weather):
-    lines = weather_files(spark, weather_dir, multi_line=False)
-    assert by_text(tuples(lines)) == by_text(tuples(weather))
+def test_arrays_on_one_line_read_the_same_either_way(spark, weather_dir, weather):
+    whole = weather_files(spark, weather_dir, multi_line=True)
+    assert by_text(tuples(whole)) == by_text(tuples(weather))
+
+
+def test_a_record_per_line(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"kode_kota":"JKT"}\n{"kode_kota":"SBY"}\n')
+    assert weather_files(spark, str(tmp_path)).count() == 2
 
 
 def test_glob(spark, weather_dir):
@@ -49,18 +55,19 @@ def test_whole_number_temperatures_stay_double(spark, tmp_path):
 
 def test_indented_array_needs_multi_line(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"kode_kota": "JKT"}, {"kode_kota": "SBY"}], indent=4))
-    assert weather_files(spark, str(tmp_path)).count() == 2
+    assert weather_files(spark, str(tmp_path), multi_line=True).count() == 2
 
 
-def test_truncated_file_goes_to_rejects(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_truncated_file_goes_to_rejects(spark, tmp_path, multi_line):
     (tmp_path / "good.json").write_text('[{"kode_kota":"JKT","temperature":30.5}]')
     (tmp_path / "cut.json").write_text('[{"kode_kota":"SBY","tempera')
-    df = weather_files(spark, str(tmp_path))
+    df = weather_files(spark, str(tmp_path), multi_line)
     # The same rows whichever columns are asked for.
     assert df.count() == 1
     assert tuples(df.select("nama_kota")) == [(None,)]
     assert tuples(A.total_events(df)) == [(1,)]
-    [(path, text)] = tuples(weather_rejects(spark, str(tmp_path)))
+    [(path, text)] = tuples(weather_rejects(spark, str(tmp_path), multi_line))
     assert path.endswith("cut.json") and text.startswith('[{"kode_kota":"SBY"')
 
 

@@ -100,6 +100,42 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(out).count() == len(FIRST)
 
 
+def hot_feed(tmp_path, polls=6, rows=600):
+    """A third of the rows of every poll carry one link; the others repeat in turn."""
+    landed, first = tmp_path / "in", {}
+    landed.mkdir()
+    for poll in range(polls):
+        lines = []
+        for pos in range(rows):
+            n = poll * rows + pos
+            link = "hot" if n % 3 == 0 else f"l{n % 1000}"
+            first.setdefault(link, f"{poll}-{pos}")
+            lines.append(json.dumps({"poll": poll, "pos": pos, "link": link, "judul": f"{poll}-{pos}"}))
+        (landed / f"poll-{poll}.json").write_text("\n".join(lines))
+        time.sleep(0.02)
+    return landed, first
+
+
+def test_hot_link_in_streams(spark, tmp_path):
+    landed, first = hot_feed(tmp_path)
+    first_seen_stream(
+        stream_of(spark, landed, 2), str(tmp_path / "out"), ORDER, triggers.DRAIN
+    ).awaitTermination()
+    assert stored(spark, tmp_path / "out") == first
+    with using(spark, ROCKSDB):
+        (
+            distinct_links(stream_of(spark, landed, 2), spread=ORDER)
+            .writeStream.format("parquet")
+            .option("path", str(tmp_path / "links"))
+            .option("checkpointLocation", str(tmp_path / "check"))
+            .trigger(**triggers.DRAIN)
+            .start()
+            .awaitTermination()
+        )
+    links = [r.link for r in spark.read.parquet(str(tmp_path / "links")).collect()]
+    assert sorted(links) == sorted(first)
+
+
 def test_new_articles_are_forwarded(spark, tmp_path):
     landed, passed = tmp_path / "in", []
     for poll in POLLS:
@@ -200,7 +236,7 @@ def test_publish_store_and_resume(spark, tmp_path, weather):
     assert batch_sizes(run()) == {}
     # A run without news adds no file.
     assert set((tmp_path / "api").glob("part-*")) == files
-    back = weather_files(spark, api, multi_line=False)
+    back = weather_files(spark, api)
     assert by_text(tuples(back)) == by_text(tuples(weather))
 
 
@@ -222,7 +258,7 @@ def test_two_streams_run_drain_and_stop(spark, tmp_path):
         drain(query)
     assert not any(q.isActive for q in queries.values())
     assert status_lines(queries) == [f"  {n:15s} : 🔴 mati" for n in queries]
-    sizes = {n: weather_files(spark, str(tmp_path / f"{n}-out"), False).count() for n in queries}
+    sizes = {n: weather_files(spark, str(tmp_path / f"{n}-out")).count() for n in queries}
     assert sizes == {"ConsumerAPI": 6, "ConsumerRSS": 3}
 
 
