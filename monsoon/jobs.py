@@ -18,7 +18,7 @@ from monsoon.plans.analyse import analyse
 from monsoon.session import session
 from monsoon.sinks.bus import answer_messages, news_messages, publish
 from monsoon.sinks.results import display, write_curated
-from monsoon.sources.bus import messages, peek_lines, read_topic
+from monsoon.sources.bus import heads, message_lines, messages, peek, read_topic
 from monsoon.sources.feeds import feed_entries, landed_feeds_stream
 from monsoon.sources.inventory import stored_files
 from monsoon.sources.weather import landed_responses_stream, weather_files
@@ -88,7 +88,10 @@ def run_store(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
 
 
 def run_peek(spark: SparkSession, args: argparse.Namespace) -> None:
-    display(peek_lines(read_topic(spark, args.topic, args.bus, args.servers), args.n), args.n)
+    bus = read_topic(spark, args.topic, args.bus, args.servers)
+    # A broker serves each partition from its earliest message, so reading can just stop.
+    shown = heads(bus.limit(args.n)) if args.servers else peek(bus, args.n)
+    display(message_lines(shown), args.n)
 
 
 def run_files(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -24,8 +24,17 @@ def register_view(observations: DataFrame, name: str = "weather_api") -> DataFra
     return timed
 
 
+def rounded(mean: Column, digits: int) -> Column:
+    """Half up to the digits wanted.
+
+    Adding doubles in another order changes the last bits of a mean, which would tip
+    a mean that lies on a half. Rounding those bits away first settles it.
+    """
+    return F.round(F.round(mean, 10), digits)
+
+
 def _mean(column: Column, digits: int | None) -> Column:
-    return F.avg(column) if digits is None else F.round(F.avg(column), digits)
+    return F.avg(column) if digits is None else rounded(F.avg(column), digits)
 
 
 def total_events(observations: DataFrame) -> DataFrame:
@@ -87,7 +96,7 @@ def hourly_trend(observations: DataFrame, view: str = "weather_api") -> DataFram
     register_view(observations, view)
     return observations.sparkSession.sql(
         f"""
-        SELECT jam, round(avg(temperature), 2) AS suhu_avg, count(*) AS jumlah_event
+        SELECT jam, round(round(avg(temperature), 10), 2) AS suhu_avg, count(*) AS jumlah_event
         FROM (SELECT hour(ts_obj) AS jam, temperature FROM {view})
         GROUP BY jam
         HAVING count(jam) > 0

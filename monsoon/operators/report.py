@@ -14,7 +14,7 @@ from monsoon.functions.clock import hour_of_day
 from monsoon.functions.conditions import is_extreme
 from monsoon.functions.text import hour_label
 from monsoon.functions.wire import KEEP_NULLS
-from monsoon.operators.analyses import with_event_time
+from monsoon.operators.analyses import rounded, with_event_time
 
 # --- Fixed sentences ----------------------------------------------------------
 
@@ -63,7 +63,7 @@ def report_rows(observations: DataFrame, digits: int = 2) -> DataFrame:
         .groupingSets([per_city, per_hour], *per_city, *per_hour)
         .agg(
             F.when(F.grouping("jam") == 1, "kota").otherwise("jam").alias("jenis"),
-            F.round(F.try_divide(F.sum("jumlah_suhu"), F.sum("n_suhu")), digits).alias("suhu_avg"),
+            rounded(F.try_divide(F.sum("jumlah_suhu"), F.sum("n_suhu")), digits).alias("suhu_avg"),
             F.max("suhu_tertinggi").alias("suhu_tertinggi"),
             F.min("suhu_terendah").alias("suhu_terendah"),
             F.sum("jumlah_event").alias("jumlah_event"),

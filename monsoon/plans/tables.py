@@ -46,7 +46,7 @@ def _quoted(values: Iterable[str]) -> str:
 def as_observations(events: DataFrame, *keep: str) -> DataFrame:
     """Events as observations of the six cities: both time layouts, unknown
     temperatures, unreadable and missing times all occur."""
-    return events.filter("user_id % 6 BETWEEN 0 AND 5").selectExpr(
+    return events.selectExpr(
         "event_id",
         *keep,
         f"get(array({_quoted(code for code, *_ in S.CITIES)}), int(user_id % 6)) AS kode_kota",
@@ -59,7 +59,7 @@ def as_observations(events: DataFrame, *keep: str) -> DataFrame:
                 WHEN event_id % 83 = 0 THEN NULL
                 WHEN event_id % 2 = 0 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
                 ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS `timestamp`""",
-    )
+    ).filter("kode_kota IS NOT NULL")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

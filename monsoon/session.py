@@ -15,7 +15,12 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-SETTINGS = {"spark.sql.session.timeZone": "UTC", **ADAPTIVE}
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # Recording the Python call site of every column takes longer than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    **ADAPTIVE,
+}
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (

@@ -49,10 +49,9 @@ def messages(bus: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     )
 
 
-def peek(bus: DataFrame, n: int = S.PEEK_MESSAGES) -> DataFrame:
-    """The first n messages: offset, key and the head of the value."""
-    first = bus.orderBy("partition", "offset").limit(n)
-    return first.select(
+def heads(bus: DataFrame) -> DataFrame:
+    """Messages as a peek shows them: place, key and the head of the value."""
+    return bus.select(
         "partition",
         "offset",
         key_text(F.col("key")).alias("key"),
@@ -60,8 +59,19 @@ def peek(bus: DataFrame, n: int = S.PEEK_MESSAGES) -> DataFrame:
     )
 
 
-def peek_lines(bus: DataFrame, n: int = S.PEEK_MESSAGES) -> DataFrame:
-    return peek(bus, n).select(message_line().alias("baris"))
+def peek(bus: DataFrame, n: int = S.PEEK_MESSAGES) -> DataFrame:
+    """The first n messages of a stored topic.
+
+    Finding the last of them takes only the two numbers of each message. Values are then
+    read up to its offset, and files or row groups beyond that are skipped.
+    """
+    place = ["partition", "offset"]
+    last = bus.select(*place).orderBy(*place).limit(n).agg(F.max("offset")).scalar()
+    return heads(bus.filter(F.col("offset") <= last).orderBy(*place).limit(n))
+
+
+def message_lines(shown: DataFrame) -> DataFrame:
+    return shown.select(message_line().alias("baris"))
 
 
 def partition_of(key: Column, partitions: int) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from monsoon import schemas as S
 from monsoon.operators.articles import first_seen, with_link
 from monsoon.session import ADAPTIVE, using
 from monsoon.streaming.triggers import POLL_NEWS
@@ -41,6 +42,9 @@ def distinct_links_within(articles: DataFrame, time: str, horizon: str) -> DataF
     )
 
 
+# What is read back of the stored articles: the link, and the batch from the directory.
+SENT = S.shape(link=S.TEXT, batch=S.WHOLE)
+
 Forward = Callable[[DataFrame], None]
 
 
@@ -53,7 +57,7 @@ def _append_new(path: str, order: list, forward: Forward | None) -> Callable[[Da
                 # Counting fills the cache, so the optimizer knows the true size of the
                 # batch and broadcasts its links only if they are below its threshold.
                 fresh.count()
-                stored = batch.sparkSession.read.parquet(path)
+                stored = batch.sparkSession.read.schema(SENT).parquet(path)
                 sent = stored.filter(F.col("batch") < batch_id).select("link")
                 known = sent.join(fresh.select("link"), "link", "left_semi")
                 new = fresh.join(known, "link", "left_anti")

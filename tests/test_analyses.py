@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from monsoon import schemas as S
 from monsoon.functions.conditions import is_extreme
 from monsoon.operators import analyses as A
 from monsoon.operators import report as R
@@ -137,6 +140,26 @@ def test_current_conditions_ties_are_decided(spark):
     assert current_conditions(df, "n").first().temperature == 30.0
 
 
+def test_means_on_a_half_are_rounded_up(spark):
+    """Small groups of tenths often average to exactly half a hundredth."""
+    source = random.Random(7)
+    groups = {
+        f"c{g}": [Decimal(source.randrange(0, 400)) / 10 for _ in range(source.choice([4, 8, 20, 40]))]
+        for g in range(400)
+    }
+    rows = [(g, g, float(t), 1.0, 1.0, 1, "2026-05-06 12:00:00") for g, ts in groups.items() for t in ts]
+    source.shuffle(rows)
+    df = spark.createDataFrame(rows, S.OBSERVATION).repartition(5)
+    half_up = {
+        g: float((sum(ts) / len(ts)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+        for g, ts in groups.items()
+    }
+    assert sum((sum(ts) / len(ts) * 1000) % 10 == 5 for ts in groups.values()) > 50
+    assert {r.kode_kota: r.suhu_avg for r in A.city_temperatures(df).collect()} == half_up
+    report = R.city_rows(R.report_rows(df))
+    assert {r.kode_kota: r.suhu_avg for r in report.collect()} == half_up
+
+
 def test_counts_add_up(weather):
     total = A.total_events(weather).first()[0]
     assert sum(r.jumlah_event for r in A.city_temperatures(weather).collect()) == total

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.sinks.bus import broker_options, news_messages, publish, weather_messages
-from monsoon.sources.bus import messages, peek, peek_lines, read_topic
+from monsoon.sources.bus import message_lines, messages, peek, read_topic
 
 
 @pytest.fixture
@@ -57,7 +57,7 @@ def test_peek(spark):
     ]
     assert all(len(r.value) == S.PEEK_CHARS for r in first)
     assert peek(bus, 2).count() == 2
-    assert tuples(peek_lines(bus, 1))[0][0].startswith('  offset=1 | key=None | value={"a":"x')
+    assert tuples(message_lines(peek(bus, 1)))[0][0].startswith('  offset=1 | key=None | value={"a":"x')
 
 
 def test_broker_settings():

@@ -95,6 +95,23 @@ def test_answers_are_parsed_once(spark):
     assert len(re.findall(r"from_json", text)) == 1
 
 
+def test_peek_reads_values_only_up_to_the_last_message(spark, tmp_path):
+    from monsoon.sources.bus import peek
+
+    path = str(tmp_path / "bus")
+    spark.range(1000).selectExpr(
+        "'t' AS topic", "0 AS partition", "id AS offset", "now() AS timestamp",
+        "encode('k', 'utf-8') AS key", "encode(repeat('x', 100), 'utf-8') AS value",
+    ).write.parquet(path)
+    first = peek(spark.read.parquet(path))
+    assert [r.offset for r in first.collect()] == [0, 1, 2, 3, 4]
+    text = plan(first)
+    scans = dict.fromkeys(re.findall(r"FileScan parquet .*", text))
+    reading = [scan for scan in scans if "value:binary" in scan]
+    assert reading and all("LessThanOrEqual(offset,ScalarSubquery" in scan for scan in reading)
+    assert any("ReadSchema: struct<partition:int,offset:bigint>" in scan for scan in scans)
+
+
 def test_top_one_is_no_full_sort(spark):
     for name in ("hottest_city", "latest_news", "coldest_hour"):
         assert "TakeOrderedAndProject" in plan(driver.queries()[name](spark, SF))

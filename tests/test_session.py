@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import subprocess
 import sys
 
+import pytest
 from conftest import ROOT
 
 from monsoon.session import scratch, settle, using
@@ -18,6 +20,26 @@ def test_scratch_follows_the_shared_folder(spark):
         assert first.startswith(shared)
 
 
+class Unset:
+    """A session on some master without a shared folder."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def get(self, key, default):
+        return default
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch(Unset("spark://host:7077"), "x")
+    local = Unset("local[2]")
+    first, second = scratch(local, "x"), scratch(local, "x")
+    assert os.path.dirname(first) == os.path.dirname(second) and first != second
+
+
 def test_using_restores(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
