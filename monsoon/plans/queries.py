@@ -24,7 +24,7 @@ from monsoon.sinks.results import write_curated, write_json
 from monsoon.sources.bus import messages, peek, read_topic
 from monsoon.sources.feeds import feed_entries, feed_summaries
 from monsoon.sources.inventory import stored_files
-from monsoon.sources.weather import weather_files
+from monsoon.sources.weather import curated_weather, weather_files
 from monsoon.streaming.dedup import distinct_links, first_seen_stream
 from monsoon.streaming.publish import publish_stream
 from monsoon.streaming.store import store_stream
@@ -167,11 +167,8 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_rows_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "curated")
     write_curated(tables.observations(spark, sf_dir), path)
-    stored = spark.read.parquet(path)
-    return (
-        stored.groupBy(F.col("event_date").cast("string").alias("event_date"))
-        .agg(F.count(F.lit(1)).alias("jumlah_event"))
-    )
+    day = F.col("event_date").cast("string").alias("event_date")
+    return curated_weather(spark, path).groupBy(day).agg(F.count(F.lit(1)).alias("jumlah_event"))
 
 
 def _analysed(spark: SparkSession, sf_dir: str) -> str:

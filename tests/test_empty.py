@@ -1,0 +1,35 @@
+"""Every registered query over tables without rows."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as driver
+from monsoon.plans.tables import TABLES
+
+ONE_ROW = {
+    "total_events",
+    "extreme_total",
+    "report_totals",
+    "dashboard_document",
+    "stored_document",
+}
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("empty")
+    for name, schema in TABLES.items():
+        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_no_rows(spark, empty_dir, name):
+    rows = driver.queries()[name](spark, empty_dir).collect()
+    if name in ONE_ROW:
+        assert len(rows) == 1 and None not in rows[0]
+    elif name == "insight_sentences":
+        assert len(rows) == 3 and all("%s" not in r.narasi for r in rows)
+    elif name != "file_inventory":
+        assert rows == []

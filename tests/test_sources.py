@@ -14,7 +14,7 @@ from monsoon.operators import observations as O
 from monsoon.sinks.results import display, write_curated, write_document, write_json
 from monsoon.sources.dimensions import cities, feeds
 from monsoon.sources.inventory import rows_per_file, stored_files
-from monsoon.sources.weather import weather_files, weather_rejects
+from monsoon.sources.weather import curated_weather, weather_files, weather_rejects
 
 
 def by_text(rows):
@@ -155,9 +155,13 @@ def test_document_sink(spark, tmp_path):
 def test_curated_days(spark, weather, tmp_path):
     path = str(tmp_path / "curated")
     write_curated(weather, path)
-    stored = spark.read.parquet(path)
+    stored = curated_weather(spark, path)
     days = dict(tuples(stored.groupBy(F.col("event_date").cast("string")).count()))
     assert days == {"2026-05-06": 4, None: 2}
+    one_day = stored.filter("event_date = DATE'2026-05-06'")
+    assert one_day.count() == 4
+    text = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
 
 
 def test_inventory(spark, weather_dir, weather):
