@@ -22,6 +22,15 @@ SETTINGS = {
     **ADAPTIVE,
 }
 
+# For large inputs on a cluster. Bigger splits keep the number of map tasks, and with it
+# the driver's shuffle bookkeeping, in bounds; many first partitions keep each reducer of
+# a heavy shuffle small, and adaptive execution joins them where there is little data.
+CLUSTER = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
+
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -33,13 +42,29 @@ _local_roots: dict[str, str] = {}
 
 
 def session(app: str = "monsoon", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings every job here assumes."""
+    """A session with the settings every job here assumes.
+
+    On a cluster the sizes in ``CLUSTER`` are added where the cluster sets none.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not _is_local(spark):
+        widen(spark)
+    return spark
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def widen(spark: SparkSession) -> None:
+    for key, value in CLUSTER.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 @contextmanager
@@ -67,9 +92,9 @@ def _scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if not _is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    sc = spark.sparkContext
     if sc.applicationId not in _local_roots:
         _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="monsoon-")
     return _local_roots[sc.applicationId]

@@ -92,8 +92,10 @@ def first_seen_stream(
     are one table and commit together. Each batch writes its own directory and reads
     only earlier ones, so a repeated batch replaces its own files and finds the same
     articles new. The position of the stream is kept below the same path, for without
-    it the batches would be numbered anew and replace older ones. Repeats inside a batch are removed in each task before the shuffle,
-    and of the history only the link column is read.
+    it the batches would be numbered anew and replace older ones.
+
+    Repeats inside a batch are removed in each task before the shuffle, and of the
+    history only the link column is read.
 
     ``forward`` gets the new articles of each batch once they are stored, for example
     to publish them. After a failure it may get a batch again, but none is left out.

@@ -9,7 +9,7 @@ import sys
 import pytest
 from conftest import ROOT
 
-from monsoon.session import scratch, settle, using
+from monsoon.session import CLUSTER, scratch, settle, using, widen
 
 
 def test_scratch_follows_the_shared_folder(spark):
@@ -40,6 +40,15 @@ def test_no_machine_local_folder_on_a_cluster():
     assert os.path.dirname(first) == os.path.dirname(second) and first != second
 
 
+def test_cluster_sizes_yield_to_settings(spark):
+    mine = {"spark.sql.files.maxPartitionBytes": "64m"}
+    with using(spark, {**dict.fromkeys(CLUSTER, "1"), **mine}):
+        for key in CLUSTER.keys() - mine.keys():
+            spark.conf.unset(key)
+        widen(spark)
+        assert {k: spark.conf.get(k) for k in CLUSTER} == {**CLUSTER, **mine}
+
+
 def test_using_restores(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)

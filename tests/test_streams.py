@@ -6,6 +6,7 @@ import json
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from conftest import FIELDS, OBSERVATIONS, tuples
 from pyspark.sql import functions as F
 
@@ -150,6 +151,33 @@ def test_new_articles_are_forwarded(spark, tmp_path):
     assert passed == [["a", "b"], ["c"], [], ["d"]]
 
 
+def test_a_failed_batch_is_repeated_whole(spark, tmp_path):
+    """Publishing fails after the articles are stored: nothing is lost or stored twice."""
+    landed, out, passed = tmp_path / "in", tmp_path / "out", []
+
+    def run(forward):
+        first_seen_stream(
+            stream_of(spark, landed), str(out), ORDER, triggers.DRAIN, forward
+        ).awaitTermination()
+
+    def keep(new):
+        passed.extend(sorted(r.link for r in new.collect()))
+
+    def fail(new):
+        raise ValueError("no broker")
+
+    land(landed, 1)
+    run(keep)
+    land(landed, 2)
+    with pytest.raises(StreamingQueryException, match="no broker"):
+        run(fail)
+    land(landed, 4)
+    run(keep)
+    assert passed == ["a", "b", "c", "d"]
+    assert stored(spark, out) == FIRST
+    assert spark.read.parquet(str(out)).count() == len(FIRST)
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_distinct_links(spark, tmp_path, salts):
     landed, out = tmp_path / "in", str(tmp_path / "out")
