@@ -21,7 +21,7 @@ from monsoon.sinks.results import display, write_curated
 from monsoon.sources.bus import heads, message_lines, messages, peek, read_topic
 from monsoon.sources.feeds import feed_entries, landed_feeds_stream
 from monsoon.sources.inventory import stored_files
-from monsoon.sources.weather import landed_responses_stream, weather_files
+from monsoon.sources.weather import curated_weather, landed_responses_stream, weather_files
 from monsoon.streaming import triggers
 from monsoon.streaming.dedup import first_seen_stream
 from monsoon.streaming.publish import publish_stream
@@ -36,7 +36,10 @@ def _arrival_number():
 
 
 def run_analyse(spark: SparkSession, args: argparse.Namespace) -> None:
-    stored = weather_files(spark, args.input, multi_line=args.indented)
+    if args.curated:
+        stored = curated_weather(spark, args.input)
+    else:
+        stored = weather_files(spark, args.input, multi_line=args.indented)
     rows = analyse(stored, args.output)
     for result in (R.totals(rows), R.city_rows(rows), R.extreme_rows(rows), R.hour_rows(rows)):
         display(result, n=24)
@@ -117,8 +120,9 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--drain", action="store_true", help="handle what is there, then stop")
         return sub
 
-    for name, run in (("analyse", run_analyse), ("curate", run_curate)):
-        sub = command(name, run, "input", "output")
+    analysis = command("analyse", run_analyse, "input", "output")
+    analysis.add_argument("--curated", action="store_true", help="input written by curate")
+    for sub in (analysis, command("curate", run_curate, "input", "output")):
         sub.add_argument("--indented", action="store_true", help="arrays over several lines")
     weather = command("publish-weather", run_publish_weather, "input", bus=True, stream=True)
     weather.add_argument("--partitions", type=int, default=1)

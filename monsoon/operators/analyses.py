@@ -14,6 +14,9 @@ CITY_NAME = ("nama_kota",)
 
 
 def with_event_time(observations: DataFrame) -> DataFrame:
+    """Observations with parsed time; curated ones have it already."""
+    if "ts_obj" in observations.columns:
+        return observations
     return observations.withColumn("ts_obj", event_time(F.col("timestamp")))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monsoon.functions.clock import event_time
+from monsoon.operators.analyses import with_event_time
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -21,14 +21,12 @@ def write_document(document: DataFrame, path: str) -> None:
 def write_curated(observations: DataFrame, path: str, regroup: bool = True) -> None:
     """Observations as Parquet by day, for scans that prune days and columns.
 
-    Regrouping shuffles the rows by day. Adaptive execution then cuts a day that holds
+    The parsed time is stored with them, so analyses need not parse it again. Regrouping shuffles the rows by day. Adaptive execution then cuts a day that holds
     much of the data into several files and joins small ones, instead of one task per
     day. Files that hold few days each, as batch files do, need no regrouping when they
     are large; without it every task writes its own file for each day it meets.
     """
-    dated = observations.withColumn(
-        "event_date", event_time(F.col("timestamp")).cast("date")
-    )
+    dated = with_event_time(observations).withColumn("event_date", F.to_date("ts_obj"))
     if regroup:
         dated = dated.hint("rebalance", "event_date")
     dated.write.mode("overwrite").partitionBy("event_date").parquet(path)

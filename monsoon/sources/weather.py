@@ -58,8 +58,8 @@ def weather_rejects(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 def curated_weather(spark: SparkSession, path: str) -> DataFrame:
     """Observations stored by ``write_curated``; a filter on the day prunes directories."""
-    day = T.StructField("event_date", T.DateType())
-    return spark.read.schema(T.StructType([*S.OBSERVATION.fields, day])).parquet(path)
+    added = S.shape(ts_obj=S.INSTANT, event_date=T.DateType())
+    return spark.read.schema(T.StructType([*S.OBSERVATION.fields, *added])).parquet(path)
 
 
 def landed_responses(spark: SparkSession, path: str) -> DataFrame:

@@ -62,6 +62,8 @@ def test_weather_from_answers_to_results(spark, tmp_path, capsys):
 
     run(spark, "curate", tmp_path / "api", tmp_path / "curated")
     assert spark.read.parquet(str(tmp_path / "curated")).count() == 3
+    run(spark, "analyse", tmp_path / "curated", tmp_path / "again", "--curated")
+    assert sorted(spark.read.json(str(tmp_path / "again/suhu_per_kota")).collect()) == sorted(cities)
     run(spark, "peek", "--topic", S.TOPIC_WEATHER, "--bus", bus)
     run(spark, "files", tmp_path / "api")
     shown = capsys.readouterr().out

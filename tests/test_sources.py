@@ -158,6 +158,8 @@ def test_curated_days(spark, weather, tmp_path):
     stored = curated_weather(spark, path)
     days = dict(tuples(stored.groupBy(F.col("event_date").cast("string")).count()))
     assert days == {"2026-05-06": 4, None: 2}
+    assert tuples(A.hourly_trend(stored)) == tuples(A.hourly_trend(weather))
+    assert "try_cast" not in A.hourly_trend(stored)._jdf.queryExecution().executedPlan().toString()
     one_day = stored.filter("event_date = DATE'2026-05-06'")
     assert one_day.count() == 4
     text = one_day._jdf.queryExecution().executedPlan().toString()
