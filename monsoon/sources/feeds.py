@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,11 @@ def feed_entries(raw: DataFrame) -> DataFrame:
     )
 
 
+def together(*entries: DataFrame) -> DataFrame:
+    """Entries landed in separate places as one frame; every one of them is kept."""
+    return reduce(DataFrame.unionByName, entries)
+
+
 def feed_summaries(raw: DataFrame) -> DataFrame:
     """Title and number of entries of each landed document."""
     kept = [c for c in raw.columns if c != "xml"]

@@ -6,7 +6,7 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from monsoon.operators import articles as N
-from monsoon.sources.feeds import feed_entries, feed_summaries
+from monsoon.sources.feeds import feed_entries, feed_summaries, together
 
 ORDER = ["poll", "feed_ord", "pos"]
 
@@ -51,6 +51,12 @@ def test_first_seen_is_idempotent(spark):
     assert sorted(tuples(N.first_seen(once, ORDER))) == sorted(tuples(once))
 
 
+def test_feeds_landed_apart_are_one_stream(spark):
+    raw = polled(spark)
+    parts = [feed_entries(raw.filter(F.col("feed_ord") == n)) for n in (0, 1)]
+    assert sorted(map(repr, tuples(together(*parts)))) == sorted(map(repr, tuples(feed_entries(raw))))
+
+
 def test_new_per_poll(spark):
     assert sorted(tuples(N.new_per_poll(articles(spark), F.col("poll")))) == [(1, 3), (2, 1)]
 
