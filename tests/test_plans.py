@@ -12,12 +12,13 @@ import __spark_entry__ as driver
 from monsoon.operators import analyses as A
 from monsoon.operators import report as R
 from monsoon.operators.articles import not_sent_before
+from monsoon.plans import queries as registered
 from monsoon.sources.weather import weather_files
 
 SF = f"{TESTDATA}/sf0.001"
 LAZY = sorted(
     n
-    for n in driver.queries()
+    for n in registered.registry()
     if not re.match("stream_|.*roundtrip|file_|stored_|bus_", n)
 )
 
