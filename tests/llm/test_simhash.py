@@ -1,0 +1,93 @@
+"""Fingerprints against a plain definition, components against all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+import xxhash
+
+from monsoon.llm import simhash
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain(text):
+    words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace(
+        "\t", " ").replace("\n", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints, radius=2):
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = list(prints)
+    for i in ids:
+        for j in ids:
+            if i < j and (prints[i] ^ prints[j]).bit_count() <= radius:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_whole_table_against_all_pairs(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    prints = {i: plain(t) for i, t in docs.items()}
+    want = components(prints)
+    got = simhash.simhash_query(spark, sf_dir).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {
+        i: (f"{prints[i]:016x}", want[i]) for i in docs}
+    assert len(got) == len(docs)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_links_connect_what_all_pairs_connect(spark, radius):
+    random.seed(radius)
+    prints = [random.getrandbits(64) for _ in range(5)]
+    for _ in range(60):  # chains
+        prints.append(random.choice(prints) ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)))
+    prints = dict(enumerate(dict.fromkeys(prints)))
+    df = spark.createDataFrame([(i, simhash._signed(p)) for i, p in prints.items()], "row long, fp long")
+    got = {simhash._signed(prints[i]): r for i, r in components(prints, radius).items()}
+    found = {r.fp: r.component_id for r in simhash.groups(df, radius).collect()}
+    assert found == got
+
+
+def test_long_chain(spark):
+    n = 200
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
+    assert {r.node: r.root for r in simhash.components(pairs).collect()} == dict.fromkeys(range(n + 1), 0)
+
+
+def test_edges(spark):
+    rows = [
+        (5, None), (3, ""), (9, " \t\n"), (2, "One two three four"), (2, "One two three four"),
+        (7, "one TWO three\x0bfour"), (None, "one two three four"), (None, "other words here now"),
+        (11, "É é"), (12, "é é"), (13, "word " * 300_000),
+    ]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA + ", fp string, component_id int")
+    got = sorted(((r.doc_id or -1), r.fingerprint, r.component_id) for r in simhash.near_duplicates(df).collect() if r.component_id is not None)
+    prints = {t: f"{plain(t):016x}" for _, t in rows}
+    a = prints["One two three four"]
+    assert got == sorted([
+        (5, "0" * 16, 3), (3, "0" * 16, 3), (9, "0" * 16, 3), (2, a, 2), (2, a, 2), (7, a, 2), (-1, a, 2),
+        (11, prints["É é"], 11), (12, prints["é é"], 12), (13, prints["word " * 300_000], 13)])
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_one_of_each_keeps_columns(spark):
+    rows = [(2, "a b c d", "x"), (1, "A b c d", "y"), (1, "A b c d", "y"), (None, "a b c d", "z"), (4, "q r s t", "w"), (None, None, "n")]
+    df = spark.createDataFrame(rows, SCHEMA + ", row string")
+    kept = simhash.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[4], rows[5]], key=str)
+    assert simhash.one_of_each(df.limit(0)).count() == 0
