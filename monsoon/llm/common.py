@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from monsoon.session import scratch
 
 # A word is a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+BLANK = r"\x20\x09-\x0D"
+WORD = rf"[^{BLANK}]+"
 
 # A key is hot when it holds more than this share of all rows, so there are fewer than
 # 1 / HOT_SHARE hot keys whatever the data.

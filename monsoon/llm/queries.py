@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and the SQL to check them with."""
+"""The registered queries of this subpackage, and the SQL to check them with."""
 
 from __future__ import annotations
 
@@ -6,17 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monsoon.llm import packing, simhash
+from monsoon.llm import (
+    language,
+    lines,
+    mixing,
+    oracle,
+    packing,
+    quality,
+    rules,
+    simhash,
+    topk,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_mixing": mixing.mixing_query,
+        "op2_toxicity": toxicity.toxicity_query,
+        "op3_line_dedup": lines.lines_query,
+        "op4_warc": warc.warc_query,
+        "op5_language": language.language_query,
+        "op6_quality": quality.quality_query,
+        "op7_topk": topk.topk_query,
         "op8_packing": packing.pack_digest,
+        "op9_rules": rules.rules_query,
         "op10_simhash": simhash.simhash_query,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return oracle.statements()

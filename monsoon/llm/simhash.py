@@ -110,7 +110,8 @@ def _signed(value: int) -> int:
 
 
 def components(pairs: DataFrame) -> DataFrame:
-    """(node, root) for every node of the pairs (a, b): root is its component's least node.
+    """(node, root) for the nodes of the pairs (a, b): root is its component's least node.
+    A root has no row of its own.
 
     Alternates the two star contractions until nothing changes. Each round is written to
     the shared folder; the driver sees only a count and a checksum of the pairs.

@@ -1,0 +1,103 @@
+"""Line chunks: boundaries, shift resistance, and what goes, against a plain loop."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+from monsoon.llm import lines
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain_chunks(text, window=lines.WINDOW, divisor=lines.DIVISOR):
+    if text is None:
+        return []
+    parts = text.split("\n")
+    hashes = [int(hashlib.md5(p.encode()).hexdigest()[:7], 16) for p in parts]
+    out, now = [], []
+    for i, part in enumerate(parts):
+        now.append(part)
+        rolled = 0
+        for back in reversed(range(window)):
+            rolled = rolled * 31 + (hashes[i - back] if i >= back else 0)
+        if rolled % (1 << 31) % divisor == 0 or i == len(parts) - 1:
+            out.append((i + 2 - len(now), now))
+            now = []
+    return out
+
+
+def plain(rows):
+    """Texts after removal; rows alike in id and text count as one."""
+    places = defaultdict(set)
+    for doc, text in rows:
+        row = hashlib.md5(f"{'~' if doc is None else doc}:{'~' if text is None else text}".encode()).hexdigest()
+        for start, chunk in plain_chunks(text):
+            if len(chunk) > 1 and "".join(chunk).strip(" \t\n\x0b\x0c\r"):
+                places["\n".join(chunk)].add((doc is None, doc or 0, row, start))
+    out = []
+    for doc, text in rows:
+        row = hashlib.md5(f"{'~' if doc is None else doc}:{'~' if text is None else text}".encode()).hexdigest()
+        kept = []
+        for start, chunk in plain_chunks(text):
+            place = (doc is None, doc or 0, row, start)
+            found = places.get("\n".join(chunk), set())
+            if place not in found or place == min(found):
+                kept.append("\n".join(chunk))
+        out.append((doc, None if text is None else "\n".join(kept)))
+    return out
+
+
+def texts(seed, n=150):
+    random.seed(seed)
+    pool = [f"line {i} of the pool" for i in range(400)]
+    shared = [[f"shared {j} {i}" for i in range(12)] for j in range(4)]
+    rows = []
+    for doc in range(n):
+        own = random.choices(pool, k=random.randint(1, 10))
+        if random.random() < 0.5:
+            at = random.randint(0, len(own))
+            own[at:at] = random.choice(shared)
+        rows.append((doc, "\n".join(own)))
+    return rows
+
+
+def test_against_a_plain_loop(spark):
+    rows = texts(1) + [(500, None), (501, ""), (502, "\n\n\n\n"), (None, "shared 0 0\nshared 0 1"), (3, "x"), (3, "x")]
+    rows += [(600 + i, "copy one\ncopy two\ncopy three\ncopy four") for i in range(300)]
+    rows += [(5, rows[5][1])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [(r.whole.doc_id, r.text) for r in lines.deduplicated(df).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[1] is None)
+    assert sorted(got, key=key) == sorted(plain(rows), key=key)
+
+
+def test_a_passage_goes_wherever_it_was_put(spark):
+    passage = [f"passage line {i} with words" for i in range(30)]
+    rows = [(d, "\n".join([f"own {d} {i}" for i in range(d % 7 + 1)] + passage + [f"after {d}"])) for d in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.whole.doc_id: r.text for r in lines.deduplicated(df).collect()}
+    assert got[0] == rows[0][1]
+    for doc in range(1, 40):
+        left = sum(line in passage for line in got[doc].split("\n"))
+        assert left < 15  # all but the ends of the passage are gone
+        assert all(f"own {doc} {i}" in got[doc] for i in range(doc % 7 + 1))
+
+
+def test_columns_and_empty_table(spark):
+    rows = [(1, "a\nb\nc\nd", "p", 7, 1), (2, "a\nb\nc\nd", "q", 7, 2), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA + ", `row` string, n_chars long, hash int")
+    out = lines.deduplicated_rows(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[1].text == "a\nb\nc\nd" and got[1].n_chars == 7 and got[1].row == "p"
+    assert got[2].n_chars == len(got[2].text) < 7
+    assert got[None].text is None
+    assert lines.deduplicated_rows(df.limit(0)).count() == 0
+
+
+def test_long_text(spark):
+    rows = [(1, "\n".join(f"l{i}" for i in range(20_000))), (2, "\n".join(f"l{i}" for i in range(20_000)))]
+    got = {r.whole.doc_id: r for r in lines.deduplicated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1].lines == 0 and got[2].lines > 9_000

@@ -1,0 +1,34 @@
+"""Every registered query against its SQL, over the whole tables and over empty ones."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from compare import rows_of_spark, rows_of_sql, sql_engine
+
+from monsoon.llm import queries
+
+TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("name", sorted(queries.statements()))
+def test_same_rows(spark, sf, name):
+    names, rows = rows_of_spark(queries.registry()[name](spark, f"{TESTDATA}/{sf}"))
+    engine = sql_engine(f"{TESTDATA}/{sf}")
+    assert (names, rows) == rows_of_sql(engine, queries.statements()[name])
+    assert rows
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("empty")
+    for name in ("documents", "labels", "pages", "embeddings"):
+        spark.read.parquet(f"{TESTDATA}/sf0.001/{name}.parquet").limit(0).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", sorted(queries.registry()))
+def test_no_rows(spark, empty_dir, name):
+    assert queries.registry()[name](spark, empty_dir).collect() == []

@@ -65,7 +65,7 @@ def test_links_connect_what_all_pairs_connect(spark, radius):
 def test_long_chain(spark):
     n = 200
     pairs = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
-    assert {r.node: r.root for r in simhash.components(pairs).collect()} == dict.fromkeys(range(n + 1), 0)
+    assert {r.node: r.root for r in simhash.components(pairs).collect()} == dict.fromkeys(range(1, n + 1), 0)
 
 
 def test_edges(spark):
