@@ -12,11 +12,13 @@ predicted.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monsoon.llm.common import table
+from monsoon.llm.common import table, written
 from monsoon.llm.language import held_out
 
 # Category: when a labelled document is in it, in the order of the chain.
@@ -27,11 +29,10 @@ CATEGORIES = {
 }
 SAMPLE = 20_000
 WORDS = 512
-MIN_Z = 2.5
+MARGIN = 4.0
 MIN_DOCS = 3
 FOLDS = 5
-ROUNDS = 300
-PENALTY = 1e-3
+PENALTY = 1e-4
 
 WORD = r"[^\W\d_]+"
 
@@ -42,7 +43,7 @@ def words_of(text: str | None) -> set[str]:
     return set(re.findall(WORD, text.lower())) if text else set()
 
 
-def _counted(names: list[str]):
+def _counted():
     """Of each partition: how many documents of each category have each word."""
 
     def run(batches):
@@ -73,14 +74,15 @@ def _counted(names: list[str]):
 
 
 def vocabulary(sample: DataFrame, categories: list[str], words: int = WORDS) -> list[str]:
-    """The words that speak for a category: the ``words`` highest z-scores of log odds.
+    """The words that speak for a category: the ``words`` highest likelihood ratios.
 
-    ``sample`` has ``labels``, a bit per category, and ``text``. Counting and ranking are
-    distributed; at most ``words`` words per category reach the driver.
+    A word counts only beyond what chance gives the luckiest of all words, 2 log n, by
+    MARGIN. ``sample`` has ``labels``, a bit per category, and ``text``. Counting and
+    ranking are distributed; at most ``words`` words per category reach the driver.
     """
-    counts = (
+    counts = written(
         sample.select("labels", "text")
-        .mapInArrow(_counted(categories), "word string, labels int, docs long")
+        .mapInArrow(_counted(), "word string, labels int, docs long")
         .groupBy("word")
         .agg(
             F.sum("docs").alias("all"),
@@ -88,28 +90,33 @@ def vocabulary(sample: DataFrame, categories: list[str], words: int = WORDS) ->
                 F.sum(F.when(F.col("labels").bitwiseAND(1 << i) != 0, F.col("docs")).otherwise(0)).alias(f"in{i}")
                 for i in range(len(categories))
             ),
-        )
+        ),
+        "words",
     )
     totals = counts.filter("word = ''").first()
+    candidates = counts.filter(F.col("all") >= MIN_DOCS).filter("word <> ''")
+    bar = 2 * math.log(max(2, candidates.count())) + MARGIN
     found: set[str] = set()
     for i in range(len(categories)) if totals else ():
-        inside, everything = totals[f"in{i}"], totals["all"]
-        have, rest = F.col(f"in{i}") + 0.5, F.col("all") - F.col(f"in{i}") + 0.5
-        odds = F.log(have / (F.lit(inside) - have + 1)) - F.log(rest / (F.lit(everything - inside) - rest + 1))
-        z = odds / F.sqrt(1 / have + 1 / rest)
+        share = totals[f"in{i}"] / totals["all"]
+        inside, outside = F.col(f"in{i}"), F.col("all") - F.col(f"in{i}")
+
+        def part(n, chance):
+            return F.when(n > 0, n * F.log(n / (F.col("all") * max(chance, 1e-12)))).otherwise(0.0)
+
+        ratio = 2 * (part(inside, share) + part(outside, 1 - share))
         top = (
-            counts.filter(F.col("all") >= MIN_DOCS)
-            .filter("word <> ''")
-            .select("word", z.alias("z"))
-            .filter(F.col("z") >= MIN_Z)
-            .orderBy(F.desc("z"), "word")
+            candidates.select("word", ratio.alias("ratio"), (inside > F.col("all") * share).alias("more"))
+            .filter("more")
+            .filter(F.col("ratio") >= bar)
+            .orderBy(F.desc("ratio"), "word")
             .limit(words)
         )
         found.update(r.word for r in top.collect())
     return sorted(found)
 
 
-def logistic(features, labels, rounds: int = ROUNDS, penalty: float = PENALTY):
+def logistic(features, labels, penalty: float = PENALTY):
     """Weights and bias (last) of an L2-penalised logistic model, by Newton steps."""
     import numpy as np
 

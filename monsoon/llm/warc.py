@@ -216,6 +216,8 @@ def _record(data: bytes, at: int) -> tuple[dict | None, str]:
     for line in lines:
         name, _, value = line.partition(b":")
         head[name.strip().lower()] = value.strip().decode("utf-8", "replace")
+    if not head.get(b"warc-type") or not head.get(b"warc-record-id"):
+        return None, "headers"
     size = head.get(b"content-length", "")
     if not (size.isascii() and size.isdigit()):
         return None, "length"
