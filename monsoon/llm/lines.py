@@ -137,7 +137,8 @@ def deduplicated(
         .agg(F.collect_set("at").alias("gone"), F.sum("n").alias("lines"))
     )
     packed = docs.select(F.struct("*").alias("whole"), "text", _row().alias("row"))
-    joined = packed.join(gone, "row", "left")
+    # The list grows with the corpus, so it is never broadcast, small though it may be.
+    joined = packed.join(gone.hint("merge"), "row", "left")
     kept = F.filter(
         chunks(F.col("text"), window, divisor), lambda _, at: ~F.array_contains(F.col("gone"), at)
     )
