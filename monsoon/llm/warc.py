@@ -319,5 +319,5 @@ def page_records(read: DataFrame) -> DataFrame:
 
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
-    write_archives(table(spark, sf_dir, "pages"), path)
+    write_archives(table(spark, sf_dir, "pages"), path, compression="gzip")
     return page_records(read_archives(spark, path, payload=False))
