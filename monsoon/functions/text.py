@@ -64,11 +64,8 @@ def article_line() -> Column:
     return F.format_string("  → %s...", prefix(F.col("judul"), S.PREVIEW_TITLE_CHARS))
 
 
-def message_line() -> Column:
+def message_line(place: str = "offset") -> Column:
+    """``place`` names the column that tells where the message stands."""
     return F.format_string(
-        "  offset=%s | key=%s | value=%s...", F.col("offset"), _shown(F.col("key")), F.col("value")
+        f"  {place}=%s | key=%s | value=%s...", F.col(place), _shown(F.col("key")), F.col("value")
     )
-
-
-def status_line(name: Column, state: Column) -> Column:
-    return F.format_string("  %s : %s", padded(name, 15), state)

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monsoon.functions.text import from_bytes
+from monsoon.schemas import CORRUPT
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
+# White space that may stand around a JSON text.
+BLANKS = " \t\r\n"
+
 
 def json_text(*columns: Column | str) -> Column:
     """The columns as one JSON object, NULL fields written out."""
@@ -17,12 +21,27 @@ def json_text(*columns: Column | str) -> Column:
 
 
 def decoded(value: Column, schema: T.StructType) -> Column:
-    return F.from_json(from_bytes(value), schema)
+    """The fields of a message, and CORRUPT: the text if it could not be parsed."""
+    noted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(from_bytes(value), noted, {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def unreadable(record: Column, schema: T.StructType) -> Column:
+    """Whether a record gave nothing: it could not be parsed and has no field at all.
+
+    All declared fields are looked at, so the answer is the same whichever columns a query
+    asks for; a record with one bad field keeps the others.
+    """
+    fields = [record.getField(name).cast("string") for name in schema.names]
+    return record.isNull() | (
+        record.getField(CORRUPT).isNotNull() & F.coalesce(*fields).isNull()
+    )
 
 
 def json_object(text: Column, schema: T.StructType) -> Column:
     """Typed fields of text that is one JSON object; all NULL for anything else."""
-    whole = F.when(F.rtrim(text).endswith("}"), text)
+    bare = F.btrim(text, F.lit(BLANKS))
+    whole = F.when(bare.endswith("}"), bare)
     return F.from_json(whole, schema, {"allowSingleQuotes": "false"})
 
 

@@ -4,9 +4,10 @@ with this package on the Python path."""
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,90 +16,193 @@ from monsoon.operators import report as R
 from monsoon.operators.articles import as_articles
 from monsoon.operators.observations import checked_responses
 from monsoon.plans.analyse import analyse
-from monsoon.session import session
+from monsoon.session import session, widen_for
 from monsoon.sinks.bus import answer_messages, news_messages, publish
-from monsoon.sinks.results import display, write_curated
-from monsoon.sources.bus import heads, message_lines, messages, peek, read_topic
-from monsoon.sources.feeds import feed_entries, landed_feeds_stream
-from monsoon.sources.inventory import stored_files
-from monsoon.sources.weather import curated_weather, landed_responses_stream, weather_files
+from monsoon.sinks.results import curate_stream, display, print_rows, write_json
+from monsoon.sources.bus import heads, message_lines, message_rejects, messages, peek, read_topic
+from monsoon.sources.feeds import feed_entries, feed_rejects, landed_feeds_stream
+from monsoon.sources.inventory import inventory, stored_files
+from monsoon.sources.weather import (
+    curated_weather,
+    landed_responses_stream,
+    weather_files,
+    weather_files_stream,
+    weather_rejects,
+    wrong_layout,
+)
 from monsoon.streaming import triggers
 from monsoon.streaming.dedup import first_seen_stream
+from monsoon.streaming.pipeline import run_together
 from monsoon.streaming.publish import publish_stream
 from monsoon.streaming.store import store_stream
 
 TOPICS = {S.TOPIC_WEATHER: S.OBSERVATION, S.TOPIC_NEWS: S.ARTICLE, S.TOPIC_REJECTED: S.REJECTED}
 
+# Ending of the directory with what an input could not be read from.
+REJECTS = "-ditolak"
 
-def _arrival_number():
-    """Place in arrival order of a landed row: its fetch time."""
-    return F.unix_micros("fetched_at")
+
+def _stop_on_wrong_layout(spark: SparkSession, path: str, indented: bool) -> None:
+    wrong = wrong_layout(spark, path, indented).limit(1).collect()
+    if wrong:
+        sys.exit(f"{wrong[0].path}: {wrong[0].alasan}; {'leave out' if indented else 'use'} --indented")
+
+
+def _report_rejects(rejects: DataFrame, path: str) -> None:
+    write_json(rejects, path)
+    n = rejects.sparkSession.read.schema(rejects.schema).json(path).count()
+    print(f"{n} ditolak: {path}")
 
 
 def run_analyse(spark: SparkSession, args: argparse.Namespace) -> None:
+    widen_for(spark, args.input)
     if args.curated:
         stored = curated_weather(spark, args.input)
+        if args.since:
+            stored = stored.filter(F.col("event_date") >= F.lit(args.since).cast("date"))
+        if args.until:
+            stored = stored.filter(F.col("event_date") <= F.lit(args.until).cast("date"))
     else:
+        _stop_on_wrong_layout(spark, args.input, args.indented)
         stored = weather_files(spark, args.input, multi_line=args.indented)
-    rows = analyse(stored, args.output)
+    news = spark.read.schema(S.ARTICLE).json(args.news) if args.news else None
+    rows = analyse(stored, args.output, news)
     for result in (R.totals(rows), R.city_rows(rows), R.extreme_rows(rows), R.hour_rows(rows)):
-        display(result, n=24)
+        display(result)
     display(R.insights(rows))
+    if not args.curated:
+        _report_rejects(weather_rejects(spark, args.input, args.indented), f"{args.output}/ditolak")
 
 
-def run_curate(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_curated(weather_files(spark, args.input, multi_line=args.indented), args.output)
+def run_curate(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    widen_for(spark, args.input)
+    _stop_on_wrong_layout(spark, args.input, False)
+    curated = curate_stream(weather_files_stream(spark, args.input, args.max_files), args.output)
+    _report_rejects(weather_rejects(spark, args.input), f"{args.output}{REJECTS}")
+    return [curated]
 
 
-def run_publish_weather(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    checked = checked_responses(landed_responses_stream(spark, args.input))
-    return publish_stream(
-        answer_messages(checked, _arrival_number(), args.partitions),
-        args.checkpoint,
-        args.bus,
-        args.servers,
-        triggers.DRAIN if args.drain else triggers.POLL_WEATHER,
-        name="ProducerAPI",
-    )
+def publish_weather(spark, landed, bus, servers, checkpoint, trigger, max_files) -> StreamingQuery:
+    checked = checked_responses(landed_responses_stream(spark, landed, max_files))
+    return publish_stream(answer_messages(checked), checkpoint, bus, servers, trigger, "ProducerAPI")
 
 
-def run_publish_news(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+def publish_news(spark, landed, sent, bus, servers, trigger, max_files) -> StreamingQuery:
     order = ["fetched_at", "feed_ord", "pos"]
-    entries = feed_entries(landed_feeds_stream(spark, args.input))
+    entries = feed_entries(landed_feeds_stream(spark, landed, max_files))
 
-    def forward(new):
-        sent = news_messages(new, _arrival_number(), F.col("fetched_at"), args.partitions)
-        publish(sent, args.bus, args.servers)
+    def forward(new, part):
+        publish(news_messages(new, F.col("fetched_at")), bus, servers, part)
 
     return first_seen_stream(
-        as_articles(entries, *order),
-        args.sent,
-        order,
-        triggers.DRAIN if args.drain else triggers.POLL_NEWS,
-        forward,
+        as_articles(entries, *order), sent, order, trigger, forward, "ProducerRSS"
     )
 
 
-def run_store(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    bus = read_topic(spark, args.topic, args.bus, args.servers, stream=True)
-    return store_stream(
-        messages(bus, TOPICS[args.topic]),
-        args.output,
-        args.checkpoint,
-        triggers.DRAIN if args.drain else triggers.FLUSH,
-        name=f"Store-{args.topic}",
-    )
+def feeds_refused(spark, landed, path, trigger, max_files) -> StreamingQuery:
+    refused = feed_rejects(landed_feeds_stream(spark, landed, max_files))
+    return store_stream(refused, path, f"{path}/_checkpoint", trigger, "RejectedRSS")
+
+
+def store_topic(spark, topic, path, bus, servers, checkpoint, trigger, most) -> StreamingQuery:
+    read = read_topic(spark, topic, bus, servers, stream=True, max_per_trigger=most)
+    events = messages(read, TOPICS[topic])
+    return store_stream(events, path, checkpoint, trigger, f"Store-{topic}")
+
+
+def messages_refused(spark, topic, path, bus, servers, checkpoint, trigger, most) -> StreamingQuery:
+    read = read_topic(spark, topic, bus, servers, stream=True, max_per_trigger=most)
+    refused = message_rejects(read, TOPICS[topic])
+    return store_stream(refused, path, checkpoint, trigger, f"Rejected-{topic}")
+
+
+def run_publish_weather(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    trigger = triggers.DRAIN if args.drain else triggers.POLL_WEATHER
+    return [
+        publish_weather(
+            spark, args.input, args.bus, args.servers, args.checkpoint, trigger, args.max_files
+        )
+    ]
+
+
+def run_publish_news(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    trigger = triggers.DRAIN if args.drain else triggers.POLL_NEWS
+    return [
+        publish_news(spark, args.input, args.sent, args.bus, args.servers, trigger, args.max_files),
+        feeds_refused(spark, args.input, f"{args.sent}{REJECTS}", trigger, args.max_files),
+    ]
+
+
+def run_store(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    trigger = triggers.DRAIN if args.drain else triggers.FLUSH
+    where = args.bus, args.servers
+    return [
+        store_topic(spark, args.topic, args.output, *where, args.checkpoint, trigger, args.max_files),
+        messages_refused(
+            spark, args.topic, f"{args.output}{REJECTS}", *where,
+            f"{args.checkpoint}{REJECTS}", trigger, args.max_files,
+        ),
+    ]
+
+
+def run_run(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Both paths from landed inputs to stored files, each stream with its own position."""
+    data, where, most = args.data, (args.bus, args.servers), args.max_files
+    check = f"{data}/_checkpoints"
+
+    def every(trigger: dict) -> dict:
+        return {"processingTime": f"{args.every} seconds"} if args.every else trigger
+
+    starts = {
+        "ProducerAPI": (
+            lambda t: publish_weather(spark, args.answers, *where, f"{check}/api", t, most),
+            every(triggers.POLL_WEATHER),
+        ),
+        "ProducerRSS": (
+            lambda t: publish_news(spark, args.feeds, f"{data}/sent", *where, t, most),
+            every(triggers.POLL_NEWS),
+        ),
+        "RejectedRSS": (
+            lambda t: feeds_refused(spark, args.feeds, f"{data}/rss{REJECTS}", t, most),
+            every(triggers.POLL_NEWS),
+        ),
+    }
+    for topic, name in (
+        (S.TOPIC_WEATHER, "api"),
+        (S.TOPIC_NEWS, "rss"),
+        (S.TOPIC_REJECTED, f"answers{REJECTS}"),
+    ):
+        starts[f"Store-{topic}"] = (
+            lambda t, topic=topic, name=name: store_topic(
+                spark, topic, f"{data}/{name}", *where, f"{check}/store-{name}", t, most
+            ),
+            every(triggers.FLUSH),
+        )
+        starts[f"Rejected-{topic}"] = (
+            lambda t, topic=topic, name=name: messages_refused(
+                spark, topic, f"{data}/messages{REJECTS}/{topic}", *where,
+                f"{check}/rejects-{name}", t, most,
+            ),
+            every(triggers.FLUSH),
+        )
+    signal.signal(signal.SIGTERM, signal.default_int_handler)
+    counts = run_together(spark, starts, args.seconds)
+    rows = [(n, b, events, new) for (n, b), (events, new) in sorted(counts.batches.items())]
+    if rows:
+        shape = S.shape(stream=S.TEXT, batch=S.WHOLE, jumlah_event=S.WHOLE, artikel_baru=S.WHOLE)
+        spark.createDataFrame(rows, shape).write.mode("append").json(f"{data}/batches")
 
 
 def run_peek(spark: SparkSession, args: argparse.Namespace) -> None:
     bus = read_topic(spark, args.topic, args.bus, args.servers)
     # A broker serves each partition from its earliest message, so reading can just stop.
     shown = heads(bus.limit(args.n)) if args.servers else peek(bus, args.n)
-    display(message_lines(shown), args.n)
+    print_rows(message_lines(shown))
 
 
 def run_files(spark: SparkSession, args: argparse.Namespace) -> None:
-    display(stored_files(spark, args.path).orderBy("path"))
+    rows = weather_files(spark, args.path)
+    print_rows(inventory(stored_files(spark, args.path), rows).orderBy("path"))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -118,20 +222,25 @@ def parser() -> argparse.ArgumentParser:
             if checkpoint:
                 sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--drain", action="store_true", help="handle what is there, then stop")
+            sub.add_argument("--max-files", type=int, help="most files (messages) in a batch")
         return sub
 
     analysis = command("analyse", run_analyse, "input", "output")
     analysis.add_argument("--curated", action="store_true", help="input written by curate")
-    for sub in (analysis, command("curate", run_curate, "input", "output")):
-        sub.add_argument("--indented", action="store_true", help="arrays over several lines")
-    weather = command("publish-weather", run_publish_weather, "input", bus=True, stream=True)
-    weather.add_argument("--partitions", type=int, default=1)
-    news = command(
-        "publish-news", run_publish_news, "input", "sent", bus=True, stream=True, checkpoint=False
-    )
-    news.add_argument("--partitions", type=int, default=1)
+    analysis.add_argument("--since", help="first day of curated input")
+    analysis.add_argument("--until", help="last day of curated input")
+    analysis.add_argument("--indented", action="store_true", help="arrays over several lines")
+    analysis.add_argument("--news", help="stored articles, for the latest news")
+    curate = command("curate", run_curate, "input", "output")
+    curate.add_argument("--max-files", type=int)
+    command("publish-weather", run_publish_weather, "input", bus=True, stream=True)
+    command("publish-news", run_publish_news, "input", "sent", bus=True, stream=True, checkpoint=False)
     store = command("store", run_store, "output", bus=True, stream=True)
     store.add_argument("--topic", choices=TOPICS, required=True)
+    both = command("run", run_run, "answers", "feeds", "data", bus=True)
+    both.add_argument("--seconds", type=float, help="stop after so long; default: when interrupted")
+    both.add_argument("--every", type=float, help="seconds between batches, for all streams")
+    both.add_argument("--max-files", type=int, help="most files (messages) in a batch")
     look = command("peek", run_peek, bus=True)
     look.add_argument("--topic", choices=TOPICS, required=True)
     look.add_argument("-n", type=int, default=S.PEEK_MESSAGES)
@@ -142,8 +251,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = session(f"monsoon-{args.command}")
-    query = args.run(spark, args)
-    if query is not None:
+    for query in args.run(spark, args) or ():
         query.awaitTermination()
 
 

@@ -79,6 +79,7 @@ HOTTEST = "SELECT * FROM city WHERE suhu_avg IS NOT NULL ORDER BY suhu_avg DESC,
 WORST = "SELECT * FROM ekstrem ORDER BY jumlah_event_ekstrem DESC, kode_kota LIMIT 1"
 COLDEST = "SELECT * FROM trend WHERE suhu_avg IS NOT NULL ORDER BY suhu_avg, jam LIMIT 1"
 
+# The fixed sentences of the report, once more, for an independent check.
 INSIGHTS = f"""
 WITH {W}, {CITY_STATS}, {EXTREME_STATS}, {HOURLY},
 a AS ({HOTTEST}), b AS ({WORST}), c AS ({COLDEST})
@@ -113,9 +114,11 @@ SELECT CAST(to_json(struct_pack(
 )) AS VARCHAR) AS dokumen
 """
 
-CURRENT = f"""
+def current(*ties: str) -> str:
+    order = ", ".join(f"{tie} DESC NULLS LAST" for tie in ties)
+    return f"""
 WITH {W}, latest AS (
-  SELECT *, row_number() OVER (PARTITION BY kode_kota ORDER BY ts_obj DESC, event_id DESC) AS urut
+  SELECT *, row_number() OVER (PARTITION BY kode_kota ORDER BY ts_obj DESC, {order}) AS urut
   FROM t WHERE ts_obj IS NOT NULL
 )
 SELECT kode_kota, nama_kota, temperature, humidity, wind_speed, weather_code,
@@ -127,6 +130,7 @@ SELECT kode_kota, nama_kota, temperature, humidity, wind_speed, weather_code,
 FROM latest WHERE urut = 1
 """
 
+
 # Which landed answers are refused, decided from the values they were made of.
 RAW = f"""
 WITH {W}, r AS (
@@ -209,15 +213,22 @@ FROM n GROUP BY sumber, poll, "timestamp"
 
 PEEK = f"""
 WITH {W}, bus AS (
-  SELECT CAST(CAST('0x' || substr(md5(kode_kota), 1, 8) AS BIGINT) % 6 AS INTEGER) AS "partition",
-    event_id AS "offset", kode_kota AS "key",
-    left(CAST(to_json(struct_pack(event_id := event_id, kode_kota := kode_kota,
+  SELECT replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') AS waktu,
+    ts, kode_kota AS "key",
+    CAST(to_json(struct_pack(event_id := event_id, kode_kota := kode_kota,
       nama_kota := nama_kota, temperature := temperature, humidity := humidity,
       wind_speed := wind_speed, weather_code := weather_code, "timestamp" := "timestamp"
-    )) AS VARCHAR), 120) AS "value"
+    )) AS VARCHAR) AS isi
   FROM w
 )
-SELECT * FROM bus ORDER BY "partition", "offset" LIMIT 5
+SELECT waktu, "key", left(isi, 120) AS "value" FROM bus ORDER BY ts, "key", isi LIMIT 5
+"""
+
+FEEDS_REJECTED = f"""
+WITH {N}
+SELECT DISTINCT 'https://feed.example/' || sumber || '.xml' AS feed_url,
+  "timestamp" AS fetched_at, 'no_channel' AS alasan
+FROM n WHERE CAST(substr(sumber, 4) AS INTEGER) % 3 = 0
 """
 
 OBSERVATION_LINES = f"""
@@ -255,7 +266,7 @@ def statements() -> dict[str, str]:
             WITH {W} SELECT strftime(time_bucket(INTERVAL 120 SECONDS, ts_obj),
               '%Y-%m-%d %H:%M:%S') AS batch_start, COUNT(*) AS jumlah_event
             FROM t WHERE ts_obj IS NOT NULL GROUP BY 1""",
-        "current_temperature": CURRENT,
+        "current_temperature": current("event_id"),
         "observation_lines": OBSERVATION_LINES,
         "report_city_rows": f"WITH {W}, {CITY_STATS} SELECT * FROM city",
         "report_hour_rows": f"WITH {W}, {HOURLY} SELECT * FROM trend",
@@ -289,9 +300,25 @@ def statements() -> dict[str, str]:
               COUNT(*) AS jumlah_event FROM t GROUP BY 1""",
         "stored_city_results": f"WITH {W}, {CITY_STATS} SELECT * FROM city",
         "stored_document": DOCUMENT,
+        "stored_current": current("temperature", "humidity", "wind_speed", "weather_code"),
+        "stored_news": f"WITH {N} SELECT {S2} FROM f ORDER BY doc_id DESC LIMIT 10",
+        "file_inventory": f"""
+            WITH {W} SELECT TRUE AS ada_file, TRUE AS lengkap,
+              COUNT(*) AS jumlah_event FROM w""",
+        "weather_rejected": f"""
+            WITH {W} SELECT '{{"event_id":' || event_id || ', "kode_kota' AS isi
+            FROM w WHERE "timestamp" = 'garbage'""",
+        "messages_rejected": f"""
+            WITH {W} SELECT 'weather-api' AS topic, kode_kota AS "key",
+              'not json ' || event_id AS isi,
+              replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') AS dikirim
+            FROM w WHERE "timestamp" = 'garbage'""",
+        "feeds_rejected": FEEDS_REJECTED,
         "stream_observations": ACCEPTED,
         "stream_rejected": REJECTED,
         "stream_store": events,
+        "stream_resumed": events,
         "stream_dedup": f"WITH {N} SELECT link FROM f",
         "stream_first_seen": f"WITH {N} SELECT doc_id, {S2} FROM f",
+        "pipeline_news": f"WITH {N} SELECT {S2} FROM f",
     }

@@ -11,21 +11,27 @@ from pyspark.sql import types as T
 from monsoon import schemas as S
 from monsoon.functions.clock import iso_text, published_time
 from monsoon.functions.text import article_line, key_text, link_key, observation_line
+from monsoon.functions.wire import json_text
 from monsoon.operators import analyses as A
 from monsoon.operators import articles as N
 from monsoon.operators import observations as O
 from monsoon.operators import report as R
 from monsoon.operators.current import current_conditions
 from monsoon.plans import tables
-from monsoon.plans.analyse import CITIES, DOCUMENT, analyse
-from monsoon.session import ROCKSDB, scratch, using
-from monsoon.sinks.bus import answer_messages, news_messages, publish, weather_messages
-from monsoon.sinks.results import write_curated, write_json
-from monsoon.sources.bus import messages, peek, read_topic
-from monsoon.sources.feeds import feed_entries, feed_summaries
-from monsoon.sources.inventory import stored_files
-from monsoon.sources.weather import curated_weather, weather_files
-from monsoon.streaming.dedup import distinct_links, first_seen_stream
+from monsoon.plans.analyse import CITIES, CURRENT, DOCUMENT, NEWS, analyse
+from monsoon.session import scratch
+from monsoon.sinks.bus import answer_messages, news_messages, publish, to_messages, weather_messages
+from monsoon.sinks.results import curate_stream, write_json
+from monsoon.sources.bus import message_rejects, messages, peek, read_topic
+from monsoon.sources.feeds import feed_entries, feed_rejects, feed_summaries
+from monsoon.sources.inventory import inventory, stored_files
+from monsoon.sources.weather import (
+    curated_weather,
+    weather_files,
+    weather_files_stream,
+    weather_rejects,
+)
+from monsoon.streaming.dedup import first_seen_stream
 from monsoon.streaming.publish import publish_stream
 from monsoon.streaming.store import store_stream
 from monsoon.streaming.triggers import DRAIN
@@ -38,8 +44,8 @@ DOC_ID = S.shape(doc_id=S.WHOLE)
 EVENT = T.StructType([*EVENT_ID.fields, *S.OBSERVATION.fields])
 NUMBERED_ARTICLE = T.StructType([*DOC_ID.fields, *S.ARTICLE.fields])
 
-LATEST_NEWS = 10
-BUS_PARTITIONS = 6
+# Landed one after the other, each a batch of its own.
+PIECES = 5
 
 
 def _over_observations(analysis: Callable[[DataFrame], DataFrame]) -> Query:
@@ -107,7 +113,7 @@ def published_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.latest_news(N.first_seen(_articles(spark, sf_dir), ARRIVAL), LATEST_NEWS)
+    return N.latest_news(N.first_seen(_articles(spark, sf_dir), ARRIVAL), S.LATEST_NEWS)
 
 
 def feed_entries_from_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,12 +133,7 @@ def feed_entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _weather_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "bus")
     events = tables.as_observations(tables.read(spark, sf_dir, "events"), "ts")
-    publish(
-        weather_messages(
-            events, F.col("event_id"), F.col("ts"), BUS_PARTITIONS, extra=("event_id",)
-        ),
-        path,
-    )
+    publish(weather_messages(events, F.col("ts"), extra=("event_id",)), path)
     return read_topic(spark, S.TOPIC_WEATHER, path)
 
 
@@ -144,10 +145,22 @@ def bus_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     return peek(_weather_bus(spark, sf_dir))
 
 
+def messages_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are no JSON, through the bus."""
+    path = scratch(spark, "bus")
+    events = tables.as_observations(tables.read(spark, sf_dir, "events"), "ts")
+    text = F.concat(F.lit("not json "), F.col("event_id"))
+    value = F.when(F.col("timestamp") == "garbage", text).otherwise(json_text(*EVENT.names))
+    topic = F.lit(S.TOPIC_WEATHER)
+    publish(to_messages(events, topic, F.col("kode_kota"), value, F.col("ts")), path)
+    return message_rejects(read_topic(spark, S.TOPIC_WEATHER, path), EVENT)
+
+
 def article_bus_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "bus")
-    first = N.first_seen(N.as_articles(tables.candidates(spark, sf_dir), "doc_id", "fetched_at"), ARRIVAL)
-    publish(news_messages(first, F.col("doc_id"), F.col("fetched_at"), extra=("doc_id",)), path)
+    entries = N.as_articles(tables.candidates(spark, sf_dir), "doc_id", "fetched_at")
+    first = N.first_seen(entries, ARRIVAL)
+    publish(news_messages(first, F.col("fetched_at"), extra=("doc_id",)), path)
     bus = read_topic(spark, S.TOPIC_NEWS, path)
     return messages(bus, NUMBERED_ARTICLE, "key").withColumn("key", key_text(F.col("key")))
 
@@ -159,21 +172,53 @@ def results_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What does not depend on how the rows were put in files: all rows are in files, and
+    all files have a size and a time."""
     path = scratch(spark, "json")
     write_json(tables.observations(spark, sf_dir), path)
-    return stored_files(spark, path)
+    files = stored_files(spark, path).filter(~F.col("path").like("%/_SUCCESS"))
+    sized = (F.col("length") > 0) & F.col("modificationTime").isNotNull()
+    return inventory(files, weather_files(spark, path)).agg(
+        (F.count(F.lit(1)) > 0).alias("ada_file"),
+        F.coalesce(F.bool_and(sized | (F.col("jumlah_event") == 0)), F.lit(True)).alias("lengkap"),
+        F.coalesce(F.sum("jumlah_event"), F.lit(0)).alias("jumlah_event"),
+    )
+
+
+def weather_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of stored files that cannot be read."""
+    path = scratch(spark, "lines")
+    text = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(', "kode_kota'))
+    line = F.when(F.col("timestamp") == "garbage", text).otherwise(json_text(*EVENT.names))
+    tables.observations(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return weather_rejects(spark, path).select("isi")
+
+
+def feeds_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed documents of which every third feed's are cut off."""
+    cut = F.left("xml", F.length("xml") - 9)
+    broken = tables.feeds(spark, sf_dir).withColumn(
+        "xml", F.when(F.col("feed_ord") % 3 == 0, cut).otherwise(F.col("xml"))
+    )
+    return feed_rejects(broken).select("feed_url", "fetched_at", "alasan")
 
 
 def stored_rows_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated in two runs, the second of which adds to the first."""
     path = scratch(spark, "curated")
-    write_curated(tables.observations(spark, sf_dir), path)
+    events = tables.observations(spark, sf_dir)
+    for rest in range(2):
+        events.filter(F.col("event_id") % 2 == rest).write.mode("append").json(f"{path}/json")
+        curate_stream(weather_files_stream(spark, f"{path}/json"), f"{path}/days").awaitTermination()
     day = F.col("event_date").cast("string").alias("event_date")
-    return curated_weather(spark, path).groupBy(day).agg(F.count(F.lit(1)).alias("jumlah_event"))
+    stored = curated_weather(spark, f"{path}/days")
+    return stored.groupBy(day).agg(F.count(F.lit(1)).alias("jumlah_event"))
 
 
-def _analysed(spark: SparkSession, sf_dir: str) -> str:
+def _analysed(spark: SparkSession, sf_dir: str, news: bool = False) -> str:
     path = scratch(spark, "hasil")
-    analyse(tables.observations(spark, sf_dir), path)
+    articles = N.first_seen(_articles(spark, sf_dir), ARRIVAL).drop("doc_id") if news else None
+    analyse(tables.observations(spark, sf_dir), path, articles)
     return path
 
 
@@ -191,17 +236,34 @@ def stored_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "dokumen")
 
 
+def stored_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = S.shape(waktu=S.TEXT, warna=S.TEXT, ekstrem=T.BooleanType())
+    schema = T.StructType([*S.OBSERVATION.fields[:-1], *shown.fields])
+    return spark.read.schema(schema).json(f"{_analysed(spark, sf_dir)}/{CURRENT}")
+
+
+def stored_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(S.ARTICLE).json(f"{_analysed(spark, sf_dir, news=True)}/{NEWS}")
+
+
 # --- Streams, drained -----------------------------------------------------------
 
 
+def _landed_in_pieces(df: DataFrame, number: str, path: str, run: Callable[[], None]) -> None:
+    """Land the rows in PIECES by their number, and run after each."""
+    top = df.agg(F.coalesce(F.max(number), F.lit(0)) + 1).scalar()
+    for piece in range(PIECES):
+        own = F.floor(F.col(number) * PIECES / top) == piece
+        df.filter(own).write.mode("append").parquet(path)
+        run()
+
+
 def _stream_answers(spark: SparkSession, sf_dir: str) -> str:
     """Landed answers to the bus as one stream."""
     path = scratch(spark, "answers")
     checked = O.checked_responses(tables.responses_stream(spark, sf_dir))
     publish_stream(
-        answer_messages(checked, F.col("event_id"), extra=("event_id",)),
-        f"{path}/checkpoint",
-        f"{path}/bus",
+        answer_messages(checked, extra=("event_id",)), f"{path}/checkpoint", f"{path}/bus"
     ).awaitTermination()
     return f"{path}/bus"
 
@@ -221,7 +283,7 @@ def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "store")
     events = tables.observations_stream(spark, sf_dir)
     publish_stream(
-        weather_messages(events, F.col("event_id"), F.col("ts"), extra=("event_id",)),
+        weather_messages(events, F.col("ts"), extra=("event_id",)),
         f"{path}/bus-checkpoint",
         f"{path}/bus",
     ).awaitTermination()
@@ -232,27 +294,54 @@ def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_files(spark, f"{path}/api", extra=EVENT_ID)
 
 
+def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored in several runs, each going on from the position of the one before."""
+    path = scratch(spark, "resumed")
+    events = tables.as_observations(tables.read(spark, sf_dir, "events"))
+
+    def run() -> None:
+        landed = spark.readStream.schema(events.schema).parquet(f"{path}/landed")
+        store_stream(landed, f"{path}/api", f"{path}/checkpoint", trigger=DRAIN).awaitTermination()
+
+    _landed_in_pieces(events, "event_id", f"{path}/landed", run)
+    return weather_files(spark, f"{path}/api", extra=EVENT_ID)
+
+
+def _first_seen(spark: SparkSession, sf_dir: str, path: str, forward=None) -> DataFrame:
+    """Articles landed and taken in piece by piece, the stream restarted for each."""
+    entries = tables.candidates(spark, sf_dir)
+
+    def run() -> None:
+        landed = spark.readStream.schema(entries.schema).parquet(f"{path}/landed")
+        articles = N.as_articles(landed, "doc_id", "fetched_at")
+        first_seen_stream(articles, f"{path}/sent", ARRIVAL, DRAIN, forward).awaitTermination()
+
+    _landed_in_pieces(entries, "doc_id", f"{path}/landed", run)
+    return spark.read.parquet(f"{path}/sent").drop("batch", "fetched_at")
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "dedup")
-    articles = N.as_articles(tables.candidates_stream(spark, sf_dir), "doc_id")
-    links = distinct_links(articles, spread=ARRIVAL).select("link")
-    with using(spark, ROCKSDB):
-        query = (
-            links.writeStream.format("parquet")
-            .option("path", f"{path}/links")
-            .option("checkpointLocation", f"{path}/checkpoint")
-            .trigger(**DRAIN)
-            .start()
-        )
-        query.awaitTermination()
-    return spark.read.parquet(f"{path}/links")
+    return _first_seen(spark, sf_dir, scratch(spark, "dedup")).select("link")
 
 
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "first-seen")
-    articles = N.as_articles(tables.candidates_stream(spark, sf_dir), "doc_id")
-    first_seen_stream(articles, path, ARRIVAL, trigger=DRAIN).awaitTermination()
-    return spark.read.parquet(path).drop("batch")
+    return _first_seen(spark, sf_dir, scratch(spark, "first-seen"))
+
+
+def pipeline_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather and news sent to one bus by turns, and the news stored from it."""
+    path = scratch(spark, "news")
+    bus = f"{path}/bus"
+    events = tables.observations_stream(spark, sf_dir)
+
+    def forward(new: DataFrame, part: str) -> None:
+        publish(news_messages(new, F.col("fetched_at")), bus, part=part)
+
+    publish_stream(weather_messages(events, F.col("ts")), f"{path}/w", bus).awaitTermination()
+    _first_seen(spark, sf_dir, path, forward)
+    read = read_topic(spark, S.TOPIC_NEWS, bus, stream=True)
+    store_stream(messages(read, S.ARTICLE), f"{path}/rss", f"{path}/s", DRAIN).awaitTermination()
+    return spark.read.schema(S.ARTICLE).json(f"{path}/rss")
 
 
 def registry() -> dict[str, Query]:
@@ -300,12 +389,19 @@ def registry() -> dict[str, Query]:
         "article_bus_roundtrip": article_bus_roundtrip,
         "results_json_roundtrip": results_json_roundtrip,
         "file_inventory": file_inventory,
+        "weather_rejected": weather_rejected,
+        "messages_rejected": messages_rejected,
+        "feeds_rejected": feeds_rejected,
         "stored_rows_per_day": stored_rows_per_day,
         "stored_city_results": stored_city_results,
         "stored_document": stored_document,
+        "stored_current": stored_current,
+        "stored_news": stored_news,
         "stream_observations": stream_observations,
         "stream_rejected": stream_rejected,
         "stream_store": stream_store,
+        "stream_resumed": stream_resumed,
         "stream_dedup": stream_dedup,
         "stream_first_seen": stream_first_seen,
+        "pipeline_news": pipeline_news,
     }

@@ -77,6 +77,8 @@ def as_responses(events: DataFrame) -> DataFrame:
     whole = F.struct(F.struct(*fields).alias("current"))
     partial = F.struct(F.struct(*fields[1:]).alias("current"))
     stamp = F.col("timestamp")
+    # JSON text may end in any white space.
+    ending = F.get(F.array(F.lit(""), F.lit("\n"), F.lit("\r\n"), F.lit("\t")), (F.col("event_id") % 4).cast("int"))
     return obs.select(
         "event_id",
         F.when(F.col("weather_code") == 17, "XXX").otherwise(F.col("kode_kota")).alias("kode"),
@@ -84,7 +86,8 @@ def as_responses(events: DataFrame) -> DataFrame:
         .when(stamp == "garbage", "not json")
         .when(F.col("weather_code") == 13, '{"error":true}')
         .when(F.col("temperature").isNull() & (F.col("weather_code") > 50), F.to_json(partial))
-        .otherwise(F.to_json(whole, KEEP_NULLS))
+        .when(F.col("weather_code") == 17, F.to_json(whole, KEEP_NULLS))
+        .otherwise(F.concat(F.to_json(whole, KEEP_NULLS), ending))
         .alias("body"),
         F.col("ts").cast("timestamp").alias("fetched_at"),
     )

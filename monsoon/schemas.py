@@ -42,15 +42,10 @@ FEED_DOCUMENT = shape(
     )
 )
 
-# The columns of Spark's own Kafka source, so the file-backed bus is a drop-in.
-BUS = shape(
-    topic=TEXT,
-    partition=T.IntegerType(),
-    offset=WHOLE,
-    timestamp=INSTANT,
-    key=T.BinaryType(),
-    value=T.BinaryType(),
-)
+# The columns of Spark's own Kafka source that files can hold too. Partitions and offsets
+# are the broker's own; files have none.
+BUS = shape(topic=TEXT, timestamp=INSTANT, key=T.BinaryType(), value=T.BinaryType())
+MESSAGE = T.StructType([f for f in BUS if f.name != "topic"])
 
 CORRUPT = "_corrupt_record"
 
@@ -97,3 +92,7 @@ PREVIEW_TITLE_CHARS = 70
 PEEK_CHARS = 120
 PREVIEW_ENTRIES = 3
 PEEK_MESSAGES = 5
+LATEST_NEWS = 10
+
+NO_FEED_TITLE = "tidak ada judul"
+ALIVE, DEAD = "🟢 berjalan", "🔴 mati"

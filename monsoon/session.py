@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import json
+import math
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,18 +23,22 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python call site of every column takes longer than planning the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     **ADAPTIVE,
 }
 
 # For large inputs on a cluster. Bigger splits keep the number of map tasks, and with it
-# the driver's shuffle bookkeeping, in bounds; many first partitions keep each reducer of
-# a heavy shuffle small, and adaptive execution joins them where there is little data.
+# the driver's shuffle bookkeeping, in bounds.
 CLUSTER = {
     "spark.sql.files.maxPartitionBytes": "512m",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
+# Shuffles start with so many partitions, or as many as keep a shuffle of the whole input at
+# so many bytes each; adaptive execution joins them where there is little data.
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+LEAST_PARTITIONS, PARTITION_BYTES = 4096, 256 << 20
+
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -67,6 +75,24 @@ def widen(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def widen_for(spark: SparkSession, *paths: str) -> None:
+    """Size the first partitions of shuffles by the bytes below the paths, on a cluster
+    that does not set them itself."""
+    if _is_local(spark) or spark.conf.get(FIRST_PARTITIONS, None) is not None:
+        return
+    size = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in files.globStatus(place) or ():
+            size += files.getContentSummary(found.getPath()).getLength()
+    spark.conf.set(FIRST_PARTITIONS, str(first_partitions(size)))
+
+
+def first_partitions(size: int) -> int:
+    return max(LEAST_PARTITIONS, math.ceil(size / PARTITION_BYTES))
+
+
 @contextmanager
 def using(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply session settings for the duration of a block."""
@@ -96,7 +122,8 @@ def _scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     sc = spark.sparkContext
     if sc.applicationId not in _local_roots:
-        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="monsoon-")
+        root = _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="monsoon-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return _local_roots[sc.applicationId]
 
 
@@ -105,6 +132,18 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{_scratch_root(spark)}/monsoon/{label}-{uuid.uuid4().hex}"
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or directory matches, on whatever file system the path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that a stream's checkpoint keeps over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Checkpoint a small result that several outputs read, so it is computed once."""
     sc = df.sparkSession.sparkContext

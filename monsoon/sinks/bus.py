@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,46 +11,29 @@ from monsoon import schemas as S
 from monsoon.functions.text import link_key, to_bytes
 from monsoon.functions.wire import json_text
 from monsoon.operators.observations import is_accepted, observation_columns, rejected_columns
-from monsoon.sources.bus import partition_of
+from monsoon.session import matches
 
 
 def to_messages(
-    events: DataFrame,
-    topic: Column,
-    key: Column,
-    value: Column,
-    seq: Column,
-    sent_at: Column,
-    partitions: int = 1,
+    events: DataFrame, topic: Column, key: Column, value: Column, sent_at: Column
 ) -> DataFrame:
-    """Events as bus records.
-
-    ``seq`` numbers the arrivals and becomes the offset of the file-backed bus. A
-    broker numbers the messages itself and ignores it; numbering them here would put
-    each partition through one task.
-    """
+    """Events as bus records. A broker numbers the messages itself and keeps those of one
+    key in order."""
     return events.select(
         topic.alias("topic"),
-        partition_of(key, partitions).alias("partition"),
-        seq.cast("bigint").alias("offset"),
         sent_at.cast("timestamp").alias("timestamp"),
         to_bytes(key).alias("key"),
         to_bytes(value).alias("value"),
     )
 
 
-def weather_messages(
-    events: DataFrame, seq: Column, sent_at: Column, partitions: int = 1, extra: tuple = ()
-) -> DataFrame:
-    """Weather events keyed by city, so one city stays in one partition."""
+def weather_messages(events: DataFrame, sent_at: Column, extra: tuple = ()) -> DataFrame:
+    """Weather events keyed by city, so one city stays in one partition of a broker."""
     value = json_text(*extra, *S.OBSERVATION.names)
-    topic = F.lit(S.TOPIC_WEATHER)
-    return to_messages(events, topic, F.col("kode_kota"), value, seq, sent_at, partitions)
+    return to_messages(events, F.lit(S.TOPIC_WEATHER), F.col("kode_kota"), value, sent_at)
 
 
-def answer_messages(
-    checked: DataFrame, seq: Column, partitions: int = 1, extra: tuple = ()
-) -> DataFrame:
+def answer_messages(checked: DataFrame, extra: tuple = ()) -> DataFrame:
     """Checked answers: observations to the weather topic, the others to a topic of
     their own. One parse of each answer and one stream serve both."""
     event = json_text(*extra, *observation_columns())
@@ -58,23 +43,29 @@ def answer_messages(
         F.when(is_accepted(), S.TOPIC_WEATHER).otherwise(S.TOPIC_REJECTED),
         F.col("kode"),
         F.when(is_accepted(), event).otherwise(refusal),
-        seq,
         F.col("fetched_at"),
-        partitions,
     )
 
 
-def news_messages(
-    articles: DataFrame, seq: Column, sent_at: Column, partitions: int = 1, extra: tuple = ()
-) -> DataFrame:
+def news_messages(articles: DataFrame, sent_at: Column, extra: tuple = ()) -> DataFrame:
     """Articles keyed by the short hash of their link."""
     value = json_text(*extra, *S.ARTICLE.names)
-    key = link_key(F.col("link"))
-    return to_messages(articles, F.lit(S.TOPIC_NEWS), key, value, seq, sent_at, partitions)
+    return to_messages(articles, F.lit(S.TOPIC_NEWS), link_key(F.col("link")), value, sent_at)
 
 
-def publish(messages: DataFrame, path: str | None = None, servers: str | None = None) -> None:
-    """Write messages to the broker, or append them to the file-backed bus."""
+def publish(
+    messages: DataFrame,
+    path: str | None = None,
+    servers: str | None = None,
+    part: str | None = None,
+) -> None:
+    """Write messages to the broker, or as one part of the file-backed bus.
+
+    The bus is a directory of parts, each written once by one writer and divided by topic,
+    and no log of files stands between writers and readers: whoever writes, every reader
+    sees it. A part that is complete is left alone, so a repeated batch is stored once. A
+    name is made up for a part without one.
+    """
     if servers:
         (
             messages.select("topic", "key", "value")
@@ -82,8 +73,10 @@ def publish(messages: DataFrame, path: str | None = None, servers: str | None =
             .options(**broker_options(servers))
             .save()
         )
-    else:
-        messages.write.mode("append").partitionBy("topic").parquet(path)
+        return
+    own = f"{path}/{part or f'part-{uuid.uuid4().hex}'}"
+    if not matches(messages.sparkSession, f"{own}/_SUCCESS"):
+        messages.write.mode("overwrite").partitionBy("topic").parquet(own)
 
 
 def broker_options(servers: str) -> dict[str, str]:

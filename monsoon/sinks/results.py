@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from monsoon.operators.analyses import with_event_time
+from monsoon.streaming.triggers import DRAIN
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -32,7 +34,30 @@ def write_curated(observations: DataFrame, path: str, regroup: bool = True) -> N
     dated.write.mode("overwrite").partitionBy("event_date").parquet(path)
 
 
-def display(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
-    """Print the schema and the first n rows."""
+def curate_stream(observations: DataFrame, path: str, trigger: dict = DRAIN) -> StreamingQuery:
+    """Add what is new to the observations stored by day; nothing stored is rewritten.
+
+    The position is kept below the same path. Rows come from batch files of a few days
+    each, so every task writes a file for each of those days.
+    """
+    dated = with_event_time(observations).withColumn("event_date", F.to_date("ts_obj"))
+    return (
+        dated.writeStream.format("parquet")
+        .partitionBy("event_date")
+        .option("path", path)
+        .option("checkpointLocation", f"{path}/_checkpoint")
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def display(df: DataFrame, truncate: bool = False) -> None:
+    """Print the schema and all rows of a report."""
     df.printSchema()
-    df.show(n, truncate=truncate)
+    df.show(df.count(), truncate=truncate)
+
+
+def print_rows(df: DataFrame) -> None:
+    """Print any number of rows, fetched a partition at a time."""
+    for row in df.toLocalIterator(prefetchPartitions=True):
+        print(*row, sep="\t")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monsoon import schemas as S
+from monsoon.functions.clock import iso_text
 from monsoon.functions.text import from_bytes, key_text, message_line, prefix
-from monsoon.functions.wire import decoded
+from monsoon.functions.wire import decoded, unreadable
+from monsoon.session import matches
 
 
 def read_topic(
@@ -19,11 +21,12 @@ def read_topic(
     stream: bool = False,
     max_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A topic from its earliest offset.
+    """A topic from its earliest message.
 
     With ``servers`` the broker is read through Spark's Kafka source, which needs the
     connector on the class path; with ``path`` the file-backed bus. As a stream the
-    checkpoint of the query keeps the position, in the role of a consumer group.
+    checkpoint of the query keeps the position, in the role of a consumer group, and
+    ``max_per_trigger`` (messages, or files) delays what is more to later batches.
     """
     reader = spark.readStream if stream else spark.read
     if servers:
@@ -36,47 +39,68 @@ def read_topic(
         if stream and max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
         return reader.load()
-    reader = reader.schema(S.BUS)
+    files = f"{path}/*/topic={topic}"
+    if not stream and not matches(spark, files):
+        return spark.createDataFrame([], S.BUS)
+    reader = reader.schema(S.MESSAGE)
     if stream and max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    return reader.parquet(path).filter(F.col("topic") == topic)
+    return reader.parquet(files).select(F.lit(topic).alias("topic"), *S.MESSAGE.names)
+
+
+def _parsed(bus: DataFrame, schema: T.StructType) -> DataFrame:
+    # Through a generator, below which no filter is pushed, each value is parsed once.
+    return bus.select("*", F.inline(F.array(F.struct(decoded(F.col("value"), schema).alias("event")))))
 
 
 def messages(bus: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
-    """Decoded events of a topic, with any bus columns asked for."""
-    return bus.select(*keep, decoded(F.col("value"), schema).alias("event")).select(
-        *keep, "event.*"
+    """Decoded events of a topic, with any bus columns asked for; see ``message_rejects``."""
+    event = F.col("event")
+    readable = _parsed(bus, schema).filter(~unreadable(event, schema))
+    return readable.select(*keep, *(event.getField(f).alias(f) for f in schema.names))
+
+
+def message_rejects(bus: DataFrame, schema: T.StructType) -> DataFrame:
+    """The messages ``messages`` leaves out: topic, key, text and the time they were sent."""
+    return (
+        _parsed(bus, schema)
+        .filter(unreadable(F.col("event"), schema))
+        .select(
+            "topic",
+            key_text(F.col("key")).alias("key"),
+            from_bytes(F.col("value")).alias("isi"),
+            iso_text(F.col("timestamp")).alias("dikirim"),
+        )
     )
 
 
-def heads(bus: DataFrame) -> DataFrame:
-    """Messages as a peek shows them: place, key and the head of the value."""
-    return bus.select(
-        "partition",
-        "offset",
+def _head() -> list[Column]:
+    return [
         key_text(F.col("key")).alias("key"),
         prefix(from_bytes(F.col("value")), S.PEEK_CHARS).alias("value"),
-    )
+    ]
+
+
+def heads(bus: DataFrame) -> DataFrame:
+    """Messages of a broker as a peek shows them: place, key and the head of the value."""
+    return bus.select("partition", "offset", *_head())
 
 
 def peek(bus: DataFrame, n: int = S.PEEK_MESSAGES) -> DataFrame:
-    """The first n messages of a stored topic.
+    """The first n messages of a stored topic by time and key.
 
-    Finding the last of them takes only the two numbers of each message. Values are then
-    read up to its offset, and files or row groups beyond that are skipped.
+    Finding the last of them takes only the times. Values are then read up to it, and files
+    or row groups beyond that are skipped.
     """
-    place = ["partition", "offset"]
-    last = bus.select(*place).orderBy(*place).limit(n).agg(F.max("offset")).scalar()
-    return heads(bus.filter(F.col("offset") <= last).orderBy(*place).limit(n))
+    last = bus.select("timestamp").orderBy("timestamp").limit(n).agg(F.max("timestamp")).scalar()
+    return (
+        bus.filter(F.col("timestamp") <= last)
+        .orderBy("timestamp", "key", "value")
+        .limit(n)
+        .select(iso_text(F.col("timestamp")).alias("waktu"), *_head())
+    )
 
 
 def message_lines(shown: DataFrame) -> DataFrame:
-    return shown.select(message_line().alias("baris"))
-
-
-def partition_of(key: Column, partitions: int) -> Column:
-    """Partition of a key on the file-backed bus; a broker chooses its own."""
-    if partitions == 1:
-        return F.lit(0)
-    head = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(head, F.lit(partitions)).cast("int")
+    place = "offset" if "offset" in shown.columns else "waktu"
+    return shown.select(message_line(place).alias("baris"))

@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monsoon import schemas as S
-
-
-def landed_feeds(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.RAW_FEED).parquet(path)
+from monsoon.functions.clock import iso_text
 
 
 def landed_feeds_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -28,7 +25,8 @@ def _documents(raw: DataFrame) -> DataFrame:
 def feed_entries(raw: DataFrame) -> DataFrame:
     """One row per entry, with its place in the document.
 
-    A document that is not XML yields no entries and leaves the other feeds alone.
+    A document that cannot be read yields no entries, leaves the other feeds alone and is
+    listed by ``feed_rejects``.
     """
     kept = [c for c in raw.columns if c != "xml"]
     return (
@@ -42,6 +40,19 @@ def feed_entries(raw: DataFrame) -> DataFrame:
     )
 
 
+def feed_rejects(raw: DataFrame) -> DataFrame:
+    """Landed documents without a channel that can be read, whole, with the reason."""
+    read = raw.select("*", F.inline(F.array(F.struct(F.from_xml("xml", S.FEED_DOCUMENT).alias("doc")))))
+    reason = F.when(F.col("xml").isNull(), "no_document").when(
+        F.col("doc.channel").isNull(), "no_channel"
+    )
+    return (
+        read.withColumn("alasan", reason)
+        .filter(F.col("alasan").isNotNull())
+        .select("feed_url", iso_text(F.col("fetched_at")).alias("fetched_at"), "xml", "alasan")
+    )
+
+
 def together(*entries: DataFrame) -> DataFrame:
     """Entries landed in separate places as one frame; every one of them is kept."""
     return reduce(DataFrame.unionByName, entries)
@@ -52,6 +63,6 @@ def feed_summaries(raw: DataFrame) -> DataFrame:
     kept = [c for c in raw.columns if c != "xml"]
     return _documents(raw).select(
         *kept,
-        F.coalesce("doc.channel.title", F.lit("tidak ada judul")).alias("judul_feed"),
+        F.coalesce("doc.channel.title", F.lit(S.NO_FEED_TITLE)).alias("judul_feed"),
         F.coalesce(F.size("doc.channel.item"), F.lit(0)).alias("jumlah_artikel"),
     )

@@ -16,6 +16,12 @@ def stored_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def inventory(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Every file with size, time and rows; a file without rows has 0."""
+    counted = rows_per_file(rows)
+    return files.join(counted, "path", "left").na.fill(0, ["jumlah_event"])
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows each file contributes to a file-based frame."""
     return df.groupBy(F.col("_metadata.file_path").alias("path")).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monsoon import schemas as S
+from monsoon.functions.wire import BLANKS
 
 
 def _scan(spark: SparkSession, path: str, multi_line: bool, extra: T.StructType) -> DataFrame:
@@ -21,12 +22,14 @@ def _scan(spark: SparkSession, path: str, multi_line: bool, extra: T.StructType)
 
 
 def _unreadable() -> Column:
-    """A record that cannot be parsed at all: it has no field but its own text.
+    """A record that gave no field but its own text.
 
-    Testing one field besides that text keeps the scan pruned to the columns a query
-    asks for and picks the same records whichever columns those are.
+    Every field is looked at, so all are parsed for any query: which records count must not
+    depend on the columns a query asks for. Analyses that repeat read curated files, where
+    columns are pruned.
     """
-    return F.col("kode_kota").isNull() & F.col(S.CORRUPT).isNotNull()
+    fields = F.coalesce(*(F.col(name).cast("string") for name in S.OBSERVATION.names))
+    return fields.isNull() & F.col(S.CORRUPT).isNotNull()
 
 
 def weather_files(
@@ -50,7 +53,7 @@ def weather_rejects(spark: SparkSession, path: str, multi_line: bool = False) ->
     """The records ``weather_files`` leaves out, with file and text."""
     return (
         _scan(spark, path, multi_line, T.StructType())
-        .select("kode_kota", S.CORRUPT, F.col("_metadata.file_path").alias("path"))
+        .select("*", F.col("_metadata.file_path").alias("path"))
         .filter(_unreadable())
         .select("path", F.col(S.CORRUPT).alias("isi"))
     )
@@ -62,14 +65,43 @@ def curated_weather(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType([*S.OBSERVATION.fields, *added])).parquet(path)
 
 
-def landed_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Landed answers of the weather service, one row per city and poll."""
-    return spark.read.schema(S.RAW_RESPONSE).parquet(path)
+def wrong_layout(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Files that would lose records if read in this layout, with the reason.
+
+    Read as one document, a file with several would give its first only; read by line, a
+    document over several lines would give none.
+    """
+    line = F.btrim(F.col("value"), F.lit(BLANKS))
+    begins = F.col("value").rlike(r"^[\[{]")
+    counts = (
+        spark.read.text(path)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
+        .groupBy("path")
+        .agg(
+            F.count_if(begins).alias("documents"),
+            F.count_if((line != "") & ~begins).alias("inner"),
+        )
+    )
+    if multi_line:
+        return counts.filter("documents > 1").select("path", F.lit("several documents").alias("alasan"))
+    indented = counts.filter("documents = 1 AND inner > 1")
+    return indented.select("path", F.lit("one document over several lines").alias("alasan"))
+
+
+def weather_files_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Observations of batch files as they appear, a record or an array per line."""
+    corrupt = T.StructField(S.CORRUPT, T.StringType())
+    reader = spark.readStream.schema(T.StructType([*S.OBSERVATION.fields, corrupt]))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.option("columnNameOfCorruptRecord", S.CORRUPT).json(path)
+    return rows.filter(~_unreadable()).drop(S.CORRUPT)
 
 
 def landed_responses_stream(
     spark: SparkSession, path: str, max_files: int | None = None
 ) -> DataFrame:
+    """Landed answers of the weather service, one row per city and poll."""
     reader = spark.readStream.schema(S.RAW_RESPONSE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -8,101 +8,72 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from monsoon import schemas as S
-from monsoon.operators.articles import first_seen, with_link
-from monsoon.session import ADAPTIVE, using
+from monsoon.operators.articles import with_link
+from monsoon.session import ADAPTIVE, ROCKSDB, stream_id, using
+from monsoon.streaming.monitor import counted
 from monsoon.streaming.triggers import POLL_NEWS
 
+Forward = Callable[[DataFrame, str], None]
 
-def distinct_links(articles: DataFrame, spread: list[str], salts: int = 8) -> DataFrame:
-    """One article per link, kept in the state store without expiry.
 
-    A stateful operator sends all rows of a link to one task. The first step therefore
-    keeps one row per link and salt, so a link with much of the rows is worked on by
-    ``salts`` tasks; the second step sees at most that many rows of it, ever. Which of
-    the rows of one batch is kept is not defined; ``first_seen_stream`` defines it.
+def newly_seen(articles: DataFrame, order: list) -> DataFrame:
+    """The first article of each link, in the batch that brings the link first.
 
-    ``spread`` names columns that differ between the repeats of a link.
-    """
-    kept = with_link(articles)
-    if salts > 1:
-        salt = F.pmod(F.xxhash64(*spread), F.lit(salts))
-        kept = kept.withColumn("_salt", salt).dropDuplicates(["link", "_salt"]).drop("_salt")
-    return kept.dropDuplicates(["link"])
-
-
-def distinct_links_within(articles: DataFrame, time: str, horizon: str) -> DataFrame:
-    """As above with bounded state, which is not exact.
-
-    A link is forgotten after the horizon and may be sent again, and an article older
-    than the watermark is dropped even if its link is new.
+    The state store keeps the first article of every link, without expiry, and the times of
+    the batches that had the link first and last; all rows of a batch have one time, which
+    a repeated batch has again. A link that is new has both times alike. Each task reduces
+    its rows to one per link before the shuffle, so a link that much of a batch carries is
+    no heavier than any other, and nothing that was stored is read again.
     """
+    first = F.min_by(F.struct(*articles.columns), F.struct("_seen", *order))
     return (
-        with_link(articles).withWatermark(time, horizon).dropDuplicatesWithinWatermark(["link"])
+        with_link(articles)
+        .withColumn("_seen", F.current_timestamp())
+        .groupBy(F.col("link").alias("_link"))
+        .agg(first.alias("first"), F.min("_seen").alias("_from"), F.max("_seen").alias("_to"))
+        .filter(F.col("_from") == F.col("_to"))
+        .select("first.*")
     )
 
 
-# What is read back of the stored articles: the link, and the batch from the directory.
-SENT = S.shape(link=S.TEXT, batch=S.WHOLE)
-
-Forward = Callable[[DataFrame], None]
-
-
-def _append_new(path: str, order: list, forward: Forward | None) -> Callable[[DataFrame, int], None]:
-    def store_new(batch: DataFrame, batch_id: int, own: str) -> None:
-        fresh = first_seen(batch, order).persist()
-        try:
-            new = fresh
-            if batch_id > 0:
-                # Counting fills the cache, so the optimizer knows the true size of the
-                # batch and broadcasts its links only if they are below its threshold.
-                fresh.count()
-                stored = batch.sparkSession.read.schema(SENT).parquet(path)
-                sent = stored.filter(F.col("batch") < batch_id).select("link")
-                known = sent.join(fresh.select("link"), "link", "left_semi")
-                new = fresh.join(known, "link", "left_anti")
-            # The stream's shuffle has many small partitions; write few files instead.
-            new.hint("rebalance").write.mode("overwrite").parquet(own)
-        finally:
-            fresh.unpersist()
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{path}/batch={batch_id}"
-        # A stream turns adaptive execution off in its session. Once the batch is cached,
-        # the rest are batch plans that gain from it.
-        with using(spark, ADAPTIVE):
-            store_new(batch, batch_id, own)
-            if forward:
-                forward(spark.read.schema(batch.schema).parquet(own))
-
-    return write
-
-
 def first_seen_stream(
     articles: DataFrame,
     path: str,
     order: list,
     trigger: dict = POLL_NEWS,
     forward: Forward | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """The first article of each link in arrival order, appended batch by batch.
 
-    The stored articles are themselves the record of what was sent: result and memory
-    are one table and commit together. Each batch writes its own directory and reads
-    only earlier ones, so a repeated batch replaces its own files and finds the same
-    articles new. The position of the stream is kept below the same path, for without
-    it the batches would be numbered anew and replace older ones.
+    Each batch writes a directory of its own, so a repeated batch replaces its own files.
+    The position and the links seen are kept below the same path, for without them the
+    batches would be numbered anew and replace older ones.
 
-    Repeats inside a batch are removed in each task before the shuffle, and of the
-    history only the link column is read.
-
-    ``forward`` gets the new articles of each batch once they are stored, for example
-    to publish them. After a failure it may get a batch again, but none is left out.
+    ``forward`` gets the new articles of each batch once they are stored, for example to
+    publish them, with a name for the batch that is the same if it is repeated. After a
+    failure it may get a batch again, but none is left out.
     """
-    return (
-        articles.writeStream.foreachBatch(_append_new(path, order, forward))
-        .option("checkpointLocation", f"{path}/_checkpoint")
-        .trigger(**trigger)
-        .start()
-    )
+    checkpoint = f"{path}/_checkpoint"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{path}/batch={batch_id}"
+        # A stream turns adaptive execution off in its session; its shuffle has many small
+        # partitions, which are written as few files.
+        with using(spark, ADAPTIVE):
+            batch.hint("rebalance").write.mode("overwrite").parquet(own)
+            if forward:
+                new = spark.read.schema(batch.schema).parquet(own)
+                forward(new, f"{stream_id(spark, checkpoint)}-{batch_id}")
+
+    with using(articles.sparkSession, ROCKSDB):
+        writer = counted(newly_seen(articles, order)).writeStream.outputMode("update")
+        if name:
+            writer = writer.queryName(name)
+        return (
+            writer.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )

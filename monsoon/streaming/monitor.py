@@ -1,32 +1,56 @@
-"""What a running stream reports about itself."""
+"""What running streams report about themselves."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from monsoon import schemas as S
+
+NEW_ARTICLES = "artikel_baru"
 
 
 def counted(articles: DataFrame, name: str = "poll") -> DataFrame:
     """Count the rows passing here, reported with each micro-batch."""
-    return articles.observe(name, F.count(F.lit(1)).alias("artikel_baru"))
+    return articles.observe(name, F.count(F.lit(1)).alias(NEW_ARTICLES))
+
+
+class BatchCounts(StreamingQueryListener):
+    """Counts of every micro-batch of every stream that had any events.
+
+    ``batches`` maps (stream, batch) to the events taken in and the new articles, the
+    latter None where none are counted. ``told`` is called with each as it comes.
+    """
+
+    def __init__(self, told: Callable[[str], None] | None = None) -> None:
+        self.batches: dict[tuple[str, int], tuple[int, int | None]] = {}
+        self.told = told
 
+    def onQueryStarted(self, event) -> None:
+        pass
 
-def counted_batches(query: StreamingQuery, name: str = "poll") -> dict[int, int]:
-    """Rows counted by ``counted``, per recent micro-batch."""
-    return {
-        p.batchId: p.observedMetrics[name]["artikel_baru"]
-        for p in query.recentProgress
-        if name in p.observedMetrics
-    }
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        new = [m[NEW_ARTICLES] for m in progress.observedMetrics.values() if NEW_ARTICLES in m]
+        events = progress.numInputRows
+        if not events:
+            return
+        name = progress.name or str(progress.id)
+        self.batches[name, progress.batchId] = events, new[0] if new else None
+        if self.told:
+            fresh = f", {new[0]} artikel baru" if new else ""
+            self.told(f"  {name:15s} : batch {progress.batchId}, {events} event{fresh}")
 
+    def onQueryIdle(self, event) -> None:
+        pass
 
-def batch_sizes(query: StreamingQuery) -> dict[int, int]:
-    """Events taken in by each recent micro-batch that had any."""
-    return {p.batchId: p.numInputRows for p in query.recentProgress if p.numInputRows}
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def status_lines(queries: dict[str, StreamingQuery]) -> list[str]:
     """Which streams are alive."""
-    states = {True: "🟢 berjalan", False: "🔴 mati"}
-    return [f"  {name:15s} : {states[query.isActive]}" for name, query in queries.items()]
+    return [f"  {n:15s} : {S.ALIVE if q.isActive else S.DEAD}" for n, q in queries.items()]

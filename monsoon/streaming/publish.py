@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from monsoon.sinks.bus import broker_options
+from monsoon.session import stream_id
+from monsoon.sinks.bus import broker_options, publish
 from monsoon.streaming.triggers import DRAIN
 
 
@@ -19,7 +20,8 @@ def publish_stream(
 ) -> StreamingQuery:
     """Publish messages as they arrive.
 
-    The file-backed bus commits each batch exactly once; a broker may see a batch again
+    On the file-backed bus each batch is a part of its own, named after the stream and the
+    batch, so a repeated batch finds its part complete. A broker may see a batch again
     after a failure, as with any at-least-once sink.
     """
     if servers:
@@ -29,9 +31,12 @@ def publish_stream(
             .options(**broker_options(servers))
         )
     else:
-        writer = (
-            messages.writeStream.format("parquet").partitionBy("topic").option("path", path)
-        )
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            own = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
+            publish(batch, path, part=own)
+
+        writer = messages.writeStream.foreachBatch(write)
     if name:
         writer = writer.queryName(name)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

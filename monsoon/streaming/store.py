@@ -30,9 +30,3 @@ def store_stream(
     if name:
         writer = writer.queryName(name)
     return writer.start()
-
-
-def drain(query: StreamingQuery) -> None:
-    """Store the remainder, then stop."""
-    query.processAllAvailable()
-    query.stop()

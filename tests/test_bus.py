@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from datetime import datetime, timezone
 
 import pytest
 from conftest import tuples
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.sinks.bus import broker_options, news_messages, publish, weather_messages
-from monsoon.sources.bus import message_lines, messages, peek, read_topic
+from monsoon.sources.bus import message_lines, message_rejects, messages, peek, read_topic
 
 
 @pytest.fixture
@@ -25,39 +26,72 @@ def numbered(weather):
 
 def test_round_trip(spark, numbered, weather, tmp_path):
     path = str(tmp_path / "bus")
-    publish(weather_messages(numbered, F.col("n"), F.col("at"), partitions=6), path)
+    publish(weather_messages(numbered, F.col("at")), path)
     bus = read_topic(spark, S.TOPIC_WEATHER, path)
     assert {f.name: f.dataType for f in bus.schema} == {f.name: f.dataType for f in S.BUS}
     assert sorted(tuples(messages(bus, S.OBSERVATION)), key=repr) == sorted(tuples(weather), key=repr)
-    keyed = messages(bus, S.OBSERVATION, "key", "partition").collect()
+    keyed = messages(bus, S.OBSERVATION, "key").collect()
     assert all(r.key.decode() == r.kode_kota for r in keyed)
-    # One city, one partition.
-    assert len({(r.kode_kota, r.partition) for r in keyed}) == len({r.kode_kota for r in keyed})
 
 
 def test_topics_are_apart(spark, numbered, tmp_path):
     path = str(tmp_path / "bus")
-    publish(weather_messages(numbered, F.col("n"), F.col("at")), path)
+    publish(weather_messages(numbered, F.col("at")), path)
     news = spark.createDataFrame([("t", "http://x", "r", "w", "s", "ts")], S.ARTICLE)
-    publish(news_messages(news, F.lit(1), F.current_timestamp()), path)
+    publish(news_messages(news, F.current_timestamp()), path)
     [message] = read_topic(spark, S.TOPIC_NEWS, path).collect()
     assert message.key.decode() == hashlib.md5(b"http://x").hexdigest()[:8]
     assert json.loads(message.value)["judul"] == "t"
     assert read_topic(spark, S.TOPIC_WEATHER, path).count() == 6
 
 
+def test_a_part_is_written_once(spark, numbered, tmp_path):
+    path = str(tmp_path / "bus")
+    for _ in range(2):
+        publish(weather_messages(numbered, F.col("at")), path, part="w-0")
+    assert read_topic(spark, S.TOPIC_WEATHER, path).count() == 6
+    (tmp_path / "bus" / "w-0" / "_SUCCESS").unlink()  # as if the job had died
+    publish(weather_messages(numbered, F.col("at")), path, part="w-0")
+    assert read_topic(spark, S.TOPIC_WEATHER, path).count() == 6
+
+
+def test_a_topic_without_messages(spark, tmp_path):
+    none = read_topic(spark, S.TOPIC_NEWS, str(tmp_path / "bus"))
+    assert none.schema == S.BUS and none.count() == 0
+
+
+def test_undecodable_messages_are_rejected(spark):
+    values = [b'{"judul":"t"}', b"not json", None, b"", b'{"judul":', b"[1]", b'{"judul":"u"}\n', b'{"judul":null}']
+    at = datetime(2026, 5, 6, 12, tzinfo=timezone.utc)
+    bus = spark.createDataFrame([("t", at, b"k", v) for v in values], S.BUS)
+    assert sorted(str(r.judul) for r in messages(bus, S.ARTICLE).collect()) == ["None", "t", "u"]
+    rejects = message_rejects(bus, S.ARTICLE).collect()
+    assert sorted(str(r.isi) for r in rejects) == ["", "None", "[1]", "not json", '{"judul":']
+    assert {(r.topic, r.key, r.dikirim) for r in rejects} == {("t", "k", "2026-05-06T12:00:00")}
+
+
+def test_a_message_with_one_bad_field_keeps_the_others(spark):
+    value = b'{"kode_kota":null,"humidity":"wet","temperature":30.5}'
+    bus = spark.createDataFrame([("t", None, None, value)], S.BUS)
+    [row] = messages(bus, S.OBSERVATION).collect()
+    assert (row.temperature, row.humidity) == (30.5, None)
+    assert message_rejects(bus, S.OBSERVATION).count() == 0
+
+
 def test_peek(spark):
-    rows = [("t", p, o, None, key, b'{"a":"' + b"x" * 200 + b'"}') for p, o, key in [
-        (1, 0, b"k"), (0, 2, b""), (0, 1, None), (0, 3, b"k"), (1, 5, b"k"), (1, 6, b"z"),
+    rows = [("t", datetime(2026, 5, 6, 12, m, tzinfo=timezone.utc), key, b'{"a":"' + b"x" * 200 + b'"}') for m, key in [
+        (4, b"k"), (1, b""), (0, None), (2, b"k"), (2, b"a"), (6, b"z"),
     ]]
     bus = spark.createDataFrame(rows, S.BUS)
     first = peek(bus).collect()
-    assert [(r.partition, r.offset, r.key) for r in first] == [
-        (0, 1, None), (0, 2, None), (0, 3, "k"), (1, 0, "k"), (1, 5, "k"),
+    assert [(r.waktu[14:16], r.key) for r in first] == [
+        ("00", None), ("01", None), ("02", "a"), ("02", "k"), ("04", "k"),
     ]
     assert all(len(r.value) == S.PEEK_CHARS for r in first)
     assert peek(bus, 2).count() == 2
-    assert tuples(message_lines(peek(bus, 1)))[0][0].startswith('  offset=1 | key=None | value={"a":"x')
+    assert tuples(message_lines(peek(bus, 1)))[0][0] == (
+        '  waktu=2026-05-06T12:00:00 | key=None | value={"a":"' + "x" * 114 + "..."
+    )
 
 
 def test_broker_settings():

@@ -9,7 +9,7 @@ import sys
 import pytest
 from conftest import ROOT
 
-from monsoon.session import CLUSTER, scratch, settle, using, widen
+from monsoon.session import CLUSTER, first_partitions, matches, scratch, settle, using, widen
 
 
 def test_scratch_follows_the_shared_folder(spark):
@@ -49,6 +49,17 @@ def test_cluster_sizes_yield_to_settings(spark):
         assert {k: spark.conf.get(k) for k in CLUSTER} == {**CLUSTER, **mine}
 
 
+def test_first_partitions_follow_the_input():
+    assert first_partitions(0) == first_partitions(1 << 30) == 4096
+    assert first_partitions(100 << 40) == 409_600
+
+
+def test_matches(spark, tmp_path):
+    (tmp_path / "a-1").mkdir()
+    assert matches(spark, f"{tmp_path}/a-*") and matches(spark, f"{tmp_path}/a-1")
+    assert not matches(spark, f"{tmp_path}/b-*") and not matches(spark, f"{tmp_path}/none/x")
+
+
 def test_using_restores(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)

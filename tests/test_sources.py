@@ -13,8 +13,9 @@ from monsoon.operators import analyses as A
 from monsoon.operators import observations as O
 from monsoon.sinks.results import display, write_curated, write_document, write_json
 from monsoon.sources.dimensions import cities, feeds
-from monsoon.sources.inventory import rows_per_file, stored_files
-from monsoon.sources.weather import curated_weather, weather_files, weather_rejects
+from monsoon.sources.inventory import inventory, rows_per_file, stored_files
+from monsoon.sources.feeds import feed_entries, feed_rejects
+from monsoon.sources.weather import curated_weather, weather_files, weather_rejects, wrong_layout
 
 
 def by_text(rows):
@@ -53,6 +54,48 @@ def test_whole_number_temperatures_stay_double(spark, tmp_path):
     assert (row.temperature, row.humidity) == (30.0, 80.5)
 
 
+def test_the_row_set_does_not_depend_on_the_columns(spark, tmp_path):
+    """One record without code and with one bad field: every analysis counts it."""
+    (tmp_path / "a.json").write_text(
+        '{"kode_kota":null,"humidity":"wet","temperature":36,"timestamp":"2026-05-06 10:00:00"}\n'
+        '{"kode_kota":"JKT","temperature":36,"timestamp":"2026-05-06 10:30:00"}\n'
+        '{"kode_kota":"SBY","tempera'
+    )
+    df = weather_files(spark, str(tmp_path))
+    assert len(df.collect()) == 2
+    assert tuples(A.total_events(df)) == [(2,)]
+    assert tuples(A.extreme_total(df)) == [(2,)]
+    assert [r.jumlah_event for r in A.hourly_trend(df).collect()] == [2]
+    assert sum(r.jumlah_event for r in A.city_temperatures(df).collect()) == 2
+    assert weather_rejects(spark, str(tmp_path)).count() == 1
+
+
+@pytest.mark.parametrize(
+    "name,text,by_line,whole",
+    [
+        ("array on one line", '[{"a":1},{"a":2}]\n', 0, 0),
+        ("record per line", '{"a":1}\n{"a":2}\n', 0, 1),
+        ("arrays per line", '[{"a":1}]\n[{"a":2}]\n', 0, 1),
+        ("indented array", '[\n    {\n        "a": 1\n    }\n]\n', 1, 0),
+        ("one record", '{"a":1}', 0, 0),
+        ("nothing", "", 0, 0),
+    ],
+)
+def test_wrong_layout(spark, tmp_path, name, text, by_line, whole):
+    (tmp_path / "a.json").write_text(text)
+    assert wrong_layout(spark, str(tmp_path)).count() == by_line
+    assert wrong_layout(spark, str(tmp_path), multi_line=True).count() == whole
+
+
+def test_unreadable_feeds_are_rejected(spark):
+    good = "<rss><channel><title>t</title><item><link>a</link></item></channel></rss>"
+    xml = [good, good[:-20], "no xml", None, "<feed><entry/></feed>"]
+    raw = spark.createDataFrame([(i, f"u{i}", x, None) for i, x in enumerate(xml)], S.RAW_FEED)
+    assert [r.link for r in feed_entries(raw).collect()] == ["a"]
+    assert {(r.feed_url, r.alasan) for r in feed_rejects(raw).collect()} == {
+        ("u1", "no_channel"), ("u2", "no_channel"), ("u3", "no_document"), ("u4", "no_channel")}
+
+
 def test_indented_array_needs_multi_line(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"kode_kota": "JKT"}, {"kode_kota": "SBY"}], indent=4))
     assert weather_files(spark, str(tmp_path), multi_line=True).count() == 2
@@ -97,6 +140,9 @@ def test_answers(spark):
         [
             ("JKT", FULL % "30.5"),
             ("SBY", FULL % "null"),
+            ("SMG", FULL % "1" + "\n"),
+            ("MDN", "\t " + FULL % "1" + "\r\n"),
+            ("MKS", FULL % "1" + "\t"),
             ("SMG", '{"current":{"relative_humidity_2m":80}}'),
             ("MDN", '{"error":true}'),
             ("MKS", "not json"),
@@ -111,7 +157,7 @@ def test_answers(spark):
     )
     checked = O.checked_responses(raw)
     accepted = {r.kode_kota: r for r in O.observations(checked).collect()}
-    assert set(accepted) == {"JKT", "SBY"}
+    assert set(accepted) == {"JKT", "SBY", "SMG", "MDN", "MKS"}
     assert tuple(accepted["JKT"]) == (
         "JKT", "Jakarta", 30.5, 80.0, 3.5, 3, "2026-05-06T12:04:56.500000",
     )
@@ -174,9 +220,11 @@ def test_inventory(spark, weather_dir, weather):
     ]
     assert all(r.length > 0 and r.modificationTime for r in files)
     assert sorted(r.jumlah_event for r in rows_per_file(weather).collect()) == [2, 4]
+    listed = inventory(stored_files(spark, weather_dir), weather).collect()
+    assert sorted(r.jumlah_event for r in listed) == [2, 4]
 
 
 def test_display(weather, capsys):
-    display(A.hourly_trend(weather), n=24)
+    display(A.hourly_trend(weather))
     shown = capsys.readouterr().out
     assert "jam: integer" in shown and "32.75" in shown

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.operators import articles as N
-from monsoon.session import ROCKSDB, using
-from monsoon.sinks.bus import weather_messages
+from monsoon.sinks.bus import news_messages, publish, weather_messages
 from monsoon.sources.bus import messages, read_topic
 from monsoon.sources.weather import weather_files
 from monsoon.streaming import triggers
-from monsoon.streaming.dedup import distinct_links, distinct_links_within, first_seen_stream
-from monsoon.streaming.monitor import batch_sizes, counted, counted_batches, status_lines
+from monsoon.streaming.dedup import first_seen_stream
+from monsoon.streaming.monitor import BatchCounts, status_lines
+from monsoon.streaming.pipeline import run_together
 from monsoon.streaming.publish import publish_stream
-from monsoon.streaming.store import drain, store_stream
+from monsoon.streaming.store import store_stream
 
 ARTICLES = S.shape(poll=S.WHOLE, pos=S.WHOLE, link=S.TEXT, judul=S.TEXT, at=S.INSTANT)
 ORDER = ["poll", "pos"]
@@ -86,21 +86,6 @@ def test_first_seen_batch_equals_stream(spark, tmp_path, at_once):
     assert spark.read.parquet(str(out)).count() == len(FIRST)
 
 
-def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    from monsoon.streaming.dedup import _append_new
-
-    landed, out = tmp_path / "in", str(tmp_path / "out")
-    for poll in POLLS:
-        land(landed, poll)
-    rows = spark.read.schema(ARTICLES).json(str(landed))
-    write = _append_new(out, ORDER, None)
-    write(rows.filter("poll <= 2"), 0)
-    for _ in range(2):
-        write(rows.filter("poll > 2"), 1)
-    assert stored(spark, out) == FIRST
-    assert spark.read.parquet(out).count() == len(FIRST)
-
-
 def hot_feed(tmp_path, polls=6, rows=600):
     """A third of the rows of every poll carry one link; the others repeat in turn."""
     landed, first = tmp_path / "in", {}
@@ -123,18 +108,6 @@ def test_hot_link_in_streams(spark, tmp_path):
         stream_of(spark, landed, 2), str(tmp_path / "out"), ORDER, triggers.DRAIN
     ).awaitTermination()
     assert stored(spark, tmp_path / "out") == first
-    with using(spark, ROCKSDB):
-        (
-            distinct_links(stream_of(spark, landed, 2), spread=ORDER)
-            .writeStream.format("parquet")
-            .option("path", str(tmp_path / "links"))
-            .option("checkpointLocation", str(tmp_path / "check"))
-            .trigger(**triggers.DRAIN)
-            .start()
-            .awaitTermination()
-        )
-    links = [r.link for r in spark.read.parquet(str(tmp_path / "links")).collect()]
-    assert sorted(links) == sorted(first)
 
 
 def test_new_articles_are_forwarded(spark, tmp_path):
@@ -146,9 +119,11 @@ def test_new_articles_are_forwarded(spark, tmp_path):
             str(tmp_path / "out"),
             ORDER,
             triggers.DRAIN,
-            forward=lambda new: passed.append(sorted(r.link for r in new.collect())),
+            forward=lambda new, part: passed.append((part, sorted(r.link for r in new.collect()))),
         ).awaitTermination()
-    assert passed == [["a", "b"], ["c"], [], ["d"]]
+    assert [links for _, links in passed] == [["a", "b"], ["c"], [], ["d"]]
+    assert [part.rpartition("-")[2] for part, _ in passed] == ["0", "1", "2", "3"]
+    assert len({part.rpartition("-")[0] for part, _ in passed}) == 1
 
 
 def test_a_failed_batch_is_repeated_whole(spark, tmp_path):
@@ -160,10 +135,10 @@ def test_a_failed_batch_is_repeated_whole(spark, tmp_path):
             stream_of(spark, landed), str(out), ORDER, triggers.DRAIN, forward
         ).awaitTermination()
 
-    def keep(new):
+    def keep(new, part):
         passed.extend(sorted(r.link for r in new.collect()))
 
-    def fail(new):
+    def fail(new, part):
         raise ValueError("no broker")
 
     land(landed, 1)
@@ -178,54 +153,6 @@ def test_a_failed_batch_is_repeated_whole(spark, tmp_path):
     assert spark.read.parquet(str(out)).count() == len(FIRST)
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_distinct_links(spark, tmp_path, salts):
-    landed, out = tmp_path / "in", str(tmp_path / "out")
-
-    def run():
-        with using(spark, ROCKSDB):
-            links = distinct_links(stream_of(spark, landed, 1), spread=ORDER, salts=salts)
-            (
-                links.writeStream.format("parquet")
-                .option("path", out)
-                .option("checkpointLocation", str(tmp_path / "check"))
-                .trigger(**triggers.DRAIN)
-                .start()
-                .awaitTermination()
-            )
-
-    for poll in (1, 2):
-        land(landed, poll)
-    run()
-    for poll in (3, 4):
-        land(landed, poll)
-    run()
-    run()
-    assert sorted(r.link for r in spark.read.parquet(out).collect()) == sorted(FIRST)
-
-
-def test_bounded_dedup_loses_late_links(spark, tmp_path):
-    """The opt-in is not exact: an old article with a new link is dropped."""
-    landed, out = tmp_path / "in", str(tmp_path / "out")
-
-    def run():
-        (
-            distinct_links_within(stream_of(spark, landed), "at", "1 hour")
-            .writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", str(tmp_path / "check"))
-            .trigger(**triggers.DRAIN)
-            .start()
-            .awaitTermination()
-        )
-
-    land(landed, 2)
-    run()
-    land(landed, 4, hours=1)
-    run()
-    assert sorted(r.link for r in spark.read.parquet(out).collect()) == ["b", "c"]
-
-
 def land_weather(path, name, rows):
     path.mkdir(exist_ok=True)
     (path / name).write_text("\n".join(json.dumps(dict(zip(FIELDS, r))) for r in rows))
@@ -245,7 +172,7 @@ def test_publish_store_and_resume(spark, tmp_path, weather):
     def run():
         events = weather_stream(spark, landed)
         publish_stream(
-            weather_messages(events, F.lit(0), F.current_timestamp(), partitions=6),
+            weather_messages(events, F.current_timestamp()),
             str(tmp_path / "bus-check"),
             bus,
         ).awaitTermination()
@@ -257,56 +184,126 @@ def test_publish_store_and_resume(spark, tmp_path, weather):
         return query
 
     land_weather(landed, "one.json", OBSERVATIONS[:4])
-    assert sum(batch_sizes(run()).values()) == 4
+    run()
+    assert weather_files(spark, api).count() == 4
     land_weather(landed, "two.json", OBSERVATIONS[4:])
-    assert sum(batch_sizes(run()).values()) == 2
+    run()
     files = set((tmp_path / "api").glob("part-*"))
-    assert batch_sizes(run()) == {}
+    run()
     # A run without news adds no file.
     assert set((tmp_path / "api").glob("part-*")) == files
     back = weather_files(spark, api)
     assert by_text(tuples(back)) == by_text(tuples(weather))
 
 
-def test_two_streams_run_drain_and_stop(spark, tmp_path):
-    """Processing-time triggers, own checkpoints, status, remainder flushed on stop."""
-    queries = {}
-    for name in ("ConsumerAPI", "ConsumerRSS"):
+@pytest.mark.parametrize("weather_first", [True, False])
+def test_both_orders_on_one_bus(spark, tmp_path, weather_first):
+    """Whoever writes first, and again after a restart, every message can be read."""
+    bus, landed = str(tmp_path / "bus"), tmp_path / "in"
+
+    def weather_run(name, rows):
+        land_weather(tmp_path / "w", name, rows)
+        events = weather_stream(spark, tmp_path / "w")
+        publish_stream(
+            weather_messages(events, F.current_timestamp()), str(tmp_path / "check"), bus
+        ).awaitTermination()
+
+    def news_run(poll):
+        land(landed, poll)
+
+        def forward(new, part):
+            shaped = new.select(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name not in new.columns else F.col(f.name) for f in S.ARTICLE))
+            publish(news_messages(shaped, F.current_timestamp()), bus, part=part)
+
+        first_seen_stream(
+            stream_of(spark, landed), str(tmp_path / "sent"), ORDER, triggers.DRAIN, forward
+        ).awaitTermination()
+
+    steps = [
+        lambda: weather_run("one.json", OBSERVATIONS[:4]), lambda: news_run(1),
+        lambda: weather_run("two.json", OBSERVATIONS[4:]), lambda: news_run(2), lambda: news_run(4),
+    ]
+    if not weather_first:
+        steps[0], steps[1] = steps[1], steps[0]
+    for step in steps:
+        step()
+    links = messages(read_topic(spark, S.TOPIC_NEWS, bus), S.ARTICLE).collect()
+    assert sorted(r.link for r in links) == sorted(FIRST)
+    assert messages(read_topic(spark, S.TOPIC_WEATHER, bus), S.OBSERVATION).count() == 6
+
+
+def test_streams_run_together_drain_and_stop(spark, tmp_path):
+    """Processing-time triggers, own checkpoints, status, counts, the remainder stored."""
+    told = []
+
+    def starter(name):
+        return lambda trigger: store_stream(
+            weather_stream(spark, tmp_path / name), str(tmp_path / f"{name}-out"),
+            str(tmp_path / f"{name}-check"), trigger, name,
+        )
+
+    def tell(line):
+        told.append(line)
+        if "batch 0" in line:  # arrives while the streams run
+            land_weather(tmp_path / "ConsumerAPI", "two.json", OBSERVATIONS[3:])
+
+    names = ("ConsumerAPI", "ConsumerRSS")
+    for name in names:
         land_weather(tmp_path / name, "one.json", OBSERVATIONS[:3])
-        queries[name] = store_stream(
-            weather_stream(spark, tmp_path / name),
-            str(tmp_path / f"{name}-out"),
-            str(tmp_path / f"{name}-check"),
-            trigger={"processingTime": "1 second"},
-            name=name,
-        )
-    assert status_lines(queries) == [f"  {n:15s} : 🟢 berjalan" for n in queries]
-    land_weather(tmp_path / "ConsumerAPI", "two.json", OBSERVATIONS[3:])
-    for query in queries.values():
-        drain(query)
-    assert not any(q.isActive for q in queries.values())
-    assert status_lines(queries) == [f"  {n:15s} : 🔴 mati" for n in queries]
-    sizes = {n: weather_files(spark, str(tmp_path / f"{n}-out")).count() for n in queries}
+    starts = {name: (starter(name), {"processingTime": "1 hour"}) for name in names}
+    counts = run_together(spark, starts, seconds=6, status_every=1, told=tell)
+    assert f"  ConsumerAPI     : {S.ALIVE}" in told and told[-1] == f"  ConsumerRSS     : {S.DEAD}"
+    sizes = {n: weather_files(spark, str(tmp_path / f"{n}-out")).count() for n in names}
     assert sizes == {"ConsumerAPI": 6, "ConsumerRSS": 3}
+    assert counts.batches["ConsumerRSS", 0] == (3, None)
+    assert not spark.streams.active
+
+
+def test_a_failing_stream_stops_the_others(spark, tmp_path):
+    for name in ("good", "bad"):
+        land_weather(tmp_path / name, "one.json", OBSERVATIONS[:3])
+
+    def bad(trigger):
+        def fail(batch, batch_id):
+            raise ValueError("no broker")
+
+        return weather_stream(spark, tmp_path / "bad").writeStream.foreachBatch(fail).trigger(**trigger).start()
+
+    def good(trigger):
+        return store_stream(weather_stream(spark, tmp_path / "good"), str(tmp_path / "out"), str(tmp_path / "c"), trigger)
+
+    every = {"processingTime": "1 second"}
+    with pytest.raises(StreamingQueryException, match="no broker"):
+        run_together(spark, {"good": (good, every), "bad": (bad, every)}, status_every=1, told=lambda _: None)
+    assert not spark.streams.active
 
 
 def test_new_articles_are_counted_per_batch(spark, tmp_path):
-    landed = tmp_path / "in"
-    for poll in (1, 2):
-        land(landed, poll)
-        time.sleep(0.05)
-    with using(spark, ROCKSDB):
-        links = distinct_links(stream_of(spark, landed, 1), spread=ORDER)
-        query = (
-            counted(links)
-            .writeStream.format("noop")
-            .option("checkpointLocation", str(tmp_path / "check"))
-            .trigger(**triggers.DRAIN)
-            .start()
-        )
-        query.awaitTermination()
-    counts = {k: v for k, v in counted_batches(query).items() if v}
-    assert counts == {0: 2, 1: 1}
+    landed, counts = tmp_path / "in", BatchCounts()
+    spark.streams.addListener(counts)
+    try:
+        for poll in (1, 2):
+            land(landed, poll)
+            first_seen_stream(
+                stream_of(spark, landed), str(tmp_path / "out"), ORDER, triggers.DRAIN, name="News"
+            ).awaitTermination()
+        for _ in range(50):
+            if len(counts.batches) == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counts)
+    assert counts.batches == {("News", 0): (3, 2), ("News", 1): (2, 1)}
+
+
+def test_status():
+    class Query:
+        isActive = True
+
+    dead = Query()
+    dead.isActive = False
+    assert status_lines({"ConsumerAPI": Query(), "X": dead}) == [
+        "  ConsumerAPI     : 🟢 berjalan", "  X               : 🔴 mati"]
 
 
 def test_triggers():
