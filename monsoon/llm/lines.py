@@ -101,7 +101,9 @@ def removed_chunks(
         .withColumn("part", F.pmod(F.xxhash64("place"), F.col("parts")).cast("int"))
     )
     spread = counts.select("hash", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    repeated = written(dealt.join(spread, ["hash", "part"]), "repeated")
+    # Neither this list nor that of removed chunks is ever broadcast, small as it may be:
+    # both grow with the corpus.
+    repeated = written(dealt.join(spread.hint("merge"), ["hash", "part"]), "repeated")
     classes = (
         repeated.groupBy("hash", "body")
         .agg(
@@ -137,7 +139,6 @@ def deduplicated(
         .agg(F.collect_set("at").alias("gone"), F.sum("n").alias("lines"))
     )
     packed = docs.select(F.struct("*").alias("whole"), "text", _row().alias("row"))
-    # The list grows with the corpus, so it is never broadcast, small though it may be.
     joined = packed.join(gone.hint("merge"), "row", "left")
     kept = F.filter(
         chunks(F.col("text"), window, divisor), lambda _, at: ~F.array_contains(F.col("gone"), at)
