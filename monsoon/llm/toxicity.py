@@ -1,7 +1,8 @@
 """Toxicity categories by a chain of linear classifiers.
 
 Categories are predicted one after the other. Each has a logistic model over the words of a
-text and over the probabilities of the categories before it. For training, those earlier
+text and their beginnings, for languages that add endings to a stem, and over the
+probabilities of the categories before it. For training, those earlier
 probabilities are out-of-fold: a document's come from models that did not see it, so later
 models learn how far earlier predictions can be trusted. For prediction, the models fitted
 on all folds are chained.
@@ -32,9 +33,10 @@ WORDS = 512
 MARGIN = 4.0
 MIN_DOCS = 3
 FOLDS = 5
-PENALTY = 1e-4
+PENALTY = 1e-5
 
 WORD = r"[^\W\d_]+"
+STEMS = range(3, 9)
 
 
 def words_of(text: str | None) -> set[str]:
@@ -43,6 +45,26 @@ def words_of(text: str | None) -> set[str]:
     return set(re.findall(WORD, text.lower())) if text else set()
 
 
+def features_of(text: str | None) -> set[str]:
+    """The words of a text, and beginnings of them, which are marked with a star."""
+    words = words_of(text)
+    return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in STEMS))
+
+
+def finder(known: dict[str, int]):
+    """A function from text to the numbers of the known features that it has."""
+    lengths = sorted({len(k) - 1 for k in known if k.endswith("*")})
+
+    def run(text: str | None) -> list[int]:
+        words = words_of(text)
+        found = words & known.keys()
+        for n in lengths:
+            found |= {w[:n] + "*" for w in words if len(w) > n} & known.keys()
+        return sorted(known[k] for k in found)
+
+    return run
+
+
 def _counted():
     """Of each partition: how many documents of each category have each word."""
 
@@ -62,7 +84,7 @@ def _counted():
 
         for batch in batches:
             for labels, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts.update((w, labels) for w in words_of(text.as_py()))
+                counts.update((w, labels) for w in features_of(text.as_py()))
                 counts[("", labels)] += 1  # counts the documents
                 if len(counts) > 500_000:
                     yield table(counts)
@@ -163,9 +185,9 @@ def _presence(texts, known: dict[str, int]):
     import numpy as np
 
     out = np.zeros((len(texts), len(known)))
+    find = finder(known)
     for i, text in enumerate(texts):
-        for word in words_of(text) & known.keys():
-            out[i, known[word]] = 1
+        out[i, find(text)] = 1
     return out
 
 
@@ -173,11 +195,9 @@ def _features(words: list[str]):
     def run(batches):
         import pyarrow as pa
 
-        known = {w: i for i, w in enumerate(words)}
+        find = finder({w: i for i, w in enumerate(words)})
         for batch in batches:
-            found = [
-                sorted(known[w] for w in words_of(t.as_py()) & known.keys()) for t in batch.column(2)
-            ]
+            found = [find(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))],
                 names=["doc_id", "labels", "words"],

@@ -149,16 +149,26 @@ def test_toxicity_of_held_out_documents(spark, documents, labels):
     rows = toxicity.toxicity_query(spark, SF).collect()
     assert {r.doc_id for r in rows} == set(documents) and len(rows) == len(documents)
     flagged = [r for r in rows if r.toxic]
-    lists = {"idiot", "trash", "scum", "worthless", "stupid", "pathetic", "disgusting"}
-    has = {d: bool(toxicity.words_of(r.text) & lists) for d, r in documents.items()}
-    # Labels are noisy; the words in the texts are not.
-    assert sum(has[r.doc_id] for r in flagged) / len(flagged) >= 0.95
-    assert len(flagged) / sum(has.values()) >= 0.9
+    known = [r for r in flagged if r.doc_id in labels]
+    assert np.mean([labels[r.doc_id].toxic for r in known]) >= 0.95
+    caught = {r.doc_id for r in flagged}
+    assert np.mean([d in caught for d, r in labels.items() if r.toxic]) >= 0.6
+    insults = {"idiot", "trash", "scum", "worthless", "stupid", "pathetic", "disgusting"}
+    has = [d for d, r in documents.items() if len(toxicity.words_of(r.text) & insults) > 1]
+    assert np.mean([d in caught for d in has]) >= 0.95
     for r in rows:
         assert r.held_out == (remainder(r.doc_id, 5) == 0)
         assert all(0 <= r[f"p_{c}"] <= 1 for c in toxicity.CATEGORIES)
 
 
+def test_beginnings_of_words():
+    text = "Achlichen, achlichte! ab"
+    assert toxicity.features_of(text) >= {"achlichen", "ach*", "achlich*", "achlichte", "ab"}
+    assert toxicity.features_of(None) == set()
+    find = toxicity.finder({"achlich*": 0, "ab": 1, "abc*": 2, "x": 3})
+    assert find(text) == [0, 1] and find("abcd") == [2] and find(None) == [] and find("abc") == []
+
+
 def test_chain_uses_earlier_categories():
     """The second category is the first one's noise: only its probability can tell."""
     drawn = np.random.default_rng(3)
