@@ -29,7 +29,7 @@ CATEGORIES = {
     "toxic_clean": "toxic = 1 AND quality = 1",
 }
 SAMPLE = 20_000
-WORDS = 512
+WORDS = 256
 MARGIN = 4.0
 MIN_DOCS = 3
 FOLDS = 5
@@ -138,21 +138,24 @@ def vocabulary(sample: DataFrame, categories: list[str], words: int = WORDS) ->
     return sorted(found)
 
 
-def logistic(features, labels, penalty: float = PENALTY):
-    """Weights and bias (last) of an L2-penalised logistic model, by Newton steps."""
+def logistic(features, labels, counts, penalty: float = PENALTY):
+    """Weights and bias (last) of an L2-penalised logistic model, by Newton steps.
+
+    ``counts`` says how many documents each row stands for.
+    """
     import numpy as np
 
     x = np.hstack([features, np.ones((len(features), 1))])
     weights = np.zeros(x.shape[1])
-    pull = np.full(x.shape[1], penalty * max(1, len(x)))
+    pull = np.full(x.shape[1], penalty * max(1.0, counts.sum()))
     pull[-1] = 1e-6
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (p - labels) + pull * weights
-        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(pull)
+        slope = x.T @ (counts * (p - labels)) + pull * weights
+        curve = (x * (counts * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(pull)
         step = np.linalg.solve(curve, slope)
         weights -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-4:
             break
     return weights
 
@@ -164,18 +167,27 @@ def probability(features, weights):
 
 
 def chain(features, labels, folds: int = FOLDS):
-    """One model per column of ``labels``. Later ones see out-of-fold earlier probabilities."""
+    """One model per column of ``labels``. Later ones see out-of-fold earlier probabilities.
+
+    Documents alike in features, labels and fold are one row with a count: most have no
+    feature at all.
+    """
     import numpy as np
 
-    x, models = features, []
-    fold = np.arange(len(x)) % folds
-    for y in labels.T:
-        models.append(logistic(x, y))
+    n = features.shape[1]
+    fold = (np.arange(len(features)) % folds)[:, None]
+    rows, counts = np.unique(
+        np.hstack([features, labels, fold]).astype(np.int8), axis=0, return_counts=True
+    )
+    x, fold, models = rows[:, :n].astype(np.float64), rows[:, -1], []
+    for y in rows[:, n:-1].T.astype(np.float64):
+        models.append(logistic(x, y, counts))
         outside = np.zeros(len(x))
         for f in range(folds):
             there = fold == f
             if there.any():
-                fit = logistic(x[~there], y[~there]) if (~there).any() else models[-1]
+                rest = ~there
+                fit = logistic(x[rest], y[rest], counts[rest]) if rest.any() else models[-1]
                 outside[there] = probability(x[there], fit)
         x = np.hstack([x, outside[:, None]])
     return models
@@ -238,11 +250,11 @@ def fitted(
         .toPandas()
         .sort_values("doc_id")
     )
-    x = np.zeros((len(found), len(words)))
+    x = np.zeros((len(found), len(words)), dtype=np.int8)
     for i, places in enumerate(found["words"]):
         x[i, places] = 1
     bits = found["labels"].to_numpy(dtype=np.int64)
-    y = np.array([(bits >> i) & 1 for i in range(len(names))], dtype=float).T.reshape(-1, len(names))
+    y = np.array([(bits >> i) & 1 for i in range(len(names))], dtype=np.int8).T
     order = np.random.default_rng(5).permutation(len(found))
     return words, chain(x[order], y[order]) if len(found) else []
 
