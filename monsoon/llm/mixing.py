@@ -37,11 +37,16 @@ def _key(seed: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
+def _party() -> Column:
+    """The source, null made a value."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+
+
 def _sized(docs: DataFrame, seed: str) -> DataFrame:
-    """Slim rows: party (the source, null made a value), size, and a seeded key."""
+    """Slim rows: party, size, and a seeded key."""
     return docs.select(
         "doc_id",
-        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("party"),
+        _party().alias("party"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         _key(seed).alias("key"),
     )
@@ -206,7 +211,16 @@ def mixed(
         + F.col("second.to") - F.col("second.from")
     )
     return spans.select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken"), "rounds", "first", "second", "key"
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        taken.alias("taken"),
+        "rounds",
+        "first",
+        "second",
+        "key",
+        "party",
     )
 
 
@@ -215,25 +229,27 @@ def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
 
     Whole rounds repeat the row; a row of which a part is taken holds those words, with the
     white space before each but the first, as ``text``; ``n_chars``, if there is such a
-    column, is the length of the text. Documents without words are not in the mix.
+    column, is the length of the text. Documents without words are not in the mix. Rows alike
+    in id, text and source take the other columns of one of them.
     """
     key = _key(settings.get("seed", SEED))
     found = mixed(docs, **settings).filter("taken > 0")
-    found = found.select("key", "rounds", "first", "second", "size")
-    # Rows alike in id and text have one key; they are numbered on both sides.
-    order = W.partitionBy("key").orderBy("key")
-    left = docs.select(F.struct("*").alias("whole"), key.alias("key"))
-    left = left.withColumn("copy", F.row_number().over(order))
-    right = found.withColumn("copy", F.row_number().over(order))
     all_words = F.struct(F.lit(0).cast("long").alias("from"), F.col("size").alias("to"))
     parts = F.filter(F.array("first", "second"), lambda s: s["to"] > s["from"])
-    rows = left.join(right, ["key", "copy"]).select(
-        "whole",
+    spans = found.select(
+        "key",
+        "party",
         "size",
         F.explode(
             F.concat(F.array_repeat(all_words, F.col("rounds").cast("int")), parts)
         ).alias("span"),
     )
+    # Rows alike in id, text and source are one row here, which takes the spans of all; the
+    # join finds the texts in the partitions where they were numbered.
+    one = W.partitionBy("key", "party").orderBy("key")
+    texts = docs.select(F.struct("*").alias("whole"), key.alias("key"), _party().alias("party"))
+    texts = texts.withColumn("copy", F.row_number().over(one)).filter("copy = 1")
+    rows = texts.join(spans, ["key", "party"]).select("whole", "size", "span")
     first, n = F.col("span.from").cast("int"), (F.col("span.to") - F.col("span.from")).cast("int")
     words = F.regexp_extract_all("whole.text", F.lit(f"([{BLANK}]*{WORD})"), F.lit(1))
     cut = F.regexp_replace(F.array_join(F.slice(words, first + 1, n), ""), f"^[{BLANK}]+", "")
