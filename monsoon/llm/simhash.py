@@ -196,12 +196,15 @@ def one_of_each(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) ->
 
 
 def _row_key() -> Column:
-    """Orders as (doc_id, null last; text) does and tells apart rows that differ in them."""
+    """Orders as (doc_id, null last; text) does and tells apart rows that differ in them.
+
+    Cast to the type it has once written, lest a join casts it and loses its partitioning.
+    """
     return F.struct(
         F.col("doc_id").isNull().alias("none"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
         F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("digest"),
-    )
+    ).cast("struct<none:boolean,id:bigint,digest:string>")
 
 
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
