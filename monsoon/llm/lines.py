@@ -1,9 +1,10 @@
 """Removal of repeated passages by content-defined line chunks.
 
 The lines of a text are hashed, and a rolling hash over the last few line hashes ends a
-chunk where it is divisible by a small number. Boundaries depend on nearby lines alone, so
-a passage put somewhere else is cut in the same places. Chunks of several lines that occur
-more than once in the corpus keep their first place and go everywhere else.
+chunk where it is divisible by a small number, but not before the chunk has its least number
+of lines, nor with fewer than that many left. Boundaries depend on nearby lines, so a passage
+put somewhere else is soon cut in the same places. Chunks that occur more than once in the
+corpus keep their first place and go everywhere else.
 
 Equal chunks meet by a hash first; only those that share theirs are compared as bytes, by
 grouping and joining on the chunk itself. A chunk that is in very many places is reduced
@@ -29,8 +30,13 @@ BASE, MODULUS = 31, 1 << 31
 MARK = "."
 
 
-def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
-    """The chunks of a text in order; null for null. Lines end at the line feed only."""
+def chunks(
+    text: Column, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES
+) -> Column:
+    """The chunks of a text in order; null for null. Lines end at the line feed only.
+
+    Only a text of fewer lines than ``min_lines`` has a chunk that is as short.
+    """
     lines = F.split(text, "\n", -1)
     hashes = F.transform(
         lines, lambda line: F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
@@ -42,12 +48,20 @@ def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column
         )
         # The shifted array is longer by the lines before the first; they match no line.
         rolled = F.zip_with(rolled, earlier, _plus(BASE**back))
+    # A character per line that a chunk may end with. Every match is a chunk, right after the
+    # one before, so the search is linear in any text.
+    flags = F.array_join(
+        F.transform(
+            F.slice(rolled, 1, F.greatest(F.size(lines) - min_lines, F.lit(0))),
+            lambda h: F.when(h % MODULUS % divisor == 0, "1").otherwise("0"),
+        ),
+        "",
+    )
+    ends = F.regexp_replace(flags, rf"\G(.{{{min_lines - 1}}}0*+)1", "$1e")
     marked = F.zip_with(
         lines,
-        F.slice(rolled, 1, F.size(lines)),
-        lambda line, h: F.concat(
-            F.lit(MARK), line, F.when(h % MODULUS % divisor == 0, "\n").otherwise("")
-        ),
+        F.split(ends, ""),
+        lambda line, end: F.concat(F.lit(MARK), line, F.when(end == "e", "\n").otherwise("")),
     )
     # A chunk that ends with the text leaves a line feed of its own there.
     return F.split(F.regexp_replace(F.array_join(marked, "\n"), r"\n\z", ""), "\n\n", -1)
@@ -73,7 +87,7 @@ def removed_chunks(
     Chunks without a word stay.
     """
     split = docs.select(
-        "doc_id", _row().alias("row"), F.posexplode(chunks(F.col("text"), window, divisor)).alias("at", "body")
+        "doc_id", _row().alias("row"), F.posexplode(chunks(F.col("text"), window, divisor, min_lines)).alias("at", "body")
     )
     found = written(
         split.withColumn("n", F.regexp_count("body", F.lit("\n")) + 1)
@@ -141,7 +155,7 @@ def deduplicated(
     packed = docs.select(F.struct("*").alias("whole"), "text", _row().alias("row"))
     joined = packed.join(gone.hint("merge"), "row", "left")
     kept = F.filter(
-        chunks(F.col("text"), window, divisor), lambda _, at: ~F.array_contains(F.col("gone"), at)
+        chunks(F.col("text"), window, divisor, min_lines), lambda _, at: ~F.array_contains(F.col("gone"), at)
     )
     # Every line begins with the mark; no line holds a line feed.
     text = F.replace(F.concat(F.lit("\n"), F.array_join(kept, "\n")), F.lit(f"\n{MARK}"), F.lit("\n"))

@@ -171,9 +171,14 @@ lines AS (
   SELECT r, i, line, {_number("substr(md5(line), 1, 7)")} AS h
   FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)),
 cut AS (
-  SELECT *, ({_ROLLED} % {lines.MODULUS}) % {lines.DIVISOR} = 0 AS ends FROM lines WINDOW w AS (PARTITION BY r ORDER BY i)),
+  SELECT *, ({_ROLLED} % {lines.MODULUS}) % {lines.DIVISOR} = 0
+    AND count(*) OVER (PARTITION BY r) - i >= {lines.MIN_LINES} AS may FROM lines WINDOW w AS (PARTITION BY r ORDER BY i)),
+flags AS (
+  SELECT r, regexp_replace(string_agg(CASE WHEN may THEN '1' ELSE '0' END, '' ORDER BY i),
+    '(.{{{lines.MIN_LINES - 1}}}0*)1', '\\1e', 'g') AS flags FROM cut GROUP BY r),
+ended AS (SELECT cut.*, substr(flags, i, 1) = 'e' AS ends FROM cut JOIN flags USING (r)),
 numbered AS (
-  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM cut),
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ended),
 chunks AS (
   SELECT r, chunk, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY ALL),
 places AS (
