@@ -86,8 +86,10 @@ def removed_chunks(
     md5 of id and text: rows alike in both are one place, so they lose the same chunks.
     Chunks without a word stay.
     """
-    split = docs.select(
-        "doc_id", _row().alias("row"), F.posexplode(chunks(F.col("text"), window, divisor, min_lines)).alias("at", "body")
+    # The key comes first: beside the generator it would be made again for every chunk.
+    keyed = docs.select("doc_id", "text", _row().alias("row"))
+    split = keyed.select(
+        "doc_id", "row", F.posexplode(chunks(F.col("text"), window, divisor, min_lines)).alias("at", "body")
     )
     found = written(
         split.withColumn("n", F.regexp_count("body", F.lit("\n")) + 1)
@@ -150,12 +152,23 @@ def deduplicated(
     gone = (
         removed_chunks(docs, window, divisor, min_lines)
         .groupBy("row")
-        .agg(F.collect_set("at").alias("gone"), F.sum("n").alias("lines"))
+        .agg(F.array_sort(F.collect_set("at")).alias("gone"), F.sum("n").alias("lines"))
     )
     packed = docs.select(F.struct("*").alias("whole"), "text", _row().alias("row"))
     joined = packed.join(gone.hint("merge"), "row", "left")
-    kept = F.filter(
-        chunks(F.col("text"), window, divisor, min_lines), lambda _, at: ~F.array_contains(F.col("gone"), at)
+    # A character per chunk up to the last that goes, made of the gaps between those, as a
+    # search of the list for every chunk would take the square of a text's chunks.
+    gaps = F.zip_with(
+        "gone",
+        F.concat(F.array(F.lit(-1)), F.slice("gone", 1, F.array_size("gone") - 1)),
+        lambda at, before: F.concat(F.repeat(F.lit("k"), at - before - 1), F.lit("g")),
+    )
+    kept = F.array_compact(
+        F.zip_with(
+            chunks(F.col("text"), window, divisor, min_lines),
+            F.split(F.array_join(gaps, ""), ""),
+            lambda body, flag: F.when(F.coalesce(flag != "g", F.lit(True)), body),
+        )
     )
     # Every line begins with the mark; no line holds a line feed.
     text = F.replace(F.concat(F.lit("\n"), F.array_join(kept, "\n")), F.lit(f"\n{MARK}"), F.lit("\n"))
