@@ -13,6 +13,11 @@ within each task before the shuffle, and its places are dealt to several tasks.
 Chunks are made by string functions in time linear in the text: every line gets the prefix
 MARK and the last of a chunk one more line feed, so that two line feeds in a row are found
 between chunks and nowhere else. Chunks keep the prefixes until a text is put together.
+
+The edges of a chunk depend on the lines beside it, so a short passage put somewhere else may
+be no chunk of its own. With ``passages`` every two lines with words that follow each other,
+blank lines between them aside, are a passage too: both go, with what is between, wherever
+another place has the two before. The first place of any line keeps it in either way.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monsoon.llm.common import BLANK, HOT_SHARE, table, written
+from monsoon.llm.common import BLANK, HOT_SHARE, spread_join, table, written
 
 WINDOW = 2
 DIVISOR = 2
@@ -140,6 +145,103 @@ def removed_chunks(
     )
 
 
+def removed_passages(docs: DataFrame) -> DataFrame:
+    """row, start and stop (numbers of lines from 0) of every two lines with words in a row
+    that another place has first, by (doc_id with null last, row, start)."""
+    keyed = docs.select("doc_id", "text", F.unhex(_row()).alias("row"))
+    full = F.filter(
+        F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("i"), line.alias("line"))),
+        lambda x: x["line"].rlike(rf"[^{BLANK}]"),
+    )
+    length = F.greatest(F.size("full") - 1, F.lit(0))
+    # Half of a SHA-256 stands for the bytes.
+    pairs = F.zip_with(
+        F.slice("full", F.lit(1), length),
+        F.slice("full", F.lit(2), length),
+        lambda a, b: F.struct(
+            a["i"].alias("start"),
+            b["i"].alias("stop"),
+            F.unhex(F.substring(F.sha2(F.concat(a["line"], F.lit("\n"), b["line"]), 256), 1, 32)).alias("hash"),
+        ),
+    )
+    split = keyed.select("doc_id", "row", full.alias("full")).select("doc_id", "row", F.explode(pairs).alias("p"))
+    found = written(
+        split.select(
+            F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "p.start").alias("place"),
+            "p.stop",
+            "p.hash",
+        ),
+        "pairs",
+    )
+    first = written(
+        found.groupBy("hash")
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"))
+        .filter("times > 1"),
+        "first_pairs",
+    )
+    return (
+        spread_join(found, first, "hash", "times", F.xxhash64("place"))
+        .filter(F.col("place") != F.col("first"))
+        .select(F.lower(F.hex("place.row")).alias("row"), "place.start", "stop")
+    )
+
+
+def _flags(numbers: Column) -> Column:
+    """A character per number up to the last of the sorted list: g for those in it, else k."""
+    before = F.concat(
+        F.array(F.lit(-1)), F.slice(numbers, F.lit(1), F.greatest(F.size(numbers) - 1, F.lit(0)))
+    )
+    gaps = F.zip_with(
+        numbers, before, lambda at, last: F.concat(F.repeat(F.lit("k"), at - last - 1), F.lit("g"))
+    )
+    return F.split(F.array_join(gaps, ""), "")
+
+
+def without_passages(
+    docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES
+) -> DataFrame:
+    """``whole`` and ``text`` as ``deduplicated`` has them, without repeated passages too."""
+    gone = (
+        removed_chunks(docs, window, divisor, min_lines)
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_set("at")).alias("gone"))
+    )
+    spans = (
+        removed_passages(docs)
+        .groupBy("row")
+        .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    )
+    lists = gone.join(spans.hint("merge"), "row", "full")
+    packed = docs.select(F.struct("*").alias("whole"), "text", _row().alias("row"))
+    none = F.array().cast("array<int>")
+    numbers = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["stop"])))
+    of_chunks = F.flatten(
+        F.zip_with(
+            chunks(F.col("text"), window, divisor, min_lines),
+            _flags(F.coalesce("gone", none)),
+            lambda body, flag: F.array_repeat(
+                F.coalesce(flag == "g", F.lit(False)),
+                F.when(body.isNull(), 0).otherwise(F.regexp_count(body, F.lit("\n")) + 1),
+            ),
+        )
+    )
+    of_lines = _flags(F.coalesce(F.array_sort(F.array_distinct(numbers)), none))
+    dropped = F.zip_with(
+        of_chunks, of_lines, lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b == "g", F.lit(False))
+    )
+    kept = F.array_compact(
+        F.zip_with(
+            F.split("text", "\n", -1),
+            dropped,
+            lambda line, drop: F.when(~F.coalesce(drop, F.lit(False)), line),
+        )
+    )
+    same = F.col("gone").isNull() & F.col("spans").isNull()
+    return packed.join(lists.hint("merge"), "row", "left").select(
+        "whole", F.when(same, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+    )
+
+
 def deduplicated(
     docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES
 ) -> DataFrame:
@@ -181,10 +283,14 @@ def deduplicated(
     )
 
 
-def deduplicated_rows(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` with the shortened text, and n_chars, if there, made to match."""
+def deduplicated_rows(docs: DataFrame, passages: bool = False, **settings) -> DataFrame:
+    """The rows of ``docs`` with the shortened text, and n_chars, if there, made to match.
+
+    ``passages`` takes out repeated passages that are no chunk as well.
+    """
+    shortened = without_passages if passages else deduplicated
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return deduplicated(docs, **settings).select(
+    return shortened(docs, **settings).select(
         *(new.get(c, F.col("whole").getField(c)).alias(c) for c in docs.columns)
     )
 

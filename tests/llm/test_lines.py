@@ -128,3 +128,53 @@ def test_many_equal_lines(spark):
     for line in ("", "x", "y"):
         rows = [(1, "\n".join([line] * 300_000))]
         assert lines.deduplicated(spark.createDataFrame(rows, SCHEMA)).count() == 1
+
+
+def plain_passages(rows):
+    """Texts without any two lines with words in a row that an earlier place has, nor chunks."""
+    key = lambda d, t: hashlib.md5(f"{'~' if d is None else d}:{'~' if t is None else t}".encode()).hexdigest()
+    places, chunk_places = defaultdict(set), defaultdict(set)
+    spans = {}
+    for doc, text in rows:
+        row = (doc is None, doc or 0, key(doc, text))
+        parts = (text or "").split("\n")
+        full = [i for i, p in enumerate(parts) if p.strip(" \t\n\x0b\x0c\r")]
+        spans[row] = [(i, j, (parts[i], parts[j])) for i, j in zip(full, full[1:])]
+        for i, _, pair in spans[row]:
+            places[pair].add((*row, i))
+        for start, chunk in plain_chunks(text):
+            if len(chunk) > 1 and "".join(chunk).strip(" \t\n\x0b\x0c\r"):
+                chunk_places["\n".join(chunk)].add((*row, start))
+    out = []
+    for doc, text in rows:
+        row = (doc is None, doc or 0, key(doc, text))
+        drop = {n for i, j, pair in spans[row] if min(places[pair]) != (*row, i) for n in range(i, j + 1)}
+        for start, chunk in plain_chunks(text):
+            found = chunk_places.get("\n".join(chunk))
+            if found and min(found) != (*row, start):
+                drop |= set(range(start - 1, start - 1 + len(chunk)))
+        kept = [p for i, p in enumerate((text or "").split("\n")) if i not in drop]
+        out.append((doc, None if text is None else "\n".join(kept)))
+    return out
+
+
+def test_short_passages_stay_in_one_place(spark):
+    """Passages of two to five lines between other lines, blank lines among them."""
+    random.seed(5)
+    rows = []
+    for doc in range(120):
+        blocks = [[f"own {doc} {i}"] for i in range(random.randint(1, 6))]
+        blocks += [[f"passage {n} line {i}" for i in range(n)] for n in (2, 3, 4, 5)]
+        random.shuffle(blocks)
+        rows.append((doc, "\n".join(x for b in blocks for x in b)))
+    rows += [(1000 + d, t) for d, t in texts(4)] + [(500, None), (501, ""), (502, "\n\n"), (503, "a\n\n\nb"), (504, "x\na\n\nb\ny"), (None, "a\nb"), (505, "a\nb"), (505, "a\nb")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [(r.doc_id, r.text) for r in lines.deduplicated_rows(df, passages=True).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[1] is None)
+    assert sorted(got, key=key) == sorted(plain_passages(rows), key=key)
+    out = dict(sorted(got, key=key))
+    assert sum("passage" in (t or "") for d, t in out.items() if d is not None and 0 < d < 120) == 0
+    assert {x for _, t in rows for x in (t or "").split("\n")} <= {x for _, t in got for x in (t or "").split("\n")} | {""}
+    long = [(i, "\n".join(f"l{j}" for j in range(20_000))) for i in (1, 2)]
+    got = {r.doc_id: r.text for r in lines.deduplicated_rows(spark.createDataFrame(long, SCHEMA), passages=True).collect()}
+    assert got == {1: long[0][1], 2: ""}
