@@ -1,0 +1,230 @@
+"""Near-duplicates by the exact overlap of word shingles.
+
+The similarity of two texts is the Jaccard similarity of their sets of word shingles, each
+shingle being a 64-bit hash. Every order of all shingles serves: of two sets whose
+similarity reaches the bar, the first few shingles in that order, so many that fewer than
+the overlap needed are left, have one in common. Only these are shuffled. Shingles that a
+sample finds often come last in the order, so few sets share one of the first. Pairs that
+sizes and places allow are compared as whole sets, so none is missed and none guessed.
+
+Texts are shuffled only where a bitmap of fixed size says that their id may be in a pair.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from monsoon.llm.common import written
+from monsoon.llm.simhash import components
+
+SHINGLE = 5
+# The bar as a fraction, so that it is compared in whole numbers.
+ABOVE, BELOW = 4, 5
+SEED = 42
+SAMPLE = 5_000
+OFTEN = 3
+MOST_OFTEN = 50_000
+BATCH = 1 << 16
+# Slots of the bitmap, and those in one of its rows, as Spark's aggregate has them.
+SLOTS, ROW = 1 << 24, 1 << 15
+
+
+def shingles(text: bytes | None, width: int = SHINGLE):
+    """The distinct hashes of a text's word shingles, in rising order.
+
+    ASCII capitals are lowered and words end at ASCII white space. Fewer words than the
+    width make one shingle of all; no words, or null, none.
+    """
+    from itertools import repeat
+
+    import numpy as np
+    from xxhash import xxh64_digest
+
+    words = text.lower().split() if text else []
+    if not words:
+        return np.zeros(0, dtype=np.int64)
+    if len(words) < width:
+        joined = [b" ".join(words)]
+    else:
+        joined = map(b" ".join, zip(*(words[i:] for i in range(width))))
+    return np.unique(np.frombuffer(b"".join(map(xxh64_digest, joined, repeat(SEED))), dtype=np.int64))
+
+
+def needed(n: int, m: int) -> int:
+    """The least overlap of sets of n and m with which their similarity reaches the bar."""
+    return -(-ABOVE * (n + m) // (ABOVE + BELOW))
+
+
+def _bytes(column):
+    import pyarrow as pa
+
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        return column.cast(pa.large_binary())
+    return column
+
+
+def _all(width: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for text in _bytes(batch.column(0)):
+                found = shingles(text.as_py(), width)
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64))], names=["shingle"])
+
+    return run
+
+
+def often(docs: DataFrame, width: int = SHINGLE):
+    """The commonest shingles of a bounded sample, rising. They only order, so any list is right."""
+    import numpy as np
+
+    total = docs.count()
+    part = docs.select("text")
+    if total > SAMPLE:
+        part = part.sample(SAMPLE / total, seed=SEED)
+    found = (
+        part.limit(2 * SAMPLE)
+        .mapInArrow(_all(width), "shingle long")
+        .groupBy("shingle")
+        .count()
+        .filter(F.col("count") >= OFTEN)
+        .orderBy(F.desc("count"), "shingle")
+        .limit(MOST_OFTEN)
+        .toPandas()
+    )
+    return np.sort(found["shingle"].to_numpy(dtype=np.int64))
+
+
+def _firsts(width: int, common):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def packed(out):
+            ids, times, *columns = out
+            rows = np.repeat(np.arange(len(ids)), times)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.binary()).take(pa.array(rows)), *(pa.array(np.concatenate(c)) for c in columns)],
+                names=["id", "shingle", "n", "at"],
+            )
+
+        out = [[], [], [], [], []]
+        for batch in batches:
+            for row, text in zip(batch.column(0), _bytes(batch.column(1)), strict=True):
+                found = shingles(text.as_py(), width)
+                n = len(found)
+                if not n:
+                    continue
+                late = np.zeros(n, dtype=bool)
+                if len(common):
+                    late = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
+                # The overlap is four fifths of the set at least.
+                first = n - -(-ABOVE * n // BELOW) + 1
+                new = row.as_py(), first, np.concatenate([found[~late], found[late]])[:first]
+                for column, value in zip(out, (*new, np.full(first, n, np.int32), np.arange(first, dtype=np.int32))):
+                    column.append(value)
+                if sum(out[1][-64:]) > BATCH or len(out[0]) >= 1024:
+                    yield packed(out)
+                    out = [[], [], [], [], []]
+        if out[0]:
+            yield packed(out)
+
+    return run
+
+
+def _alike(width: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = []
+            for x, y in zip(_bytes(batch.column(2)), _bytes(batch.column(3)), strict=True):
+                x, y = shingles(x.as_py(), width), shingles(y.as_py(), width)
+                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= needed(len(x), len(y)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1)], names=["a", "b"]
+            ).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(SLOTS))
+
+
+def _maybe(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``maybe``: false only if their ``id`` is not in ``ids``."""
+    bitmap = (
+        ids.select(F.floor(_slot() / ROW).alias("part"), F.pmod(_slot(), F.lit(ROW)).alias("bit"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    bit = F.pmod(_slot(), F.lit(ROW))
+    byte = F.conv(F.hex(F.substr("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))) % 2 == 1
+    joined = rows.withColumn("part", F.floor(_slot() / ROW)).join(F.broadcast(bitmap), "part", "left")
+    return joined.withColumn("maybe", F.coalesce(is_set, F.lit(False))).drop("part", "bits")
+
+
+def similar(texts: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """Pairs (a, b), a < b, of all ids whose texts reach the bar.
+
+    ``texts`` has id, binary and unique, and text. A text without words is like none.
+    """
+    firsts = written(
+        texts.select("id", "text").mapInArrow(
+            _firsts(width, often(texts, width)), "id binary, shingle long, n int, at int"
+        ),
+        "firsts",
+    )
+    x = firsts.select("shingle", F.col("id").alias("a"), F.col("n").alias("an"), F.col("at").alias("aa"))
+    y = firsts.select("shingle", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("at").alias("ba"))
+    # What two sets have in common from the first shingle they share on is no more than what
+    # is left of either.
+    left = F.least(F.col("an") - F.col("aa"), F.col("bn") - F.col("ba"))
+    enough = left * (ABOVE + BELOW) >= (F.col("an") + F.col("bn")) * ABOVE
+    pairs = written(
+        x.join(y.hint("merge"), "shingle").filter((F.col("a") < F.col("b")) & enough).select("a", "b").distinct(),
+        "candidates",
+    )
+    ids = written(
+        pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids"
+    )
+    asked = _maybe(texts.select("id", "text"), ids).filter("maybe").drop("maybe")
+    asked = written(asked.join(ids.hint("merge"), "id", "left_semi"), "asked")
+    whole = (
+        pairs.join(asked.select(F.col("id").alias("a"), F.col("text").alias("x")).hint("merge"), "a")
+        .join(asked.select(F.col("id").alias("b"), F.col("text").alias("y")).hint("merge"), "b")
+    )
+    return whole.select("a", "b", "x", "y").mapInArrow(_alike(width), "a binary, b binary")
+
+
+def _id() -> Column:
+    """Orders as (doc_id, null last; hash of text) does."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))
+    return F.unhex(
+        F.concat(
+            F.when(F.col("doc_id").isNull(), "01").otherwise("00"),
+            F.lpad(F.hex(doc), 16, "0"),
+            F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 16),
+        )
+    )
+
+
+def one_of_similar(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, one for each group that similar pairs link, with all columns.
+
+    No two rows may be equal in doc_id and text. The row with the least doc_id stays, a
+    null last, and of those the one with the least hash of its text.
+    """
+    keyed = docs.select(F.struct("*").alias("whole"), _id().alias("id"))
+    texts = docs.select(_id().alias("id"), "text")
+    pairs = written(similar(texts, width), "similar")
+    gone = written(components(pairs).select(F.col("node").alias("id")), "gone")
+    marked = _maybe(keyed, gone)
+    kept = marked.filter("maybe").join(gone.hint("merge"), "id", "left_anti")
+    return marked.filter("NOT maybe").select("whole.*").unionByName(kept.select("whole.*"))

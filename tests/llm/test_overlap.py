@@ -1,0 +1,82 @@
+"""Similar pairs against all pairs, and what the pipeline's stage keeps."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+import pytest
+
+from monsoon.llm import overlap
+
+from .test_simhash import plain as fingerprint
+
+
+def sets(text, width=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def pairs(texts):
+    found = {i: sets(t) for i, t in texts.items()}
+    return {
+        (a, b) for a in found for b in found
+        if a < b and (x := len(found[a] & found[b])) and 5 * x >= 4 * len(found[a] | found[b])
+    }
+
+
+def corpus(seed, n=40):
+    """Texts with edited copies, around the bar and far from it, and a common beginning."""
+    random.seed(seed)
+    out = []
+    common = [f"common{i}" for i in range(30)]
+    for _ in range(n):
+        words = common[: random.randint(0, 30)] + [f"w{random.randrange(5000)}" for _ in range(random.randint(1, 300))]
+        out.append(" ".join(words))
+        for _ in range(3):
+            copy = list(words)
+            for _ in range(random.randint(0, max(1, len(words) // 20))):
+                copy[random.randrange(len(copy))] = f"new{random.randrange(10**6)}"
+            out.append(" ".join(copy))
+    random.shuffle(out)
+    return list(dict.fromkeys(out))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_pairs_and_no_other(spark, seed, monkeypatch):
+    monkeypatch.setattr(overlap, "SLOTS", overlap.ROW)
+    texts = dict(enumerate([*corpus(seed), None, "", "One two", "one TWO", "six"]))
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    got = overlap.similar(df.select(overlap._id().alias("id"), "text")).collect()
+    number = lambda b: int.from_bytes(bytes(b)[1:9], "big") - (1 << 63)
+    want = pairs(texts)
+    assert len(got) == len(want) > 20
+    assert {(number(r.a), number(r.b)) for r in got} == want
+
+
+def test_stage_leaves_no_similar_pair(spark, sf_dir):
+    """Pairs that are alike stayed when their fingerprints differed in more than two bits."""
+    texts = dict(enumerate(corpus(3)))
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, source string")
+    far = [(a, b) for a, b in pairs(texts) if (fingerprint(texts[a]) ^ fingerprint(texts[b])).bit_count() > 2]
+    assert far
+    got = corpus_pipeline.near_dedup(spark, df, sf_dir)
+    assert got.columns == df.columns
+    rows = {r.doc_id: r.text for r in got.collect()}
+    assert rows.items() <= texts.items()
+    assert not pairs(rows)
+    # Nothing goes but what is linked to a document that was there.
+    linked = {i for p in pairs(texts) for i in p}
+    prints = {i: fingerprint(t) for i, t in texts.items()}
+    assert all(i in linked or any((prints[i] ^ p).bit_count() <= 2 for j, p in prints.items() if j < i)
+               for i in texts.keys() - rows.keys())
+
+
+def test_least_row_stays(spark):
+    words = [f"w{i}" for i in range(100)]
+    text = lambda i: " ".join([*words[:-1], f"end{i}"])
+    rows = [(None, text(0)), (-3, text(1)), (7, text(2)), (8, "other"), (None, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, overlap.one_of_similar(df).collect()), key=str)
+    assert got == sorted([rows[1], *rows[3:]], key=str)
+    assert overlap.one_of_similar(df.limit(0)).count() == 0
