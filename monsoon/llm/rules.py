@@ -8,10 +8,18 @@ The bounds hold for all strata, rules and cutoffs at once (Bonferroni), and the
 risk is divided among the rules, so that with the stated confidence no stratum loses more
 than the allowed share of its good documents. A stratum with too few labels gets no cutoff
 and loses nothing.
+
+Settled jointly, the cutoffs keep the same promise with fewer labels. What is tested is the
+share of good documents that all rules together reject, so the allowed risk is not divided.
+A path sets one rule after the other, each from lax to strict, and ends before the first test
+that fails, so the allowed error is not divided among its steps (fixed sequence), only among
+strata and paths. There is a path for each rule to come first; the longest one counts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,7 +150,42 @@ def _chooser(risk: float, error: float):
     return choose
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+def paths() -> list[list[dict[str, float]]]:
+    """For each rule a path that begins with it; every step is the cutoffs set by then."""
+    names, out = list(RULES), []
+    for at in range(len(names)):
+        held, path = {}, []
+        for rule in names[at:] + names[:at]:
+            for cutoff in reversed(RULES[rule][2]):
+                held = held | {rule: cutoff}
+                path.append(held)
+        out.append(path)
+    return out
+
+
+def _joint_chooser(risk: float, error: float):
+    def choose(n: pd.Series, rejected: pd.Series) -> pd.DataFrame:
+        out = []
+        for good, counts in zip(n, rejected, strict=True):
+            best, length, at = {}, 0, 0
+            for path in paths():
+                passed = 0
+                for k in counts[at : at + len(path)]:
+                    if not (k < risk * good and tail(int(k), int(good), risk) <= error):
+                        break
+                    passed += 1
+                if passed > length:
+                    best, length = path[passed - 1], passed
+                at += len(path)
+            out.append([best.get(rule) for rule in RULES])
+        return pd.DataFrame(out, columns=list(RULES), dtype="object")
+
+    return choose
+
+
+def cutoffs(
+    measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR, joint: bool = False
+) -> DataFrame:
     """One row per stratum that has labels: stratum and the cutoff of each rule or null.
 
     ``labels`` has doc_id and quality; a document labelled both ways counts as not good.
@@ -154,11 +197,28 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
         .filter("quality = 1")
         .select("doc_id")
     )
-    counts = [
-        F.sum((_value(rule) > c).cast("long"))
-        for rule, (_, _, grid) in RULES.items()
-        for c in grid
-    ]
+    if joint:
+        # The number of a rule's cutoffs that a document exceeds tells those that reject it.
+        above = {
+            rule: sum((_value(rule) > c).cast("int") for c in grid) for rule, (_, _, grid) in RULES.items()
+        }
+        measured = measured.select("*", *(n.alias(f"above_{rule}") for rule, n in above.items()))
+        counts = [
+            F.sum(
+                reduce(
+                    Column.__or__,
+                    (F.col(f"above_{rule}") > RULES[rule][2].index(c) for rule, c in step.items()),
+                ).cast("long")
+            )
+            for path in paths()
+            for step in path
+        ]
+    else:
+        counts = [
+            F.sum((_value(rule) > c).cast("long"))
+            for rule, (_, _, grid) in RULES.items()
+            for c in grid
+        ]
     per_stratum = written(
         measured.filter(~base_failed())
         .join(good, "doc_id", "left_semi")
@@ -166,18 +226,20 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
         .agg(F.count(F.lit(1)).alias("good"), F.array(*counts).alias("rejected")),
         "strata",
     )
-    tests = max(1, per_stratum.count()) * len(counts)
+    tests = max(1, per_stratum.count()) * (len(paths()) if joint else len(counts))
     schema = T.StructType([T.StructField(rule, T.DoubleType()) for rule in RULES])
-    choose = F.pandas_udf(_chooser(risk, error / tests), schema)
+    choose = F.pandas_udf((_joint_chooser if joint else _chooser)(risk, error / tests), schema)
     return per_stratum.select("stratum", choose("good", "rejected").alias("cut")).select("stratum", "cut.*")
 
 
 def judged(
-    docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR, carry: bool = False
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR, carry: bool = False,
+    joint: bool = False,
 ) -> DataFrame:
     """doc_id, the measures, base_failed, the cutoffs of the stratum and ``kept``.
 
-    ``carry`` adds ``whole``, the row of ``docs`` as a struct. Null and empty texts have no
+    ``carry`` adds ``whole``, the row of ``docs`` as a struct, ``joint`` settles the cutoffs of all
+    rules together. Null and empty texts have no
     words and fail the base rules. A null stratum is one of its own, a null doc_id has no
     label. Repeated rows are judged alike. Empty tables give no rows.
     """
@@ -185,7 +247,7 @@ def judged(
     if carry:
         columns.append(F.struct("*").alias("whole"))
     measured = written(docs.select(*columns, measures("text").alias("m")).select("*", "m.*").drop("m"), "measures")
-    found = cutoffs(measured, labels, risk, error)
+    found = cutoffs(measured, labels, risk, error, joint)
     sizes = measured.groupBy("stratum").agg(F.count(F.lit(1)).alias("weight"))
     limits = written(sizes.join(found, "stratum", "left"), "cutoffs")
     rejected = F.lit(False)
@@ -214,4 +276,4 @@ def rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return judged(docs, labels, carry=True).filter("kept").select("whole.*")
+    return judged(docs, labels, carry=True, joint=True).filter("kept").select("whole.*")

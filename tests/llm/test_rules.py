@@ -110,3 +110,61 @@ def test_edges(spark):
     good = spark.createDataFrame([(9, " ".join(f"w{i}" for i in range(40)), "en", 1, "s")], df.schema)
     kept = rules.kept_rows(df.union(good), labels)
     assert kept.columns == df.columns and kept.collect() == good.collect()
+
+
+def strata_of_a_few_hundred(spark):
+    """Four strata of 300 to 1,500 good documents and some bad ones, beside one of 40."""
+    random.seed(7)
+    rows, labels = [], []
+    for lang, n in {"aa": 1500, "bb": 480, "cc": 450, "dd": 320, "few": 40}.items():
+        for i in range(n + n // 10):
+            bad = i >= n
+            lines = [" ".join(f"w{random.randrange(10**6)}" + ("***" if bad else "") for _ in range(6)) for _ in range(5)]
+            if lang == "bb" and i < 9:  # good documents that have some lines twice
+                lines += lines[0:3:2]
+            rows.append((len(rows), "\n".join(lines), lang))
+            labels.append((len(labels), 0 if bad else 1))
+    return rows, spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_strata_of_a_few_hundred_get_cutoffs(spark):
+    """With the production values; divided among rules and grid, none but one got any."""
+    rows, docs, labels = strata_of_a_few_hundred(spark)
+    kept = {r.doc_id for r in rules.kept_rows(docs, labels).collect()}
+    for i, text, lang in rows:
+        assert (i in kept) == (lang == "few" or "***" not in text), (lang, text)
+
+
+def test_joint_cutoffs_hold_the_bound(spark):
+    """Every step up to the chosen one passes the exact test, the next one fails."""
+    rows, docs, labels = strata_of_a_few_hundred(spark)
+    got = rules.judged(docs, labels, joint=True).collect()
+    good = {r.doc_id for r in labels.collect() if r.quality == 1}
+    for stratum in {r.stratum for r in got}:
+        own = [r for r in got if r.stratum == stratum and r.doc_id in good]
+        lengths = []
+        for path in rules.paths():
+            passed = 0
+            for step in path:
+                k = sum(any(r[rules.RULES[rule][0]] / r[rules.RULES[rule][1]] > c for rule, c in step.items()) for r in own)
+                if k >= rules.RISK * len(own) or rules.tail(k, len(own), rules.RISK) > rules.ERROR / (5 * len(rules.RULES)):
+                    break
+                passed += 1
+            lengths.append((passed, path[passed - 1] if passed else {}))
+        want = max(lengths, key=lambda x: x[0])[1]
+        assert {tuple(r[f"cut_{rule}"] for rule in rules.RULES) for r in got if r.stratum == stratum} == {
+            tuple(want.get(rule) for rule in rules.RULES)}
+
+
+def test_joint_error_is_kept():
+    """Rules that reject more than the risk seldom pass, whichever path is taken."""
+    import numpy as np
+    import pandas as pd
+
+    choose, wrong, n = rules._joint_chooser(rules.RISK, rules.ERROR / len(rules.RULES)), 0, 400
+    steps = [len(path) for path in rules.paths()]
+    draws = np.random.default_rng(1).binomial(n, rules.RISK * 1.01, size=(2000, len(steps)))
+    for row in draws:  # the worst case: each path is a single chance of its own
+        counts = [k for k, size in zip(row, steps, strict=True) for _ in range(size)]
+        wrong += choose(pd.Series([n]), pd.Series([counts])).notna().any(axis=1).iloc[0]
+    assert wrong <= rules.ERROR * len(draws)
