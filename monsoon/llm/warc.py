@@ -27,6 +27,7 @@ END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER = b"\x1f\x8b\x08"
+MARK = b"WARC/1."
 
 PAGE_URN = "urn:page:"
 DATE = "2026-01-01T00:00:00Z"
@@ -129,14 +130,33 @@ def unpacked(data: bytes) -> Iterator[tuple[int, bytes, str | None]]:
     """(offset, bytes, problem) of each gzip member, and of each gap between members.
 
     What a broken member gave before it broke comes as bytes of its own, ahead of the gap. A
-    file that does not begin with a member is one piece as it is.
+    file that does not begin with a member is one piece as it is if no member is found. If
+    one is and there is a version line ahead of it, the reading counts that loses fewer bytes.
     """
-    import zlib
-
-    if MEMBER not in data[:64]:
+    if data.startswith(MEMBER):
+        yield from _members(data, 0)
+        return
+    line = data.find(MARK)
+    # Members that unpack to something else may be payloads.
+    at = _member(data, 0, MARK) if line != 0 else -1
+    if at < 0 and line < 0:
+        at = _member(data, 0)
+    plain = at < 0
+    if 0 <= line < at:
+        lost = at + sum(len(piece) for _, piece, problem in _members(data, at) if problem)
+        plain = sum(r["length"] for r in salvaged(data) if r.get("problem")) < lost
+    if plain:
         yield 0, data, None
         return
-    view, at = memoryview(data), 0
+    if at:
+        yield 0, data[:at], "member: no beginning"
+    yield from _members(data, at)
+
+
+def _members(data: bytes, at: int) -> Iterator[tuple[int, bytes, str | None]]:
+    import zlib
+
+    view = memoryview(data)
     while at < len(data):
         member, out, read = zlib.decompressobj(31), [], at
         problem = None
@@ -153,21 +173,28 @@ def unpacked(data: bytes) -> Iterator[tuple[int, bytes, str | None]]:
         if problem is None:
             at = min(read, len(data)) - len(member.unused_data)
             continue
-        nearest = data.find(MEMBER, at + 1)
-        while nearest >= 0 and not _begins(data, nearest):
-            nearest = data.find(MEMBER, nearest + 1)
+        nearest = _member(data, at + 1)
         stop = nearest if nearest >= 0 else len(data)
         yield at, data[at:stop], problem
         at = stop
 
 
-def _begins(data: bytes, at: int) -> bool:
+def _member(data: bytes, at: int, start: bytes = b"") -> int:
+    """Where the next member is that unpacks, to bytes that begin with ``start``, or -1."""
+    at = data.find(MEMBER, at)
+    while at >= 0 and not _begins(data, at, start):
+        at = data.find(MEMBER, at + 1)
+    return at
+
+
+def _begins(data: bytes, at: int, start: bytes) -> bool:
     import zlib
 
     try:
-        return bool(zlib.decompressobj(31).decompress(data[at : at + 65536], 64))
+        found = zlib.decompressobj(31).decompress(data[at : at + 65536], 64)
     except zlib.error:
         return False
+    return bool(found) and found.startswith(start)
 
 
 def salvaged(data: bytes) -> Iterator[dict]:
@@ -175,7 +202,7 @@ def salvaged(data: bytes) -> Iterator[dict]:
     import base64
     import hashlib
 
-    mark, at, gap, why = b"WARC/1.", 0, None, ""
+    at, gap, why = 0, None, ""
 
     def lost(start, stop):
         return {"start": start, "length": stop - start, "problem": why}
@@ -196,7 +223,7 @@ def salvaged(data: bytes) -> Iterator[dict]:
             continue
         if gap is None:
             gap, why = at, problem
-        nearest = data.find(mark, at + 1)
+        nearest = data.find(MARK, at + 1)
         at = nearest if nearest >= 0 else len(data)
     if gap is not None:
         yield lost(gap, len(data))
@@ -204,7 +231,7 @@ def salvaged(data: bytes) -> Iterator[dict]:
 
 def _record(data: bytes, at: int) -> tuple[dict | None, str]:
     """The record that begins there, or what is wrong with it."""
-    if not data.startswith(b"WARC/1.", at):
+    if not data.startswith(MARK, at):
         return None, "version line"
     stop = data.find(b"\r\n\r\n", at)
     if stop < 0:

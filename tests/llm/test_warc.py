@@ -123,6 +123,30 @@ def test_broken_members(seed):
     assert all(r["payload"] == parts[int(r["record_id"].rpartition(":")[2])] for r in good)
 
 
+@pytest.mark.parametrize("at", range(4))
+def test_damaged_start_costs_the_first_member_only(at):
+    parts = payloads()
+    members = [gzip.compress(record(i, p)) for i, p in enumerate(parts)]
+    first = bytearray(members[0])
+    first[at] ^= 0xFF
+    data = bytes(first) + b"".join(members[1:])
+    found = list(warc.recovered(data))
+    assert ids(found) == [str(i) for i in range(1, 12)]
+    assert found[0]["problem"] and found[0]["length"] == len(first)
+    random.seed(at)
+    for junk in (b"\0" * 100, b"junk" * 50, bytes(random.choices(range(256), k=5000)), b"\x1f\x8b\x08" * 40):
+        found = list(warc.recovered(junk + b"".join(members)))
+        assert ids(found) == [str(i) for i in range(12)]
+        assert (found[0]["start"], found[0]["length"]) == (0, len(junk)) or junk.startswith(warc.MEMBER)
+
+
+def test_packed_payloads_of_a_plain_file():
+    inner = gzip.compress(record(70, b"inner"))
+    data = record(0, gzip.compress(b"text" * 50)) + record(1, inner) + record(2, b"next")
+    assert ids(warc.recovered(data)) == ["0", "1", "2"]
+    assert ids(warc.recovered(b"X" + data[1:])) == ["1", "2"]
+
+
 @pytest.mark.parametrize("compression", [None, "gzip"])
 def test_archives_of_spark(spark, tmp_path, compression):
     rows = [
