@@ -2,7 +2,8 @@
 
 The writer makes every record an expression and lets Spark write them as text files with
 the record separator as line separator, which is a WARC file, committed like any output of
-a job. Equal payloads are one response and revisits that refer to it.
+a job. Compressed, every record is a gzip member of its own, so that damage costs no other.
+Equal payloads are one response and revisits that refer to it.
 
 The reader takes whole files, plain or gzip, as one member or as many. A record that fails
 a check (version line, headers, length, end of record, payload digest) or a member that
@@ -116,14 +117,44 @@ def records(pages: DataFrame, date: str = DATE) -> DataFrame:
     return pages.select(F.concat(head, body).alias("value"))
 
 
+def _packed(batches):
+    import zlib
+
+    import pyarrow as pa
+
+    def member(data: bytes) -> bytes:
+        packer = zlib.compressobj(wbits=31)
+        return packer.compress(data) + packer.flush()
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            out = []
+            for value in batch.column(0).slice(at, 64):
+                packed = member(value.as_py() + END.encode())
+                # The line separator is the last byte: zero but for 16 MB and more, which
+                # an empty member is put behind.
+                if packed[-1]:
+                    packed += member(b"")
+                out.append(packed[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+
 def write_archives(
     pages: DataFrame, path: str, per_file: int = RECORDS_PER_FILE, compression: str | None = None
 ) -> None:
-    """Write the rows as WARC files, none with more than ``per_file`` records."""
-    writer = records(with_revisits(pages)).write.option("lineSep", END)
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.option("maxRecordsPerFile", per_file).text(path)
+    """Write the rows as WARC files, none with more than ``per_file`` records.
+
+    ``compression`` is gzip or none. Packed files have no ending that says so.
+    """
+    if compression not in (None, "none", "gzip"):
+        raise ValueError(f"archives are gzip-compressed or plain, not {compression}")
+    rows, end = records(with_revisits(pages)), END
+    if compression == "gzip":
+        members = rows.select(F.col("value").cast("binary")).mapInArrow(_packed, "value binary")
+        rows, end = members.select(F.col("value").cast("string")), "\0"
+    rows.write.option("lineSep", end).option("compression", "none").option(
+        "maxRecordsPerFile", per_file
+    ).text(path)
 
 
 def unpacked(data: bytes) -> Iterator[tuple[int, bytes, str | None]]:
@@ -168,6 +199,7 @@ def _members(data: bytes, at: int) -> Iterator[tuple[int, bytes, str | None]]:
                 problem = "member: cut off"
         except zlib.error as error:
             problem = f"member: {error}"
+            out = [_decoded(view[at : read + STEP])]
         if out and (problem is None or any(out)):
             yield at, b"".join(out), None
         if problem is None:
@@ -179,6 +211,20 @@ def _members(data: bytes, at: int) -> Iterator[tuple[int, bytes, str | None]]:
         at = stop
 
 
+def _decoded(data: memoryview) -> bytes:
+    """All that a broken member gives before it breaks, which is in its last step."""
+    import zlib
+
+    member, last = zlib.decompressobj(31), max(0, (len(data) - 1) // STEP * STEP)
+    out = [member.decompress(data[at : at + STEP]) for at in range(0, last, STEP)]
+    try:
+        for at in range(last, len(data)):
+            out.append(member.decompress(data[at : at + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
 def _member(data: bytes, at: int, start: bytes = b"") -> int:
     """Where the next member is that unpacks, to bytes that begin with ``start``, or -1."""
     at = data.find(MEMBER, at)

@@ -140,6 +140,41 @@ def test_damaged_start_costs_the_first_member_only(at):
         assert (found[0]["start"], found[0]["length"]) == (0, len(junk)) or junk.startswith(warc.MEMBER)
 
 
+def test_what_a_broken_member_gave_is_kept():
+    """A wrong trailer costs nothing, a break what follows it, in files of any size."""
+    random.seed(2)
+    for n in (12, 200):
+        parts = [" ".join(random.choices(["one", "two", "three", "four"], k=300)).encode() + b" %d" % i for i in range(n)]
+        data = bytearray(gzip.compress(b"".join(record(i, p) for i, p in enumerate(parts))))
+        data[-8] ^= 0xFF
+        assert ids(warc.recovered(bytes(data))) == [str(i) for i in range(n)]
+        data[len(data) * 3 // 4] ^= 0xFF
+        assert ids(warc.recovered(bytes(data)))[: n // 2] == [str(i) for i in range(n // 2)]
+        assert any(r.get("problem") for r in warc.recovered(bytes(data)))
+
+
+def test_damage_of_written_archives_costs_one_record(spark, tmp_path):
+    path = tmp_path / "archives"
+    big = "".join(random.Random(4).choices("abcdefgh", k=17 << 20))
+    rows = [(i, "u", f"page {i} " * 200) for i in range(40)] + [(40, "u", big), (41, "u", None)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    warc.write_archives(df, str(path), compression="gzip")
+    seen = 0
+    for file in path.glob("part-*"):
+        data = file.read_bytes()
+        whole = ids(warc.recovered(data))
+        assert not any(r.get("problem") for r in warc.recovered(data))
+        assert gzip.decompress(data).count(b"WARC-Type") == len(whole)
+        starts = [r["start"] for r in warc.recovered(data)]
+        assert len(set(starts)) == len(whole)
+        seen += len(whole)
+        for n, start in enumerate(starts[:5]):
+            hurt = bytearray(data)
+            hurt[start + 60] ^= 0xFF
+            assert set(whole) - set(ids(warc.recovered(bytes(hurt)))) <= {whole[n]}
+    assert seen == len(rows)
+
+
 def test_packed_payloads_of_a_plain_file():
     inner = gzip.compress(record(70, b"inner"))
     data = record(0, gzip.compress(b"text" * 50)) + record(1, inner) + record(2, b"next")
