@@ -7,7 +7,7 @@ language of the centroid with the highest cosine. A text further from that centr
 nearly all the documents it was made of is marked as rejected.
 
 Document frequencies cover every document that may be learned from; only the centroids use
-a sample, of ``per_language`` documents each.
+a sample, of ``per_language`` different texts each.
 """
 
 from __future__ import annotations
@@ -130,8 +130,13 @@ def fitted(
     import numpy as np
 
     idf = inverse_frequencies(labelled.select("text"))
-    sample = W.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    chosen = labelled.withColumn("n", F.row_number().over(sample)).filter(F.col("n") <= per_language)
+    # One row per text: copies lie side by side in the order and would fill the sample. Only
+    # hashes are shuffled, and of the texts those of the sample.
+    hashed = labelled.select("lang", "text", F.xxhash64("text").alias("hash"))
+    sample = W.partitionBy("lang").orderBy("hash")
+    few = hashed.select("lang", "hash").distinct().withColumn("n", F.row_number().over(sample))
+    few = few.filter(F.col("n") <= per_language).drop("n")
+    chosen = hashed.join(F.broadcast(few), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
 
     def cluster(pdf):
         import pandas as pd

@@ -56,6 +56,18 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in language.predicted(df, none).collect()} == {"und"}
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    """The text whose hash comes first is there very often; the centroids are still of many."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(200)]
+    texts = [" ".join(rng.choice(words, 20)) for _ in range(60)]
+    df = spark.createDataFrame([("xx", t) for t in texts], "lang string, text string")
+    first = df.orderBy(language.F.xxhash64("text")).first()
+    _, langs, centres, _ = language.fitted(df.union(spark.createDataFrame([first] * 500, df.schema)), per_language=50)
+    assert langs == ["xx"] * language.CENTROIDS
+    assert len(np.unique(centres.round(4), axis=0)) == language.CENTROIDS
+
+
 def test_document_frequencies(spark):
     texts = ["abc abc", "abc", "xyz"]
     idf = language.inverse_frequencies(spark.createDataFrame([(t,) for t in texts], "text string"))
