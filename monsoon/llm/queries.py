@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from monsoon.llm import (
     language,
     lines,
+    minhash,
     mixing,
     oracle,
     packing,
@@ -35,6 +36,7 @@ def registry() -> dict[str, Query]:
         "op8_packing": packing.pack_digest,
         "op9_rules": rules.rules_query,
         "op10_simhash": simhash.simhash_query,
+        "op12_minhash": minhash.minhash_query,
     }
 
 
