@@ -278,24 +278,27 @@ def links(texts: DataFrame, nodes: DataFrame, width: int = SHINGLE, above: int =
     several = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.filter("low <> high").select("bucket")
     left = written(
-        rooted.join(several.hint("merge"), "bucket", "left_semi").join(
-            centres.select("bucket", F.col("centre.id").alias("c")).hint("merge"), "bucket"
-        ).filter(F.col("id") != F.col("c")),
+        rooted.join(several.hint("merge"), "bucket", "left_semi")
+        .join(centres.select("bucket", F.col("centre.id").alias("c")).hint("merge"), "bucket")
+        .filter(F.col("id") != F.col("c"))
+        .join(nodes.select("id", "bands").hint("merge"), "id"),
         "rest",
     )
-    x = left.select("bucket", F.col("id").alias("a"), "n", "n_own", F.col("root").alias("ra"))
+    x = left.select("bucket", "bands", F.col("id").alias("a"), "n", "n_own", F.col("root").alias("ra"))
     y = left.select(
         "bucket",
+        F.col("bands").alias("others"),
         F.col("id").alias("b"),
         F.col("n").alias("m"),
         F.col("n_own").alias("m_own"),
         F.col("root").alias("rb"),
     )
+    # A pair with several buckets in common is made in that with the least key.
+    here = F.array_min(F.array_intersect("bands", "others")) == F.col("bucket")
     rest = (
         x.join(y.hint("merge"), "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & allowed)
+        .filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & allowed & here)
         .select("a", "b")
-        .distinct()
     )
     return first.union(_confirm(written(rest, "rest_pairs"), sets, above, below))
 
