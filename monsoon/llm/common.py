@@ -30,6 +30,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread_join(
     big: DataFrame, small: DataFrame, key: str, weight: str, spread: Column, how: str = "inner"
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from monsoon.llm import lines, mixing, rules, topk, warc
+from monsoon.llm import codes, lines, mixing, rules, topk, warc
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -197,6 +197,46 @@ FROM docs LEFT JOIN kept k USING (r)
 """
 
 
+_INNER = "list_inner_product({}.part, {}.part)"
+_ROUNDS = "".join(
+    f"""
+a{i} AS MATERIALIZED ({{assigned}}),
+c{i + 1} AS MATERIALIZED (
+  SELECT c.p, c.entry, coalesce(s.part, c.part) AS part FROM c{i} c LEFT JOIN (
+    SELECT p, entry, list(mean ORDER BY k) AS part FROM (
+      SELECT p, entry, k, floor(sum(part[k]) / count(*)) AS mean
+      FROM a{i} JOIN parts USING (r, p), size, range(1, size + 1) AS s(k) GROUP BY ALL) GROUP BY ALL) s
+  USING (p, entry)),""".replace("{assigned}", f"""
+  SELECT x.r, x.p, min(({_INNER.format("x", "x")} - 2 * {_INNER.format("x", "c")} + {_INNER.format("c", "c")})::BIGINT
+      * {codes.ENTRIES} + c.entry) % {codes.ENTRIES} AS entry
+  FROM parts x JOIN c{i} c USING (p) GROUP BY ALL""")
+    for i in range(codes.ROUNDS)
+)
+
+CODES = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * {codes.SCALE})) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+size AS MATERIALIZED (SELECT max(len(v)) // {codes.POSITIONS} AS size FROM kept),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * size + 1:(p + 1) * size] AS part FROM kept, size, range({codes.POSITIONS}) AS s(p)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS entry, part FROM parts WHERE r <= {codes.ENTRIES}),{_ROUNDS}
+final AS MATERIALIZED (
+  SELECT x.r, x.p, min(({_INNER.format("x", "x")} - 2 * {_INNER.format("x", "c")} + {_INNER.format("c", "c")})::BIGINT
+      * {codes.ENTRIES} + c.entry) AS best
+  FROM parts x JOIN c{codes.ROUNDS} c USING (p) GROUP BY ALL),
+coded AS (
+  SELECT r, string_agg(printf('%02x', best % {codes.ENTRIES}), '' ORDER BY p) AS code,
+    sum(best // {codes.ENTRIES})::BIGINT AS error FROM final GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(part[k]::BIGINT::VARCHAR, ',' ORDER BY p, entry, k))
+   FROM c{codes.ROUNDS}, size, range(1, size + 1) AS s(k)) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_mixing": MIXING,
@@ -204,4 +244,5 @@ def statements() -> dict[str, str]:
         "op4_warc": WARC,
         "op7_topk": TOPK,
         "op9_rules": RULES,
+        "op13_codes": CODES,
     }

@@ -1,0 +1,107 @@
+"""Vector codes against a plain loop of Lloyd rounds."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import pytest
+
+from monsoon.llm import codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, entries=256, positions=4, rounds=4):
+    """{vec_id: (code, error)}, label errors and the digest, for rows with distinct ids."""
+    kept = sorted(
+        (i, [math.floor(1024 * x) for x in v], label)
+        for i, v, label in rows
+        if v is not None and all(x is not None and math.isfinite(x) for x in v)
+    )
+    size = len(kept[0][1]) // positions
+    cut = {i: [v[p * size : (p + 1) * size] for p in range(positions)] for i, v, _ in kept}
+    books = [[cut[i][p] for i, _, _ in kept[:entries]] for p in range(positions)]
+
+    def best(p, part):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), at) for at, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        new = []
+        for p in range(positions):
+            held = [[] for _ in books[p]]
+            for parts in cut.values():
+                held[best(p, parts[p])[1]].append(parts[p])
+            new.append([[sum(x) // len(h) for x in zip(*h)] if h else e for h, e in zip(held, books[p])])
+        books = new
+    found = {i: [best(p, parts[p]) for p in range(positions)] for i, parts in cut.items()}
+    errors = {i: sum(d for d, _ in f) for i, f in found.items()}
+    labels = {}
+    for i, _, label in kept:
+        labels[label] = labels.get(label, 0) + errors[i]
+    text = ",".join(str(x) for b in books for e in b for x in e)
+    return (
+        {i: ("".join(f"{at:02x}" for _, at in f), errors[i], labels[label]) for (i, f), (_, _, label) in zip(found.items(), kept)},
+        hashlib.sha256(text.encode()).hexdigest(),
+    )
+
+
+def vectors(seed, n, width=16):
+    random.seed(seed)
+    centres = [[random.gauss(0, 0.2) for _ in range(width)] for _ in range(5)]
+    return [
+        (i, [float(c + random.gauss(0, 0.05)) for c in random.choice(centres)], random.choice([None, 1, 2]))
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("n", [40, 400])
+def test_against_a_plain_loop(spark, n):
+    rows = [*vectors(n, n), (9001, None, 1), (9002, [None] * 16, 1), (9003, [math.nan] * 16, 2), (9004, [math.inf] * 16, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want, sha = plain(rows, entries=32)
+    got = codes.compressed(df, entries=32).collect()
+    assert {r.vec_id: (r.code, r.error, r.label_error) for r in got} == want
+    assert {r.codebooks_sha256 for r in got} == {sha} and len(got) == n
+
+
+def test_only_those_that_change_their_entry_are_shuffled(spark, monkeypatch):
+    plans, moved = [], []
+    rows_of = codes._Members.rows
+
+    def seen(self):
+        found = rows_of(self)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        held = self.spark.table(self.name)
+        moved.append((held.filter("next <> entry").count(), held.count()))
+        return found
+
+    monkeypatch.setattr(codes._Members, "rows", seen)
+    df = spark.createDataFrame(vectors(3, 600), SCHEMA)
+    assert codes.compressed(df, entries=16).count() == 600
+    assert all(p.count("Exchange") == 1 and "next" in p for p in plans)
+    assert moved[0] == (0, 2400) and 0 < moved[-1][0] < 1200
+
+
+def test_edges(spark):
+    rows = [
+        (1, [1e30, -1e30], 1), (1, [1e30, -1e30], 1), (None, [0.5, 0.25, 0.125], None), (2, [], 1), (3, None, 1),
+        (-5, [0.1] * 9, None),
+    ]
+    df = spark.createDataFrame([(*r, "x", 7) for r in rows], SCHEMA + ", code string, error int")
+    got = codes.compressed(df).collect()
+    assert sorted((r.vec_id is None, r.vec_id or 0, r.code, r.error) for r in got) == [
+        (False, -5, "00000000", 0), (False, 1, "01010101", 0), (False, 1, "01010101", 0), (False, 2, "03030303", 0),
+        (True, 0, "04040404", 0)]
+    assert codes.compressed(df.limit(0)).collect() == []
+    same = spark.createDataFrame([(i, [0.5] * 8, i % 2) for i in range(500)], SCHEMA)
+    assert {(r.code, r.error) for r in codes.compressed(same).collect()} == {("00000000", 0)}
+
+
+def test_numbers_beyond_doubles_are_exact():
+    import numpy as np
+
+    parts = np.array([[2.0**52, 1.0], [2.0**52 + 1, 0.0]])
+    best, error = codes.nearest(parts, [[2**52, 0], [2**52 + 1, 0]])
+    assert best.tolist() == [0, 1] and error.tolist() == [1, 0]
