@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from monsoon.llm import (
+    codes,
     language,
     lines,
     minhash,
@@ -19,6 +20,7 @@ from monsoon.llm import (
     topk,
     toxicity,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +38,9 @@ def registry() -> dict[str, Query]:
         "op8_packing": packing.pack_digest,
         "op9_rules": rules.rules_query,
         "op10_simhash": simhash.simhash_query,
+        "op11_whitening": whitening.whitening_query,
         "op12_minhash": minhash.minhash_query,
+        "op13_codes": codes.codes_query,
     }
 
 
