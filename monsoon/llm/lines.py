@@ -6,9 +6,9 @@ of lines, nor with fewer than that many left. Boundaries depend on nearby lines,
 put somewhere else is soon cut in the same places. Chunks that occur more than once in the
 corpus keep their first place and go everywhere else.
 
-Equal chunks meet by a hash first; only those that share theirs are compared as bytes, by
-grouping and joining on the chunk itself. A chunk that is in very many places is reduced
-within each task before the shuffle, and its places are dealt to several tasks.
+Places of chunks are short rows with a hash. That equal hashes mean equal bytes is checked by
+grouping on the chunk itself, of which copies become one within each task. The places of a
+chunk that is in very many are dealt to several tasks.
 
 Chunks are made by string functions in time linear in the text: every line gets the prefix
 MARK and the last of a chunk one more line feed, so that two line feeds in a row are found
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monsoon.llm.common import BLANK, HOT_SHARE, spread_join, table, written
+from monsoon.llm.common import BLANK, spread_join, table, written
 
 WINDOW = 2
 DIVISOR = 2
@@ -92,55 +92,35 @@ def removed_chunks(
     Chunks without a word stay.
     """
     # The key comes first: beside the generator it would be made again for every chunk.
-    keyed = docs.select("doc_id", "text", _row().alias("row"))
-    split = keyed.select(
-        "doc_id", "row", F.posexplode(chunks(F.col("text"), window, divisor, min_lines)).alias("at", "body")
-    )
-    found = written(
-        split.withColumn("n", F.regexp_count("body", F.lit("\n")) + 1)
+    keyed = docs.select("doc_id", "text", F.unhex(_row()).alias("row"))
+    split = (
+        keyed.select(
+            "doc_id", "row", F.posexplode(chunks(F.col("text"), window, divisor, min_lines)).alias("at", "body")
+        )
+        .withColumn("n", F.regexp_count("body", F.lit("\n")) + 1)
         .filter(F.col("n") >= min_lines)
         .filter(F.col("body").rlike(rf"(?:\A|\n)\{MARK}[^\n]*[^{BLANK}]"))
-        .select(
-            F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "at").alias("place"),
-            "n",
-            "body",
-            F.unhex(F.md5("body")).alias("hash"),
-        ),
-        "chunks",
-    )
-    counts = written(
-        found.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"), "counts"
+        .withColumn("hash", F.unhex(F.md5("body")))
     )
-    total = counts.agg(F.sum("times")).first()[0] or 0
-    share = int(total * HOT_SHARE) + 1
-    parts = F.when(F.col("times") > share, F.ceil(F.col("times") / share)).otherwise(1).cast("int")
-    # Fewer than 1 / HOT_SHARE chunks have more than that share of all places.
-    hot = counts.filter(F.col("times") > share).select("hash", parts.alias("parts"))
-    dealt = (
-        found.join(F.broadcast(hot), "hash", "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("part", F.pmod(F.xxhash64("place"), F.col("parts")).cast("int"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "at").alias("place")
+    found = written(split.select(place, "n", "hash"), "chunks")
+    # Bytes are compared by grouping on them. Copies become one within each task; a hash that
+    # two different chunks share, if there ever is one, takes nothing away.
+    shared = (
+        split.select("hash", "body").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("bodies"))
+        .filter("bodies > 1").select("hash")
     )
-    spread = counts.select("hash", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    # Neither this list nor that of removed chunks is ever broadcast, small as it may be:
-    # both grow with the corpus.
-    repeated = written(dealt.join(spread.hint("merge"), ["hash", "part"]), "repeated")
-    classes = (
-        repeated.groupBy("hash", "body")
-        .agg(
-            F.min("place").alias("first"),
-            F.count(F.lit(1)).alias("times"),
-            F.max("parts").alias("parts"),
-        )
+    first = (
+        found.groupBy("hash")
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"))
         .filter("times > 1")
-        .select(
-            "hash", "body", "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-        )
     )
+    first = written(first.join(written(shared, "shared").hint("merge"), "hash", "left_anti"), "first_chunks")
+    # Rows alike in id and text are one place.
     return (
-        repeated.join(classes, ["hash", "part", "body"])
+        spread_join(found, first, "hash", "times", F.xxhash64("place"))
         .filter(F.col("place") != F.col("first"))
-        .select("place.row", "place.at", "n")
+        .select(F.lower(F.hex("place.row")).alias("row"), "place.at", "n")
         .distinct()
     )
 

@@ -230,26 +230,27 @@ def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
     Whole rounds repeat the row; a row of which a part is taken holds those words, with the
     white space before each but the first, as ``text``; ``n_chars``, if there is such a
     column, is the length of the text. Documents without words are not in the mix. Rows alike
-    in id, text and source take the other columns of one of them.
+    in id, text and source share out what all of them give, in the order of a hash of the rows.
     """
     key = _key(settings.get("seed", SEED))
+    alike = W.partitionBy("key", "party")
     found = mixed(docs, **settings).filter("taken > 0")
+    found = found.withColumn("copy", F.row_number().over(alike.orderBy("rounds", "first", "second")))
     all_words = F.struct(F.lit(0).cast("long").alias("from"), F.col("size").alias("to"))
     parts = F.filter(F.array("first", "second"), lambda s: s["to"] > s["from"])
     spans = found.select(
         "key",
         "party",
+        "copy",
         "size",
         F.explode(
             F.concat(F.array_repeat(all_words, F.col("rounds").cast("int")), parts)
         ).alias("span"),
     )
-    # Rows alike in id, text and source are one row here, which takes the spans of all; the
-    # join finds the texts in the partitions where they were numbered.
-    one = W.partitionBy("key", "party").orderBy("key")
+    # The join finds the texts in the partitions where they were numbered.
     texts = docs.select(F.struct("*").alias("whole"), key.alias("key"), _party().alias("party"))
-    texts = texts.withColumn("copy", F.row_number().over(one)).filter("copy = 1")
-    rows = texts.join(spans, ["key", "party"]).select("whole", "size", "span")
+    texts = texts.withColumn("copy", F.row_number().over(alike.orderBy(F.xxhash64("whole"))))
+    rows = texts.join(spans, ["key", "party", "copy"]).select("whole", "size", "span")
     first, n = F.col("span.from").cast("int"), (F.col("span.to") - F.col("span.from")).cast("int")
     words = F.regexp_extract_all("whole.text", F.lit(f"([{BLANK}]*{WORD})"), F.lit(1))
     cut = F.regexp_replace(F.array_join(F.slice(words, first + 1, n), ""), f"^[{BLANK}]+", "")

@@ -244,15 +244,20 @@ def judged(
     label. Repeated rows are judged alike. Empty tables give no rows.
     """
     columns = [F.col("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("")).alias("stratum")]
-    if carry:
-        columns.append(F.struct("*").alias("whole"))
-    measured = written(docs.select(*columns, measures("text").alias("m")).select("*", "m.*").drop("m"), "measures")
+
+    def rows(*more: Column) -> DataFrame:
+        return docs.select(*columns, *more, measures("text").alias("m")).select("*", "m.*").drop("m")
+
+    measured = written(rows(), "measures")
     found = cutoffs(measured, labels, risk, error, joint)
     sizes = measured.groupBy("stratum").agg(F.count(F.lit(1)).alias("weight"))
     limits = written(sizes.join(found, "stratum", "left"), "cutoffs")
     rejected = F.lit(False)
     for rule in RULES:
         rejected = rejected | F.coalesce(_value(rule) > F.col(rule), F.lit(False))
+    if carry:
+        # Texts are measured once more rather than written once more.
+        measured = rows(F.struct("*").alias("whole"))
     return spread_join(measured, limits, "stratum", "weight", F.xxhash64("doc_id", "n_words")).select(
         *(["whole"] if carry else []),
         "doc_id",

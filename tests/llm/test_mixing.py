@@ -119,3 +119,10 @@ def test_the_mix_holds_the_words_taken(spark, sf_dir):
         assert r.n_chars == len(r.text)
         words[r.doc_id] += len(r.text.encode().split())
     assert words == Counter({d: t for d, t in taken.items() if t})
+
+
+def test_rows_alike_keep_their_own_columns(spark):
+    rows = [(1, "a b c d", "s", 10), (1, "a b c d", "s", 20), (2, "e f g h i", "s", 30), (3, "j k", "t", 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, x int")
+    got = mixing.mixed_rows(df, share=2.0, block=1).collect()
+    assert sorted(map(tuple, got)) == sorted(rows + rows)
