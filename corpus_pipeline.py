@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monsoon.llm import lines, mixing, overlap, packing, rules, simhash
+from monsoon.llm import lines, mixing, near, packing, rules
 from monsoon.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,8 +27,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, by fingerprint and then by overlap."""
-    return overlap.one_of_similar(written(simhash.one_of_each(docs), "one_of_each"))
+    """One document of each group that fingerprints within two bits, or five-word shingles
+    with a similarity of 0.8 and more, link. Rows equal in doc_id and text count as one."""
+    return near.one_of_near(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
