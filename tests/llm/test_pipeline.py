@@ -12,9 +12,8 @@ from tokenizers import Tokenizer
 
 from monsoon.llm import rules
 
-from .test_lines import plain as plain_lines
-from .test_simhash import components
-from .test_simhash import plain as plain_fingerprint
+from .test_lines import plain_passages
+from .test_near import groups
 
 
 @pytest.fixture(scope="module")
@@ -50,14 +49,14 @@ def test_rules(stages):
 
 def test_line_dedup(stages):
     before, after = stages[1], stages[2]
-    assert sorted((r.doc_id, r.text) for r in after) == sorted(plain_lines([(r.doc_id, r.text) for r in before]))
+    assert sorted((r.doc_id, r.text) for r in after) == sorted(plain_passages([(r.doc_id, r.text) for r in before]))
     assert all(r.n_chars == len(r.text) for r in after)
 
 
 def test_one_of_each_group_stays(stages):
     before, after = stages[2], stages[3]
-    groups = components({r.doc_id: plain_fingerprint(r.text) for r in before})
-    assert sorted(r.doc_id for r in after) == sorted(set(groups.values()))
+    want = groups({r.doc_id: r.text for r in before})
+    assert sorted(r.doc_id for r in after) == sorted(set(want.values()))
     assert set(after) <= set(before)
 
 
