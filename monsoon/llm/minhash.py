@@ -11,8 +11,8 @@ bucket is compared with the bucket's most central one, that with the smallest sh
 shingles no other candidate has. A set cannot be similar to any other if too many of its
 shingles are its own, so heavily edited copies are ruled out by a count, exactly. Only
 members that are still in different components after that meet each other, and only if
-those counts allow it, so no link is lost and a group of copies makes as many pairs as it has
-members.
+the shingles that few of them have, listed for each, leave room for a link. So no link is
+lost, and of a group of copies about as many pairs are confirmed as it has members.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ SEED = 42
 BANDS, ROWS = 32, 4
 # Hashes and coordinates that are held at once, per text.
 STEP = 1 << 11
+# Shingles of so many of the sets left at most are listed; any number gives the same links.
+RARE = 64
 
 
 def shingles(text: bytes | None, width: int = SHINGLE):
@@ -174,6 +176,32 @@ def _members(batches):
             )
 
 
+def _exploded(batches):
+    """A row per shingle: the set's id and the hash."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        for name, hashes in zip(batch.column(0), batch.column(1), strict=True):
+            found = pa.array(np.frombuffer(hashes.as_py(), dtype=np.int64))
+            names = pa.array([name.as_py()], pa.binary()).take(pa.array(np.zeros(len(found), dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([names, found], names=["id", "shingle"])
+
+
+def _rare(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each of the ids: rare, its shingles that few other ones of them have, and n_few,
+    how many shingles are rare or its own."""
+    each = written(
+        sets.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_exploded, "id binary, shingle long"), "rest_shingles"
+    )
+    times = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") <= RARE)
+    return (
+        each.join(times.hint("merge"), "shingle")
+        .groupBy("id")
+        .agg(F.collect_list(F.when(F.col("times") > 1, F.col("shingle"))).alias("rare"), F.count(F.lit(1)).alias("n_few"))
+    )
+
+
 def _confirmed(above: int, below: int):
     def run(batches):
         import numpy as np
@@ -281,23 +309,36 @@ def links(texts: DataFrame, nodes: DataFrame, width: int = SHINGLE, above: int =
         rooted.join(several.hint("merge"), "bucket", "left_semi")
         .join(centres.select("bucket", F.col("centre.id").alias("c")).hint("merge"), "bucket")
         .filter(F.col("id") != F.col("c"))
-        .join(nodes.select("id", "bands").hint("merge"), "id"),
+        .select("bucket", "id", "n", "root"),
         "rest",
     )
-    x = left.select("bucket", "bands", F.col("id").alias("a"), "n", "n_own", F.col("root").alias("ra"))
-    y = left.select(
+    few = _rare(left.select("id").distinct(), sets)
+    none = F.array().cast("array<bigint>")
+    known = written(
+        left.join(nodes.select("id", "bands").hint("merge"), "id")
+        .join(few.hint("merge"), "id", "left")
+        .withColumns({"rare": F.coalesce("rare", none), "common": F.col("n") - F.coalesce("n_few", F.lit(0))}),
+        "rest_known",
+    )
+    x = known.select("bucket", "bands", F.col("id").alias("a"), "n", "common", "rare", F.col("root").alias("ra"))
+    y = known.select(
         "bucket",
-        F.col("bands").alias("others"),
+        F.col("bands").alias("other_bands"),
         F.col("id").alias("b"),
         F.col("n").alias("m"),
-        F.col("n_own").alias("m_own"),
+        F.col("common").alias("other_common"),
+        F.col("rare").alias("other_rare"),
         F.col("root").alias("rb"),
     )
+    # What two sets share are rare shingles, which are listed, and others, of which the one
+    # that has fewer sets the limit.
+    both = F.least("common", "other_common") + F.size(F.array_intersect("rare", "other_rare"))
     # A pair with several buckets in common is made in that with the least key.
-    here = F.array_min(F.array_intersect("bands", "others")) == F.col("bucket")
+    here = F.array_min(F.array_intersect("bands", "other_bands")) == F.col("bucket")
     rest = (
         x.join(y.hint("merge"), "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & allowed & here)
+        .filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
+        .filter((both * (above + below) >= (F.col("n") + F.col("m")) * above) & here)
         .select("a", "b")
     )
     return first.union(_confirm(written(rest, "rest_pairs"), sets, above, below))
