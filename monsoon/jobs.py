@@ -186,11 +186,7 @@ def run_run(spark: SparkSession, args: argparse.Namespace) -> None:
             every(triggers.FLUSH),
         )
     signal.signal(signal.SIGTERM, signal.default_int_handler)
-    counts = run_together(spark, starts, args.seconds)
-    rows = [(n, b, events, new) for (n, b), (events, new) in sorted(counts.batches.items())]
-    if rows:
-        shape = S.shape(stream=S.TEXT, batch=S.WHOLE, jumlah_event=S.WHOLE, artikel_baru=S.WHOLE)
-        spark.createDataFrame(rows, shape).write.mode("append").json(f"{data}/batches")
+    run_together(spark, starts, args.seconds, store=f"{data}/batches")
 
 
 def run_peek(spark: SparkSession, args: argparse.Namespace) -> None:

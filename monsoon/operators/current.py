@@ -8,38 +8,25 @@ from pyspark.sql import functions as F
 from monsoon.functions.clock import plain_text
 from monsoon.functions.conditions import is_extreme, temperature_band
 from monsoon.operators.analyses import with_event_time
-from monsoon.session import settle
 
 _FIELDS = ["temperature", "humidity", "wind_speed", "weather_code"]
 _CITY = ["kode_kota", "nama_kota"]
 
-# Up to this many cities, the latest times are broadcast.
-FEW_CITIES = 10_000
-
-
 def current_conditions(observations: DataFrame, *ties: str) -> DataFrame:
     """The latest observation of each city; of equal times the greatest by ``ties``, by
     default the measured values in their order, NULL below all.
 
-    The latest time per city is a plain maximum, which is hashed and reduced in each task.
-    Only the rows at that time are compared any further. Events of unknown time have no
-    part in it.
+    One pass: each task reduces its rows to one per city before the shuffle. Events of
+    unknown time have no part in it.
     """
-    timed = with_event_time(observations)
-    latest = settle(
-        timed.groupBy(*_CITY).agg(F.max("ts_obj").alias("_latest")).filter("_latest IS NOT NULL")
-    )
-    if latest.count() <= FEW_CITIES:
-        latest = F.broadcast(latest)
-    same = F.col("event.ts_obj") == F.col("last._latest")
-    for name in _CITY:
-        same &= F.col(f"event.{name}").eqNullSafe(F.col(f"last.{name}"))
-    at_latest = timed.alias("event").join(latest.alias("last"), same, "left_semi")
-    now = F.max_by(F.struct(*_FIELDS), F.struct(*(ties or _FIELDS)))
+    now = F.max_by(F.struct(*_FIELDS, "ts_obj"), F.struct("ts_obj", *(ties or _FIELDS)))
     return (
-        at_latest.groupBy(*_CITY, "ts_obj")
+        with_event_time(observations)
+        .groupBy(*_CITY)
         .agg(now.alias("now"))
-        .select(*_CITY, "now.*", plain_text(F.col("ts_obj")).alias("waktu"))
+        # Filtered after grouping, lest every time is parsed twice.
+        .filter("now.ts_obj IS NOT NULL")
+        .select(*_CITY, *(f"now.{name}" for name in _FIELDS), plain_text(F.col("now.ts_obj")).alias("waktu"))
         .withColumn("warna", temperature_band(F.col("temperature")))
         .withColumn("ekstrem", F.coalesce(is_extreme(), F.lit(False)))
     )

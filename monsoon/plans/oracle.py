@@ -183,6 +183,22 @@ FROM (SELECT DISTINCT poll FROM n) AS p LEFT JOIN f ON f.poll = p.poll
 GROUP BY p.poll
 """
 
+# A period is nine polls.
+DEDUP_WITHIN = f"""
+WITH {N}, k AS (
+  SELECT *, row_number() OVER (PARTITION BY link, CAST(poll AS BIGINT) // 9 ORDER BY doc_id) AS urutan
+  FROM n WHERE link <> '')
+SELECT doc_id, {S2} FROM k WHERE urutan = 1
+"""
+
+BATCH_COUNTS = f"""
+WITH {N}, top AS (SELECT max(doc_id) + 1 AS m FROM documents),
+taken AS (SELECT doc_id * 5 // m AS piece, COUNT(*) AS jumlah_event FROM n, top GROUP BY 1),
+fresh AS (SELECT doc_id * 5 // m AS piece, COUNT(*) AS artikel_baru FROM f, top GROUP BY 1)
+SELECT 'berita' AS stream, jumlah_event, coalesce(artikel_baru, 0) AS artikel_baru
+FROM taken LEFT JOIN fresh USING (piece)
+"""
+
 PREVIEW = f"""
 WITH {N}, nomor AS (
   SELECT *, row_number() OVER (PARTITION BY sumber ORDER BY doc_id) AS ke FROM n
@@ -320,5 +336,7 @@ def statements() -> dict[str, str]:
         "stream_resumed": events,
         "stream_dedup": f"WITH {N} SELECT link FROM f",
         "stream_first_seen": f"WITH {N} SELECT doc_id, {S2} FROM f",
+        "stream_dedup_within": DEDUP_WITHIN,
+        "stream_batch_counts": BATCH_COUNTS,
         "pipeline_news": f"WITH {N} SELECT {S2} FROM f",
     }

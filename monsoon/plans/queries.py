@@ -32,6 +32,7 @@ from monsoon.sources.weather import (
     weather_rejects,
 )
 from monsoon.streaming.dedup import first_seen_stream
+from monsoon.streaming.monitor import BatchCounts, stored_counts
 from monsoon.streaming.publish import publish_stream
 from monsoon.streaming.store import store_stream
 from monsoon.streaming.triggers import DRAIN
@@ -47,6 +48,9 @@ NUMBERED_ARTICLE = T.StructType([*DOC_ID.fields, *S.ARTICLE.fields])
 # Landed one after the other, each a batch of its own.
 PIECES = 5
 
+# How long a link is remembered where that is bounded: nine polls.
+PERIOD = "45 minutes"
+
 
 def _over_observations(analysis: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: analysis(tables.observations(spark, sf_dir))
@@ -307,14 +311,19 @@ def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_files(spark, f"{path}/api", extra=EVENT_ID)
 
 
-def _first_seen(spark: SparkSession, sf_dir: str, path: str, forward=None) -> DataFrame:
+def _first_seen(
+    spark: SparkSession, sf_dir: str, path: str, forward=None, within: str | None = None, counts: str | None = None
+) -> DataFrame:
     """Articles landed and taken in piece by piece, the stream restarted for each."""
     entries = tables.candidates(spark, sf_dir)
 
     def run() -> None:
         landed = spark.readStream.schema(entries.schema).parquet(f"{path}/landed")
         articles = N.as_articles(landed, "doc_id", "fetched_at")
-        first_seen_stream(articles, f"{path}/sent", ARRIVAL, DRAIN, forward).awaitTermination()
+        query = first_seen_stream(articles, f"{path}/sent", ARRIVAL, DRAIN, forward, "berita", within)
+        query.awaitTermination()
+        if counts:
+            BatchCounts(None, spark, counts).catch_up(query)
 
     _landed_in_pieces(entries, "doc_id", f"{path}/landed", run)
     return spark.read.parquet(f"{path}/sent").drop("batch", "fetched_at")
@@ -328,6 +337,18 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _first_seen(spark, sf_dir, scratch(spark, "first-seen"))
 
 
+def stream_dedup_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each link once in every period, the links of past periods forgotten."""
+    return _first_seen(spark, sf_dir, scratch(spark, "within"), within=PERIOD)
+
+
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch took in and how many links were new, as stored while it ran."""
+    path = scratch(spark, "counted")
+    _first_seen(spark, sf_dir, path, counts=f"{path}/batches")
+    return stored_counts(spark, f"{path}/batches").select("stream", "jumlah_event", "artikel_baru")
+
+
 def pipeline_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather and news sent to one bus by turns, and the news stored from it."""
     path = scratch(spark, "news")
@@ -403,5 +424,7 @@ def registry() -> dict[str, Query]:
         "stream_resumed": stream_resumed,
         "stream_dedup": stream_dedup,
         "stream_first_seen": stream_first_seen,
+        "stream_dedup_within": stream_dedup_within,
+        "stream_batch_counts": stream_batch_counts,
         "pipeline_news": pipeline_news,
     }

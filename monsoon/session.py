@@ -139,6 +139,20 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole, over one of the same name, on whatever file system it is."""
+    jvm = spark._jvm
+    place, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}._draft")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    files.delete(place, False)
+    files.rename(draft, place)
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The identity that a stream's checkpoint keeps over restarts."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]

@@ -21,20 +21,29 @@ def run_together(
     seconds: float | None = None,
     status_every: float = 60.0,
     told: Callable[[str], None] = print,
+    store: str | None = None,
 ) -> BatchCounts:
     """Run the streams until interrupted, or for a time, then store the remainder.
 
-    Counts of every batch and the status are told as they come. If a stream fails, the
-    others are drained and its error is raised. On the way out each stream is stopped and
-    run once more over what has arrived, in the order given, so that what one passes on
-    still reaches the next.
+    Counts of every batch and the status are told as they come, and kept below ``store``.
+    On the way out each stream is stopped and run once more over what has arrived, in the
+    order given, so that what one passes on still reaches the next. If a stream fails, or
+    cannot be started, the others are drained all the same and its error is raised; one that
+    failed is not run again.
     """
-    counts = BatchCounts(told)
+    counts = BatchCounts(told, spark, store)
     spark.streams.resetTerminated()
     spark.streams.addListener(counts)
-    queries = {name: start(trigger) for name, (start, trigger) in starts.items()}
+    queries: dict[str, StreamingQuery] = {}
+    errors: dict[str, Exception] = {}
     began = time.monotonic()
     try:
+        for name, (start, trigger) in starts.items():
+            try:
+                queries[name] = start(trigger)
+            except Exception as error:
+                errors[name] = error
+                raise
         while all(q.isActive for q in queries.values()):
             for line in status_lines(queries):
                 told(line)
@@ -46,17 +55,25 @@ def run_together(
         told("berhenti")
     finally:
         try:
-            failed = [q.exception() for q in queries.values() if q.exception() is not None]
-            for query in queries.values():
+            for name, query in queries.items():
+                if query.exception() is not None:
+                    errors[name] = query.exception()
                 query.stop()
-            if not failed:
-                for start, _ in starts.values():
-                    start(DRAIN).awaitTermination()
+                counts.catch_up(query)
+            for name, (start, _) in starts.items():
+                if name in errors:
+                    continue
+                try:
+                    rest = start(DRAIN)
+                    rest.awaitTermination()
+                    counts.catch_up(rest)
+                except Exception as error:
+                    errors[name] = error
             for line in status_lines(queries):
                 told(line)
         finally:
             spark.streams.removeListener(counts)
             spark.streams.resetTerminated()
-    if failed:
-        raise failed[0]
+    for error in errors.values():
+        raise error
     return counts

@@ -111,11 +111,12 @@ def test_peek_reads_values_only_up_to_the_last_message(spark, tmp_path):
     assert reading and all("LessThanOrEqual(timestamp," in scan for scan in reading)
 
 
-def test_current_conditions_hash_before_they_sort(spark):
-    """Events are hashed to one time per city; only rows at that time are sorted."""
+def test_current_conditions_are_one_pass(spark):
+    """One scan, one shuffle of a row per task and city, no job beforehand."""
     text = plan(driver.queries()["current_temperature"](spark, SF))
-    below = text[text.index("SortAggregate") :]
-    assert "BroadcastHashJoin" in below and "LeftSemi" in below
+    assert text.count("FileScan parquet") == 1 and "Join" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("partial_max_by") > text.index("Exchange hashpartitioning")
 
 
 def test_new_articles_do_not_read_what_was_stored(spark, tmp_path):

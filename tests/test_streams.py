@@ -17,7 +17,7 @@ from monsoon.sources.bus import messages, read_topic
 from monsoon.sources.weather import weather_files
 from monsoon.streaming import triggers
 from monsoon.streaming.dedup import first_seen_stream
-from monsoon.streaming.monitor import BatchCounts, status_lines
+from monsoon.streaming.monitor import BatchCounts, status_lines, stored_counts
 from monsoon.streaming.pipeline import run_together
 from monsoon.streaming.publish import publish_stream
 from monsoon.streaming.store import store_stream
@@ -276,6 +276,84 @@ def test_a_failing_stream_stops_the_others(spark, tmp_path):
     with pytest.raises(StreamingQueryException, match="no broker"):
         run_together(spark, {"good": (good, every), "bad": (bad, every)}, status_every=1, told=lambda _: None)
     assert not spark.streams.active
+    # What came for the others before the failure, and until they were drained, is stored.
+    assert weather_files(spark, str(tmp_path / "out")).count() == 3
+
+
+def test_others_are_drained_if_one_cannot_start(spark, tmp_path):
+    land_weather(tmp_path / "good", "one.json", OBSERVATIONS[:3])
+
+    def good(trigger):
+        return store_stream(
+            weather_stream(spark, tmp_path / "good"), str(tmp_path / "out"), str(tmp_path / "c"), trigger, "Good")
+
+    def bad(trigger):
+        raise ValueError("no such topic")
+
+    every = {"processingTime": "1 hour"}
+    store = str(tmp_path / "batches")
+    with pytest.raises(ValueError, match="no such topic"):
+        run_together(spark, {"good": (good, every), "bad": (bad, every)}, told=lambda _: None, store=store)
+    assert not spark.streams.active
+    assert weather_files(spark, str(tmp_path / "out")).count() == 3
+    # The counts are there though the run ended with an error.
+    assert sum(r.jumlah_event for r in stored_counts(spark, store).collect()) == 3
+
+
+def test_counts_are_stored_as_they_come(spark, tmp_path):
+    """Each batch's counts are a file at once; a stream that dies leaves those before it, and
+    its restart goes on from there."""
+    store, landed = str(tmp_path / "batches"), tmp_path / "in"
+    assert stored_counts(spark, store).collect() == []
+
+    def run(fail):
+        def forward(new, part):
+            if fail:
+                raise ValueError("dead")
+
+        return first_seen_stream(
+            stream_of(spark, landed), str(tmp_path / "out"), ORDER, triggers.DRAIN, forward, name="News/x")
+
+    for poll, fail in ((1, False), (2, True), (None, False)):
+        if poll:
+            land(landed, poll)
+        query = run(fail)
+        if fail:
+            with pytest.raises(StreamingQueryException, match="dead"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+        counts = BatchCounts(None, spark, store)
+        counts.catch_up(query)
+        counts.catch_up(query)
+        assert not counts.batches
+        if fail:
+            assert sorted(tuples(stored_counts(spark, store))) == [("News/x", 0, 3, 2)]
+    assert sorted(tuples(stored_counts(spark, store))) == [("News/x", 0, 3, 2), ("News/x", 1, 2, 1)]
+
+
+def test_links_of_past_periods_are_forgotten(spark, tmp_path):
+    """A link is new once a day; the state holds two days or so, and late articles are left out."""
+    landed, kept = tmp_path / "in", []
+    landed.mkdir()
+
+    def day(number, links, at):
+        rows = [{"poll": number, "pos": i, "link": x, "judul": f"{number}-{i}", "at": at} for i, x in enumerate(links)]
+        (landed / f"{number}.json").write_text("\n".join(map(json.dumps, rows)))
+        query = first_seen_stream(
+            stream_of(spark, landed).withColumnRenamed("at", "fetched_at"), str(tmp_path / "out"), ORDER, triggers.DRAIN,
+            within="1 day")
+        query.awaitTermination()
+        kept.append(query.lastProgress.stateOperators[0].numRowsTotal)
+
+    for number in range(1, 9):
+        links = [f"{number}-{i}" for i in range(20)] + ["same", "same"]
+        day(number, links, f"2026-05-{number:02d}T10:00:00Z")
+    day(9, ["same"], "2026-05-08T11:00:00Z")
+    day(10, ["same", "old"], "2026-05-01T11:00:00Z")
+    got = [(r.poll, r.link) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got) == sorted((n, x) for n in range(1, 9) for x in [*(f"{n}-{i}" for i in range(20)), "same"])
+    assert max(kept) <= 3 * 21 < 8 * 21
 
 
 def test_new_articles_are_counted_per_batch(spark, tmp_path):
