@@ -16,10 +16,10 @@ from monsoon.operators import report as R
 from monsoon.operators.articles import as_articles
 from monsoon.operators.observations import checked_responses
 from monsoon.plans.analyse import analyse
-from monsoon.session import session, widen_for
+from monsoon.session import ROCKSDB, session, using, widen_for
 from monsoon.sinks.bus import answer_messages, news_messages, publish
 from monsoon.sinks.results import curate_stream, display, print_rows, write_json
-from monsoon.sources.bus import heads, message_lines, message_rejects, messages, peek, read_topic
+from monsoon.sources.bus import heads, message_lines, message_rejects, messages, once, peek, read_topic
 from monsoon.sources.feeds import feed_entries, feed_rejects, landed_feeds_stream
 from monsoon.sources.inventory import inventory, stored_files
 from monsoon.sources.weather import (
@@ -104,10 +104,12 @@ def feeds_refused(spark, landed, path, trigger, max_files) -> StreamingQuery:
     return store_stream(refused, path, f"{path}/_checkpoint", trigger, "RejectedRSS")
 
 
-def store_topic(spark, topic, path, bus, servers, checkpoint, trigger, most) -> StreamingQuery:
+def store_topic(spark, topic, path, bus, servers, checkpoint, trigger, most, repeats=False) -> StreamingQuery:
+    """A broker may hold messages twice; the file-backed bus only where asked for."""
     read = read_topic(spark, topic, bus, servers, stream=True, max_per_trigger=most)
-    events = messages(read, TOPICS[topic])
-    return store_stream(events, path, checkpoint, trigger, f"Store-{topic}")
+    events = messages(once(read) if servers or repeats else read, TOPICS[topic])
+    with using(spark, ROCKSDB):
+        return store_stream(events, path, checkpoint, trigger, f"Store-{topic}")
 
 
 def messages_refused(spark, topic, path, bus, servers, checkpoint, trigger, most) -> StreamingQuery:
@@ -137,7 +139,9 @@ def run_store(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQu
     trigger = triggers.DRAIN if args.drain else triggers.FLUSH
     where = args.bus, args.servers
     return [
-        store_topic(spark, args.topic, args.output, *where, args.checkpoint, trigger, args.max_files),
+        store_topic(
+            spark, args.topic, args.output, *where, args.checkpoint, trigger, args.max_files, args.once
+        ),
         messages_refused(
             spark, args.topic, f"{args.output}{REJECTS}", *where,
             f"{args.checkpoint}{REJECTS}", trigger, args.max_files,
@@ -233,6 +237,7 @@ def parser() -> argparse.ArgumentParser:
     command("publish-news", run_publish_news, "input", "sent", bus=True, stream=True, checkpoint=False)
     store = command("store", run_store, "output", bus=True, stream=True)
     store.add_argument("--topic", choices=TOPICS, required=True)
+    store.add_argument("--once", action="store_true", help="drop messages sent again (always with --servers)")
     both = command("run", run_run, "answers", "feeds", "data", bus=True)
     both.add_argument("--seconds", type=float, help="stop after so long; default: when interrupted")
     both.add_argument("--every", type=float, help="seconds between batches, for all streams")

@@ -333,6 +333,7 @@ def statements() -> dict[str, str]:
         "stream_observations": ACCEPTED,
         "stream_rejected": REJECTED,
         "stream_store": events,
+        "stream_once": events,
         "stream_resumed": events,
         "stream_dedup": f"WITH {N} SELECT link FROM f",
         "stream_first_seen": f"WITH {N} SELECT doc_id, {S2} FROM f",

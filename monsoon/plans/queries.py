@@ -19,10 +19,10 @@ from monsoon.operators import report as R
 from monsoon.operators.current import current_conditions
 from monsoon.plans import tables
 from monsoon.plans.analyse import CITIES, CURRENT, DOCUMENT, NEWS, analyse
-from monsoon.session import scratch
-from monsoon.sinks.bus import answer_messages, news_messages, publish, to_messages, weather_messages
+from monsoon.session import ROCKSDB, scratch, using
+from monsoon.sinks.bus import answer_messages, identified, news_messages, publish, to_messages, weather_messages
 from monsoon.sinks.results import curate_stream, write_json
-from monsoon.sources.bus import message_rejects, messages, peek, read_topic
+from monsoon.sources.bus import message_rejects, messages, once, peek, read_topic
 from monsoon.sources.feeds import feed_entries, feed_rejects, feed_summaries
 from monsoon.sources.inventory import inventory, stored_files
 from monsoon.sources.weather import (
@@ -298,6 +298,22 @@ def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_files(spark, f"{path}/api", extra=EVENT_ID)
 
 
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part that was sent twice, as a broker's writer does after a failure, stored once."""
+    path = scratch(spark, "once")
+    events = tables.as_observations(tables.read(spark, sf_dir, "events"))
+    sent = identified(weather_messages(events, F.current_timestamp(), extra=("event_id",)), "part")
+    for copy in ("first", "again"):
+        if copy == "first":
+            publish(sent, f"{path}/bus", part=copy)
+        else:
+            publish(read_topic(spark, S.TOPIC_WEATHER, f"{path}/bus"), f"{path}/bus", part=copy)
+        bus = once(read_topic(spark, S.TOPIC_WEATHER, f"{path}/bus", stream=True))
+        with using(spark, ROCKSDB):
+            store_stream(messages(bus, EVENT), f"{path}/api", f"{path}/checkpoint", DRAIN).awaitTermination()
+    return weather_files(spark, f"{path}/api", extra=EVENT_ID)
+
+
 def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored in several runs, each going on from the position of the one before."""
     path = scratch(spark, "resumed")
@@ -421,6 +437,7 @@ def registry() -> dict[str, Query]:
         "stream_observations": stream_observations,
         "stream_rejected": stream_rejected,
         "stream_store": stream_store,
+        "stream_once": stream_once,
         "stream_resumed": stream_resumed,
         "stream_dedup": stream_dedup,
         "stream_first_seen": stream_first_seen,

@@ -45,7 +45,8 @@ FEED_DOCUMENT = shape(
 # The columns of Spark's own Kafka source that files can hold too. Partitions and offsets
 # are the broker's own; files have none.
 BUS = shape(topic=TEXT, timestamp=INSTANT, key=T.BinaryType(), value=T.BinaryType())
-MESSAGE = T.StructType([f for f in BUS if f.name != "topic"])
+# As stored below a topic, with the id that a message keeps when it is sent again.
+MESSAGE = T.StructType([*(f for f in BUS if f.name != "topic"), *shape(id=TEXT)])
 
 CORRUPT = "_corrupt_record"
 

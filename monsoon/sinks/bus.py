@@ -13,6 +13,9 @@ from monsoon.functions.wire import json_text
 from monsoon.operators.observations import is_accepted, observation_columns, rejected_columns
 from monsoon.session import matches
 
+# The header that holds a message's id.
+HEADER = "id"
+
 
 def to_messages(
     events: DataFrame, topic: Column, key: Column, value: Column, sent_at: Column
@@ -53,6 +56,17 @@ def news_messages(articles: DataFrame, sent_at: Column, extra: tuple = ()) -> Da
     return to_messages(articles, F.lit(S.TOPIC_NEWS), link_key(F.col("link")), value, sent_at)
 
 
+def identified(messages: DataFrame, part: str) -> DataFrame:
+    """Messages with an ``id`` that is the same whenever the part is sent again.
+
+    It is made of the part's name and the message, so that neither the order of a repeated
+    batch nor how it is split matters. Messages of one part that are alike in topic, time,
+    key and value have one id.
+    """
+    content = F.to_json(F.struct(F.lit(part), "topic", "timestamp", "key", "value"))
+    return messages.withColumn("id", F.md5(content))
+
+
 def publish(
     messages: DataFrame,
     path: str | None = None,
@@ -64,17 +78,22 @@ def publish(
     The bus is a directory of parts, each written once by one writer and divided by topic,
     and no log of files stands between writers and readers: whoever writes, every reader
     sees it. A part that is complete is left alone, so a repeated batch is stored once. A
-    name is made up for a part without one.
+    name is made up for a part without one. A broker may get a part again; its messages
+    carry their ids as a header, by which ``once`` knows them.
     """
+    part = part or f"part-{uuid.uuid4().hex}"
+    if "id" not in messages.columns:
+        messages = identified(messages, part)
     if servers:
+        header = F.struct(F.lit(HEADER).alias("key"), to_bytes(F.col("id")).alias("value"))
         (
-            messages.select("topic", "key", "value")
+            messages.select("topic", "key", "value", F.array(header).alias("headers"))
             .write.format("kafka")
             .options(**broker_options(servers))
             .save()
         )
         return
-    own = f"{path}/{part or f'part-{uuid.uuid4().hex}'}"
+    own = f"{path}/{part}"
     if not matches(messages.sparkSession, f"{own}/_SUCCESS"):
         messages.write.mode("overwrite").partitionBy("topic").parquet(own)
 

@@ -12,6 +12,9 @@ from monsoon.functions.text import from_bytes, key_text, message_line, prefix
 from monsoon.functions.wire import decoded, unreadable
 from monsoon.session import matches
 
+# For so long a message that comes again is known.
+REMEMBERED = "1 day"
+
 
 def read_topic(
     spark: SparkSession,
@@ -35,19 +38,40 @@ def read_topic(
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
+            .option("includeHeaders", "true")
         )
         if stream and max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
-        return reader.load()
+        own = F.get(F.filter("headers", lambda h: h["key"] == "id"), 0)["value"]
+        place = F.concat("topic", F.lit("-"), "partition", F.lit("-"), "offset")
+        return reader.load().withColumn("id", F.coalesce(from_bytes(own), place)).drop("headers")
     files = f"{path}/*/topic={topic}"
     if not stream and not matches(spark, files):
-        return spark.createDataFrame([], S.BUS)
+        return spark.createDataFrame([], T.StructType([S.BUS["topic"], *S.MESSAGE]))
     reader = reader.schema(S.MESSAGE)
     if stream and max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
     return reader.parquet(files).select(F.lit(topic).alias("topic"), *S.MESSAGE.names)
 
 
+def once(bus: DataFrame, within: str = REMEMBERED) -> DataFrame:
+    """The messages of a stream, each once however often its writer sent it.
+
+    Ids are remembered for ``within`` from the time a message was taken in, which is also
+    what the watermark follows: no message is ever late, and the state is what arrived in
+    that time. A message without an id, from another writer, is known by its content; on a
+    broker by its place.
+    """
+    content = F.md5(F.to_json(F.struct("topic", "timestamp", "key", "value")))
+    return (
+        bus.withColumn("id", F.coalesce("id", content))
+        .withColumn("_taken", F.current_timestamp())
+        .withWatermark("_taken", within)
+        .dropDuplicatesWithinWatermark(["id"])
+        .drop("_taken")
+    )
+
+
 def _parsed(bus: DataFrame, schema: T.StructType) -> DataFrame:
     # Through a generator, below which no filter is pushed, each value is parsed once.
     return bus.select("*", F.inline(F.array(F.struct(decoded(F.col("value"), schema).alias("event")))))

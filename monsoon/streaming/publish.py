@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from monsoon.session import stream_id
-from monsoon.sinks.bus import broker_options, publish
+from monsoon.sinks.bus import publish
 from monsoon.streaming.triggers import DRAIN
 
 
@@ -20,23 +20,16 @@ def publish_stream(
 ) -> StreamingQuery:
     """Publish messages as they arrive.
 
-    On the file-backed bus each batch is a part of its own, named after the stream and the
-    batch, so a repeated batch finds its part complete. A broker may see a batch again
-    after a failure, as with any at-least-once sink.
+    Each batch is a part of its own, named after the stream and the batch. On the
+    file-backed bus a repeated batch finds its part complete. A broker gets it again after
+    a failure, as with any at-least-once sink, with the same ids.
     """
-    if servers:
-        writer = (
-            messages.select("topic", "key", "value")
-            .writeStream.format("kafka")
-            .options(**broker_options(servers))
-        )
-    else:
-
-        def write(batch: DataFrame, batch_id: int) -> None:
-            own = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
-            publish(batch, path, part=own)
-
-        writer = messages.writeStream.foreachBatch(write)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        publish(batch, path, servers, part=own)
+
+    writer = messages.writeStream.foreachBatch(write)
     if name:
         writer = writer.queryName(name)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

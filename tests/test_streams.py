@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.operators import articles as N
-from monsoon.sinks.bus import news_messages, publish, weather_messages
-from monsoon.sources.bus import messages, read_topic
+from monsoon.sinks.bus import identified, news_messages, publish, weather_messages
+from monsoon.sources.bus import messages, once, read_topic
 from monsoon.sources.weather import weather_files
 from monsoon.streaming import triggers
 from monsoon.streaming.dedup import first_seen_stream
@@ -232,6 +232,32 @@ def test_both_orders_on_one_bus(spark, tmp_path, weather_first):
     assert messages(read_topic(spark, S.TOPIC_WEATHER, bus), S.OBSERVATION).count() == 6
 
 
+def test_messages_sent_again_are_stored_once(spark, tmp_path):
+    """A repeated part within a batch, in a later one, and equal messages of different parts."""
+    bus = str(tmp_path / "bus")
+    land_weather(tmp_path / "in", "one.json", OBSERVATIONS)
+    rows = weather_files(spark, str(tmp_path / "in"))
+    sent = weather_messages(rows, F.to_timestamp(F.lit("2026-05-06 00:00:00")))
+
+    def run():
+        read = once(read_topic(spark, S.TOPIC_WEATHER, bus, stream=True))
+        query = store_stream(messages(read, S.OBSERVATION), str(tmp_path / "out"), str(tmp_path / "c"), triggers.DRAIN)
+        query.awaitTermination()
+        return weather_files(spark, str(tmp_path / "out")).count()
+
+    publish(identified(sent, "one"), bus, part="one")
+    publish(identified(sent, "one").repartition(3, "value"), bus, part="one-again")
+    assert run() == len(OBSERVATIONS)
+    publish(identified(sent, "one").orderBy(F.desc("value")), bus, part="one-later")
+    assert run() == len(OBSERVATIONS)
+    publish(sent, bus, part="two")
+    assert run() == 2 * len(OBSERVATIONS)
+    # Parts without ids, as they were written before.
+    old = sent.withColumn("id", F.lit(None).cast("string")).withColumn("timestamp", F.to_timestamp(F.lit("2026-05-07 00:00:00")))
+    publish(old, bus, part="old")
+    assert run() == 3 * len(OBSERVATIONS)
+
+
 def test_streams_run_together_drain_and_stop(spark, tmp_path):
     """Processing-time triggers, own checkpoints, status, counts, the remainder stored."""
     told = []
