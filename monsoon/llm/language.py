@@ -28,11 +28,15 @@ REJECT_MARGIN = 0.7
 UNKNOWN = "und"
 BATCH = 256
 
-LETTER = r"[^\W\d_]"
 # Maps every ASCII byte that is no letter to a blank.
 BLANKS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is of one of Unicode's letter categories, as training asks."""
+    return any(map(str.isalpha, text))
+
+
 def grams(text: str, slots_log2: int = SLOTS_LOG2):
     """The slot of every trigram of the whole text, but for runs of blanks."""
     import numpy as np
@@ -158,13 +162,10 @@ def fitted(
 
 def _predictor(model: tuple):
     def run(batches):
-        import re
-
         import numpy as np
         import pyarrow as pa
 
         idf, languages, centres, bars = model
-        letter = re.compile(LETTER).search
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             n = len(texts)
@@ -174,7 +175,7 @@ def _predictor(model: tuple):
                 part = {
                     i: text
                     for i in range(at, min(at + BATCH, n))
-                    if languages and (text := texts[i].as_py()) and letter(text)
+                    if languages and (text := texts[i].as_py()) and has_letter(text)
                 }
                 if part:
                     cosines = vectors(list(part.values()), idf) @ centres.T

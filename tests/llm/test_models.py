@@ -51,6 +51,8 @@ def test_language_edges(spark):
     got = [(r.doc_id, r.lang_pred) for r in language.predicted(df, model).collect()]
     assert got[:6] == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (None, "de"), (4, "en")]
     assert got[6][1] in ("en", "de")
+    signs = spark.createDataFrame([(i, t) for i, t in enumerate(["² ½ ①", "Ⅷ ٣ _", "ª", "ʰ"])], "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in language.predicted(signs, model).collect()] == [True, True, False, False]
     assert language.predicted(df, model).collect()[6].rejected
     none = language.fitted(spark.createDataFrame([], "lang string, text string"))
     assert {r.lang_pred for r in language.predicted(df, none).collect()} == {"und"}
