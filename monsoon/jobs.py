@@ -26,7 +26,8 @@ from monsoon.sources.weather import (
     curated_weather,
     landed_responses_stream,
     weather_files,
-    weather_files_stream,
+    weather_of_any_layout,
+    weather_records_stream,
     weather_rejects,
     wrong_layout,
 )
@@ -42,10 +43,10 @@ TOPICS = {S.TOPIC_WEATHER: S.OBSERVATION, S.TOPIC_NEWS: S.ARTICLE, S.TOPIC_REJEC
 REJECTS = "-ditolak"
 
 
-def _stop_on_wrong_layout(spark: SparkSession, path: str, indented: bool) -> None:
-    wrong = wrong_layout(spark, path, indented).limit(1).collect()
+def _stop_on_several_documents(spark: SparkSession, path: str) -> None:
+    wrong = wrong_layout(spark, path, multi_line=True).limit(1).collect()
     if wrong:
-        sys.exit(f"{wrong[0].path}: {wrong[0].alasan}; {'leave out' if indented else 'use'} --indented")
+        sys.exit(f"{wrong[0].path}: {wrong[0].alasan}; leave out --indented")
 
 
 def _report_rejects(rejects: DataFrame, path: str) -> None:
@@ -62,24 +63,25 @@ def run_analyse(spark: SparkSession, args: argparse.Namespace) -> None:
             stored = stored.filter(F.col("event_date") >= F.lit(args.since).cast("date"))
         if args.until:
             stored = stored.filter(F.col("event_date") <= F.lit(args.until).cast("date"))
+    elif args.indented:
+        _stop_on_several_documents(spark, args.input)
+        stored = weather_files(spark, args.input, multi_line=True)
+        rejects = weather_rejects(spark, args.input, multi_line=True)
     else:
-        _stop_on_wrong_layout(spark, args.input, args.indented)
-        stored = weather_files(spark, args.input, multi_line=args.indented)
+        stored, rejects = weather_of_any_layout(spark, args.input)
     news = spark.read.schema(S.ARTICLE).json(args.news) if args.news else None
     rows = analyse(stored, args.output, news)
     for result in (R.totals(rows), R.city_rows(rows), R.extreme_rows(rows), R.hour_rows(rows)):
         display(result)
     display(R.insights(rows))
     if not args.curated:
-        _report_rejects(weather_rejects(spark, args.input, args.indented), f"{args.output}/ditolak")
+        _report_rejects(rejects, f"{args.output}/ditolak")
 
 
 def run_curate(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     widen_for(spark, args.input)
-    _stop_on_wrong_layout(spark, args.input, False)
-    curated = curate_stream(weather_files_stream(spark, args.input, args.max_files), args.output)
-    _report_rejects(weather_rejects(spark, args.input), f"{args.output}{REJECTS}")
-    return [curated]
+    records = weather_records_stream(spark, args.input, args.max_files)
+    return [curate_stream(records, args.output, f"{args.output}{REJECTS}")]
 
 
 def publish_weather(spark, landed, bus, servers, checkpoint, trigger, max_files) -> StreamingQuery:
@@ -229,7 +231,7 @@ def parser() -> argparse.ArgumentParser:
     analysis.add_argument("--curated", action="store_true", help="input written by curate")
     analysis.add_argument("--since", help="first day of curated input")
     analysis.add_argument("--until", help="last day of curated input")
-    analysis.add_argument("--indented", action="store_true", help="arrays over several lines")
+    analysis.add_argument("--indented", action="store_true", help="every file is one document over several lines")
     analysis.add_argument("--news", help="stored articles, for the latest news")
     curate = command("curate", run_curate, "input", "output")
     curate.add_argument("--max-files", type=int)

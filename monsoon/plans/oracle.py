@@ -297,6 +297,7 @@ def statements() -> dict[str, str]:
         "articles_first_seen": f"""
             WITH {N} SELECT doc_id, {S2}, substr(md5(link), 1, 8) AS kunci FROM f""",
         "articles_new_vs_history": NEW_VS_HISTORY,
+        "articles_new_vs_stored": NEW_VS_HISTORY,
         "articles_new_per_poll": NEW_PER_POLL,
         "feed_preview": PREVIEW,
         "article_lines": f"WITH {N} SELECT doc_id, '  → ' || judul || '...' AS baris FROM n",
@@ -311,6 +312,8 @@ def statements() -> dict[str, str]:
         "article_bus_roundtrip": f"""
             WITH {N} SELECT doc_id, {S2}, substr(md5(link), 1, 8) AS "key" FROM f""",
         "results_json_roundtrip": events,
+        "mixed_layouts": events,
+        "mixed_layouts_curated": f"WITH {W} SELECT {S1} FROM w",
         "stored_rows_per_day": f"""
             WITH {W} SELECT CAST(CAST(ts_obj AS DATE) AS VARCHAR) AS event_date,
               COUNT(*) AS jumlah_event FROM t GROUP BY 1""",

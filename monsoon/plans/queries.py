@@ -17,6 +17,7 @@ from monsoon.operators import articles as N
 from monsoon.operators import observations as O
 from monsoon.operators import report as R
 from monsoon.operators.current import current_conditions
+from monsoon.operators.history import LinkHistory
 from monsoon.plans import tables
 from monsoon.plans.analyse import CITIES, CURRENT, DOCUMENT, NEWS, analyse
 from monsoon.session import ROCKSDB, scratch, using
@@ -28,7 +29,8 @@ from monsoon.sources.inventory import inventory, stored_files
 from monsoon.sources.weather import (
     curated_weather,
     weather_files,
-    weather_files_stream,
+    weather_of_any_layout,
+    weather_records_stream,
     weather_rejects,
 )
 from monsoon.streaming.dedup import first_seen_stream
@@ -96,6 +98,15 @@ def articles_new_vs_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.not_sent_before(articles.filter(F.col("doc_id") >= middle), history, ARRIVAL)
 
 
+def articles_new_vs_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half against the links stored of the earlier one, in buckets."""
+    articles = _articles(spark, sf_dir)
+    middle = articles.agg(F.floor((F.max("doc_id") + 1) / 2)).scalar()
+    history = LinkHistory(spark, scratch(spark, "history"), buckets=32)
+    history.take(articles.filter(F.col("doc_id") < middle), ARRIVAL, "earlier")
+    return history.take(articles.filter(F.col("doc_id") >= middle), ARRIVAL, "later")
+
+
 def articles_new_per_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.new_per_poll(_articles(spark, sf_dir), tables.poll_of(F.col("doc_id")))
 
@@ -189,6 +200,37 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Most records in a document over several lines.
+IN_DOCUMENT = 5000
+
+
+def _both_layouts(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Every other row as a line, the rest in documents over several lines."""
+    events = tables.observations(spark, sf_dir)
+    odd = F.col("event_id") % 2 == 1
+    write_json(events.filter(odd), f"{path}/piece=-1")
+    shown = {"pretty": "true", "ignoreNullFields": "false"}
+    records = F.to_json(F.collect_list(F.struct(*EVENT.names)), shown)
+    whole = events.filter(~odd).groupBy(F.floor(F.col("event_id") / IN_DOCUMENT).alias("piece"))
+    whole.agg(records.alias("value")).write.mode("append").partitionBy("piece").text(path)
+
+
+def mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "mixed")
+    _both_layouts(spark, sf_dir, path)
+    rows, _ = weather_of_any_layout(spark, path, extra=EVENT_ID)
+    return rows.drop("piece")
+
+
+def mixed_layouts_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of both layouts through the stream that curates them."""
+    path = scratch(spark, "mixed")
+    _both_layouts(spark, sf_dir, f"{path}/json")
+    records = weather_records_stream(spark, f"{path}/json/*")
+    curate_stream(records, f"{path}/days", f"{path}/rejects").awaitTermination()
+    return curated_weather(spark, f"{path}/days").drop("ts_obj", "event_date")
+
+
 def weather_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of stored files that cannot be read."""
     path = scratch(spark, "lines")
@@ -213,7 +255,8 @@ def stored_rows_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.observations(spark, sf_dir)
     for rest in range(2):
         events.filter(F.col("event_id") % 2 == rest).write.mode("append").json(f"{path}/json")
-        curate_stream(weather_files_stream(spark, f"{path}/json"), f"{path}/days").awaitTermination()
+        records = weather_records_stream(spark, f"{path}/json")
+        curate_stream(records, f"{path}/days", f"{path}/rejects").awaitTermination()
     day = F.col("event_date").cast("string").alias("event_date")
     stored = curated_weather(spark, f"{path}/days")
     return stored.groupBy(day).agg(F.count(F.lit(1)).alias("jumlah_event"))
@@ -414,6 +457,7 @@ def registry() -> dict[str, Query]:
         "articles_normalized": articles_normalized,
         "articles_first_seen": articles_first_seen,
         "articles_new_vs_history": articles_new_vs_history,
+        "articles_new_vs_stored": articles_new_vs_stored,
         "articles_new_per_poll": articles_new_per_poll,
         "feed_preview": feed_preview,
         "article_lines": article_lines,
@@ -426,6 +470,8 @@ def registry() -> dict[str, Query]:
         "article_bus_roundtrip": article_bus_roundtrip,
         "results_json_roundtrip": results_json_roundtrip,
         "file_inventory": file_inventory,
+        "mixed_layouts": mixed_layouts,
+        "mixed_layouts_curated": mixed_layouts_curated,
         "weather_rejected": weather_rejected,
         "messages_rejected": messages_rejected,
         "feeds_rejected": feeds_rejected,

@@ -10,7 +10,7 @@ from monsoon import schemas as S
 from monsoon.functions.wire import BLANKS
 
 
-def _scan(spark: SparkSession, path: str, multi_line: bool, extra: T.StructType) -> DataFrame:
+def _scan(spark: SparkSession, path: str | list[str], multi_line: bool, extra: T.StructType) -> DataFrame:
     corrupt = T.StructField(S.CORRUPT, T.StringType())
     schema = T.StructType([*extra.fields, *S.OBSERVATION.fields, corrupt])
     return (
@@ -59,10 +59,66 @@ def weather_rejects(spark: SparkSession, path: str, multi_line: bool = False) ->
     )
 
 
+def with_path(records: DataFrame) -> DataFrame:
+    return records.select("*", F.col("_metadata.file_path").alias("path"))
+
+
+def readable(records: DataFrame) -> DataFrame:
+    return records.filter(~_unreadable()).drop(S.CORRUPT, "path")
+
+
+def refused(records: DataFrame) -> DataFrame:
+    return records.filter(_unreadable()).select("path", F.col(S.CORRUPT).alias("isi"))
+
+
+def count_refused() -> Column:
+    return F.count_if(_unreadable())
+
+
+def indented_files(records: DataFrame) -> list[str]:
+    """Files, read by line, that are one document over several lines.
+
+    Such a file begins one document, goes on for several lines and has no line that is a
+    record. Rows are counted per file, so a large file sends a row per task. Names of the
+    files found come to the driver, which has every file's name from listing the folder.
+    """
+    begins = F.col(S.CORRUPT).rlike(r"^[\[{]")
+    more = F.btrim(F.col(S.CORRUPT), F.lit(BLANKS)) != ""
+    counts = records.groupBy("path").agg(
+        F.count_if(~_unreadable()).alias("records"),
+        F.count_if(_unreadable() & begins).alias("documents"),
+        F.count_if(_unreadable() & ~begins & more).alias("inner"),
+    )
+    found = counts.filter("records = 0 AND documents = 1 AND inner > 1")
+    return [row.path for row in found.select("path").collect()]
+
+
+def weather_of_any_layout(
+    spark: SparkSession, path: str, extra: T.StructType = T.StructType()
+) -> tuple[DataFrame, DataFrame]:
+    """Observations and unreadable records of files of both layouts below one path.
+
+    Each file is read its own way. The names decide while files are listed, so no file is
+    opened by the reader of the other layout.
+    """
+    records = with_path(_scan(spark, path, False, extra))
+    indented = indented_files(records)
+    if indented:
+        listed = F.col("path").isin(indented)
+        whole = with_path(_scan(spark, path, True, extra)).filter(listed)
+        records = records.filter(~listed).unionByName(whole)
+    return readable(records), refused(records)
+
+
+def documents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The records of files of one document each."""
+    return with_path(_scan(spark, paths, True, T.StructType()))
+
+
 def curated_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Observations stored by ``write_curated``; a filter on the day prunes directories."""
-    added = S.shape(ts_obj=S.INSTANT, event_date=T.DateType())
-    return spark.read.schema(T.StructType([*S.OBSERVATION.fields, *added])).parquet(path)
+    """Observations stored by ``curate_stream``; a filter on the day prunes directories."""
+    added = S.shape(ts_obj=S.INSTANT, event_date=T.DateType(), batch=S.WHOLE)
+    return spark.read.schema(T.StructType([*S.OBSERVATION.fields, *added])).parquet(path).drop("batch")
 
 
 def wrong_layout(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -88,14 +144,13 @@ def wrong_layout(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return indented.select("path", F.lit("one document over several lines").alias("alasan"))
 
 
-def weather_files_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Observations of batch files as they appear, a record or an array per line."""
+def weather_records_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Records of batch files as they appear, read by line, those that cannot be read too."""
     corrupt = T.StructField(S.CORRUPT, T.StringType())
     reader = spark.readStream.schema(T.StructType([*S.OBSERVATION.fields, corrupt]))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.option("columnNameOfCorruptRecord", S.CORRUPT).json(path)
-    return rows.filter(~_unreadable()).drop(S.CORRUPT)
+    return with_path(reader.option("columnNameOfCorruptRecord", S.CORRUPT).json(path))
 
 
 def landed_responses_stream(

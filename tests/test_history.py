@@ -1,0 +1,77 @@
+"""Links kept in buckets: only the increment moves, and parts may be taken again."""
+
+from __future__ import annotations
+
+import pytest
+from test_plans import plan
+
+from monsoon.operators import articles as N
+from monsoon.operators.history import LinkHistory
+from monsoon.session import using
+
+COLUMNS = "n long, link string, judul string"
+ORDER = ["n"]
+
+
+def rows(spark, *links):
+    return spark.createDataFrame([(i, link, f"t{i}") for i, link in enumerate(links)], COLUMNS)
+
+
+@pytest.fixture
+def history(spark, tmp_path):
+    return LinkHistory(spark, str(tmp_path / "history"), buckets=4)
+
+
+def test_parts_one_after_the_other(spark, history):
+    first = history.take(rows(spark, "a", "", None, "b", "a"), ORDER, "1")
+    assert sorted((r.link, r.n) for r in first.collect()) == [("a", 0), ("b", 3)]
+    second = history.take(rows(spark, "c", "b", "c"), ORDER, "2")
+    assert [(r.link, r.n) for r in second.collect()] == [("c", 0)]
+    assert history.take(rows(spark), ORDER, "3").count() == 0
+    assert sorted(r.link for r in history.links().collect()) == ["a", "b", "c"]
+
+
+def test_a_part_taken_again_is_the_same(spark, history):
+    history.take(rows(spark, "a"), ORDER, "1")
+    once = history.take(rows(spark, "a", "b"), ORDER, "2").collect()
+    assert history.take(rows(spark, "a", "b"), ORDER, "2").collect() == once
+    assert [r.link for r in once] == ["b"]
+
+
+def test_another_object_finds_the_buckets(spark, history):
+    history.take(rows(spark, "a"), ORDER, "1")
+    again = LinkHistory(spark, history.path, buckets=999)
+    assert again.buckets == 4
+    assert again.not_sent_before(rows(spark, "a", "b"), ORDER).select("link").collect() == [("b",)]
+
+
+def test_regroup_keeps_the_links(spark, history):
+    for part in range(3):
+        history.take(rows(spark, *(f"{part}-{i}" for i in range(20))), ORDER, str(part))
+    before = sorted(tuple(r) for r in history.links().collect())
+    history.regroup(8)
+    assert sorted(tuple(r) for r in history.links().collect()) == before
+    assert len(history.links().inputFiles()) <= 8
+    assert LinkHistory(spark, history.path).buckets == 8
+    assert history.take(rows(spark, "0-1", "new"), ORDER, "9").select("link").collect() == [("new",)]
+
+
+def test_the_same_as_against_a_plain_history(spark, history):
+    old, new = rows(spark, *(f"l{i * 7 % 50}" for i in range(90))), rows(spark, *(f"l{i * 3 % 80}" for i in range(99)))
+    history.take(old, ORDER, "1")
+    plain = N.not_sent_before(new, old, ORDER)
+    bucketed = history.not_sent_before(new, ORDER)
+    assert sorted((r.n, r.link) for r in bucketed.collect()) == sorted((r.n, r.link) for r in plain.collect())
+
+
+@pytest.mark.parametrize("buckets,exchanges", [(4, 1), (8, 2)])
+def test_the_history_is_not_shuffled(spark, tmp_path, buckets, exchanges):
+    """One exchange for the first of each link and one to the buckets, if these are more or fewer."""
+    history = LinkHistory(spark, str(tmp_path / "history"), buckets)
+    history.take(rows(spark, *(f"l{i}" for i in range(50))), ORDER, "1")
+    with using(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(history.not_sent_before(rows(spark, "l1", "x"), ORDER))
+    increment, stored = text[: text.index("FileScan")].rsplit(":", 1)
+    assert increment.count("Exchange hashpartitioning(link") == exchanges
+    assert "Exchange" not in stored
+    assert "Bucketed: true" in text

@@ -11,7 +11,7 @@ from test_sources import FULL, answers
 
 from monsoon import jobs
 from monsoon import schemas as S
-from monsoon.sources.weather import weather_files
+from monsoon.sources.weather import curated_weather, weather_files
 
 
 def run(spark, *argv):
@@ -64,10 +64,10 @@ def test_weather_from_answers_to_results(spark, tmp_path, capsys):
     assert (now.temperature, now.warna, now.ekstrem) == (36.0, "merah", True)
 
     run(spark, "curate", tmp_path / "api", tmp_path / "curated")
-    before = set((tmp_path / "curated").glob("event_date=*/*.parquet"))
+    before = set((tmp_path / "curated").glob("event_date=*/batch=*/*.parquet"))
     assert spark.read.parquet(str(tmp_path / "curated")).count() == 3 and before
     run(spark, "curate", tmp_path / "api", tmp_path / "curated")  # nothing new, nothing written
-    assert set((tmp_path / "curated").glob("event_date=*/*.parquet")) == before
+    assert set((tmp_path / "curated").glob("event_date=*/batch=*/*.parquet")) == before
     run(spark, "analyse", tmp_path / "curated", tmp_path / "none", "--curated", "--until", "2020-01-01")
     assert spark.read.text(str(tmp_path / "none/suhu_per_kota")).count() == 0
     run(spark, "analyse", tmp_path / "curated", tmp_path / "again", "--curated", "--since", "2020-01-01")
@@ -106,9 +106,44 @@ def test_a_wrong_layout_stops_the_job(spark, tmp_path):
     other = tmp_path / "b"
     other.mkdir()
     (other / "a.json").write_text(json.dumps([{"kode_kota": "JKT"}], indent=4))
-    with pytest.raises(SystemExit, match="--indented"):
-        run(spark, "analyse", other, tmp_path / "out")
     run(spark, "analyse", other, tmp_path / "out", "--indented")
+    assert spark.read.json(str(tmp_path / "out/suhu_per_kota")).count() == 1
+
+
+def test_both_layouts_in_one_folder(spark, tmp_path):
+    """Every record of either layout is stored and analysed, broken files are rejects, run by run."""
+    api = tmp_path / "api"
+    api.mkdir()
+
+    def record(city, degrees):
+        return {"kode_kota": city, "temperature": degrees, "timestamp": "2026-05-06 10:00:00"}
+
+    (api / "a.json").write_text("".join(json.dumps(record("JKT", i)) + "\n" for i in range(3)))
+    (api / "b.json").write_text(json.dumps([record("SBY", i) for i in range(4)], indent=4))
+    (api / "c.json").write_text(json.dumps([record("DPS", i) for i in range(5)]))
+    (api / "d.json").write_text("[\n" + ",\n".join("  " + json.dumps(record("MDN", i)) for i in range(2)) + "\n]\n")
+    (api / "e.json").write_text('{"kode_kota":"SMG","tem')
+    counts = {"JKT": 3, "SBY": 4, "DPS": 5, "MDN": 2}
+
+    run(spark, "analyse", api, tmp_path / "out")
+    cities = spark.read.json(str(tmp_path / "out/suhu_per_kota")).collect()
+    assert {r.kode_kota: r.jumlah_event for r in cities} == counts
+
+    def curated():
+        run(spark, "curate", api, tmp_path / "days")
+        rows = curated_weather(spark, str(tmp_path / "days"))
+        rejects = spark.read.json(str(tmp_path / "days-ditolak"))
+        return {r.kode_kota: r["count"] for r in rows.groupBy("kode_kota").count().collect()}, rejects
+
+    found, rejects = curated()
+    assert found == counts
+    assert '{"kode_kota":"SMG","tem' in [r.isi for r in rejects.collect()]
+    first = rejects.count()
+    (api / "f.json").write_text(json.dumps([record("MKS", i) for i in range(2)], indent=1)[:-30])
+    (api / "g.json").write_text(json.dumps(record("MKS", 1), indent=1))
+    found, rejects = curated()
+    assert found == {**counts, "MKS": 1}
+    assert rejects.count() == first + 1
 
 
 def test_rejects_are_stored_and_counted(spark, tmp_path, capsys):
