@@ -219,6 +219,15 @@ SELECT CAST(substr(sumber, 4) AS INTEGER) AS feed_ord,
 FROM n
 """
 
+BOTH_KINDS = f"""
+WITH entri AS ({FEED_ENTRIES})
+SELECT feed_ord, pos, judul, link, ringkasan, sumber, "timestamp",
+  CASE WHEN feed_ord % 2 = 0 THEN waktu_terbit
+       ELSE strftime(strptime(waktu_terbit, '%a, %d %b %Y %H:%M:%S +0000'), '%Y-%m-%dT%H:%M:%SZ')
+  END AS waktu_terbit
+FROM entri
+"""
+
 FEED_COUNTS = f"""
 WITH {N}
 SELECT CAST(substr(sumber, 4) AS INTEGER) AS feed_ord,
@@ -306,6 +315,7 @@ def statements() -> dict[str, str]:
               '%Y-%m-%dT%H:%M:%S') AS terbit FROM documents""",
         "latest_news": f"WITH {N} SELECT doc_id, {S2} FROM f ORDER BY doc_id DESC LIMIT 10",
         "feed_entries_from_xml": FEED_ENTRIES,
+        "feed_entries_of_both_kinds": BOTH_KINDS,
         "feed_entry_counts": FEED_COUNTS,
         "bus_roundtrip": events,
         "bus_peek": PEEK,

@@ -134,22 +134,48 @@ def candidates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_candidates(read_stream(spark, sf_dir, "documents"))
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The entries as feed documents, one per feed and poll.
-
-    A document lists the entries of one poll of one feed, at most DOCS_PER_POLL.
-    """
-    entry = F.struct("doc_id", F.struct(*ENTRY_COLUMNS).alias("e"))
+def _polled(entries: DataFrame, *columns: str | Column) -> DataFrame:
+    """Entries listed by poll and feed, at most DOCS_PER_POLL, and the feed's number."""
+    entry = F.struct("doc_id", F.struct(*columns).alias("e"))
     items = F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["e"])
-    grouped = (
-        candidates(spark, sf_dir)
-        .groupBy("feed_url", "fetched_at", "feed_title")
-        .agg(items.alias("item"))
-    )
+    grouped = entries.groupBy("feed_url", "fetched_at", "feed_title").agg(items.alias("item"))
+    number = F.regexp_extract("feed_title", r"(\d+)$", 1).try_cast("int")
+    return grouped.withColumn("feed_ord", number)
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries as feed documents, one per feed and poll."""
     channel = F.struct(F.col("feed_title").alias("title"), "item")
-    return grouped.select(
-        F.regexp_extract("feed_title", r"(\d+)$", 1).try_cast("int").alias("feed_ord"),
+    return _polled(candidates(spark, sf_dir), *ENTRY_COLUMNS).select(
+        "feed_ord",
         "feed_url",
         F.to_xml(F.struct(channel.alias("channel")), {"rowTag": "rss"}).alias("xml"),
         "fetched_at",
     )
+
+
+def atom_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``feeds`` in Atom. An entry's link is not its first, or its id; its text is its
+    summary or its content."""
+    n = F.col("doc_id")
+
+    def link(rel: str | None, href: Column) -> Column:
+        return F.struct(F.lit(rel).alias("_rel"), F.lit(None).cast("string").alias("_type"), href.alias("_href"))
+
+    links = F.array(
+        link("self", F.concat("link", F.lit("?self"))),
+        F.when(n % 4 == 1, link(None, F.col("link"))).when(n % 4 > 1, link("alternate", F.col("link"))),
+    )
+    entry = {
+        "id": F.when(n % 4 == 0, F.col("link")).otherwise(F.lit("urn:no-page")),
+        "title": F.col("title"),
+        "link": F.filter(links, lambda x: x.isNotNull()),
+        "summary": F.when(n % 3 != 0, F.col("description")),
+        "content": F.when(n % 3 == 0, F.col("description")).otherwise("not this"),
+        "published": F.date_format(_arrival(n * 60), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+    }
+    polled = _polled(candidates(spark, sf_dir), *(value.alias(name) for name, value in entry.items()))
+    feed = F.struct(F.lit(S.ATOM).alias("_xmlns"), F.col("feed_title").alias("title"), F.col("item").alias("entry"))
+    return polled.select(
+        "feed_ord", "feed_url", F.to_xml(feed, {"rowTag": "feed"}).alias("xml"), "fetched_at"
+    )

@@ -35,11 +35,22 @@ REJECTED = shape(kode=TEXT, body=TEXT, fetched_at=TEXT, alasan=TEXT)
 
 RAW_FEED = shape(feed_ord=T.IntegerType(), feed_url=TEXT, xml=TEXT, fetched_at=INSTANT)
 
+FEED_ITEM = shape(title=TEXT, link=TEXT, description=TEXT, pubDate=TEXT)
+ATOM_ENTRY = shape(
+    id=TEXT,
+    title=TEXT,
+    link=T.ArrayType(shape(_rel=TEXT, _type=TEXT, _href=TEXT)),
+    summary=TEXT,
+    content=TEXT,
+    published=TEXT,
+)
+
+# RSS has a channel, Atom its namespace and entries; names with an underscore first are attributes.
 FEED_DOCUMENT = shape(
-    channel=shape(
-        title=TEXT,
-        item=T.ArrayType(shape(title=TEXT, link=TEXT, description=TEXT, pubDate=TEXT)),
-    )
+    channel=shape(title=TEXT, item=T.ArrayType(FEED_ITEM)),
+    _xmlns=TEXT,
+    title=TEXT,
+    entry=T.ArrayType(ATOM_ENTRY),
 )
 
 # The columns of Spark's own Kafka source that files can hold too. Partitions and offsets
@@ -95,5 +106,8 @@ PREVIEW_ENTRIES = 3
 PEEK_MESSAGES = 5
 LATEST_NEWS = 10
 
+ATOM = "http://www.w3.org/2005/Atom"
+PAGE_TYPES = ["text/html", "application/xhtml+xml"]
+
 NO_FEED_TITLE = "tidak ada judul"
 ALIVE, DEAD = "🟢 berjalan", "🔴 mati"

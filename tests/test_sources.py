@@ -14,7 +14,7 @@ from monsoon.operators import observations as O
 from monsoon.sinks.results import display, write_curated, write_document, write_json
 from monsoon.sources.dimensions import cities, feeds
 from monsoon.sources.inventory import inventory, rows_per_file, stored_files
-from monsoon.sources.feeds import feed_entries, feed_rejects
+from monsoon.sources.feeds import feed_entries, feed_rejects, feed_summaries
 from monsoon.sources.weather import curated_weather, weather_files, weather_rejects, wrong_layout
 
 
@@ -96,6 +96,33 @@ def test_unreadable_feeds_are_rejected(spark):
         ("u1", "no_channel"), ("u2", "no_channel"), ("u3", "no_document"), ("u4", "no_channel")}
 
 
+ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title type="text">berita</title>
+<link href="https://a/"/>%s</feed>"""
+ENTRIES = [
+    ('<entry><title type="html">x &lt;b></title><link rel="self" href="s"/><link href="a"/><summary>r</summary>'
+     "<published>2026-05-06T12:00:00Z</published></entry>", ("x <b>", "a", "r", "2026-05-06T12:00:00Z")),
+    ('<entry><id>urn:1</id><link rel="enclosure" href="e"/><content>isi</content></entry>', (None, "urn:1", "isi", None)),
+    ('<entry><link rel="alternate" type="application/json" href="j"/><link rel="alternate" type="text/html" href="h"/>'
+     "<summary>r</summary><content>isi</content></entry>", (None, "h", "r", None)),
+    ("<entry/>", (None, None, None, None)),
+]
+
+
+@pytest.mark.parametrize("n", range(len(ENTRIES) + 1))
+def test_atom_entries(spark, n):
+    """The first n entries; beside the feed, a channel and a feed that is cut off."""
+    rss = "<rss><channel><title>t</title><item><link>c</link></item></channel></rss>"
+    atom = ATOM % "".join(xml for xml, _ in ENTRIES[:n])
+    xml = [atom, rss, atom[:-9]]
+    raw = spark.createDataFrame([(i, f"u{i}", x, None) for i, x in enumerate(xml)], S.RAW_FEED)
+    got = feed_entries(raw).filter("feed_ord = 0").orderBy("pos")
+    assert tuples(got.select("title", "link", "description", "pubDate")) == [row for _, row in ENTRIES[:n]]
+    assert {r.feed_title for r in got.collect()} <= {"berita"}
+    assert [r.feed_url for r in feed_rejects(raw).collect()] == ["u2"]
+    counts = {r.feed_url: (r.judul_feed, r.jumlah_artikel) for r in feed_summaries(raw).collect()}
+    assert counts["u0"] == ("berita", n) and counts["u1"] == ("t", 1)
+
+
 def test_indented_array_needs_multi_line(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"kode_kota": "JKT"}, {"kode_kota": "SBY"}], indent=4))
     assert weather_files(spark, str(tmp_path), multi_line=True).count() == 2
