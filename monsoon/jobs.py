@@ -21,7 +21,7 @@ from monsoon.sinks.bus import answer_messages, news_messages, publish
 from monsoon.sinks.results import curate_stream, display, print_rows, write_json
 from monsoon.sources.bus import heads, message_lines, message_rejects, messages, once, peek, read_topic
 from monsoon.sources.feeds import feed_entries, feed_rejects, landed_feeds_stream
-from monsoon.sources.inventory import inventory, stored_files
+from monsoon.sources.inventory import count_stream, counted_files, inventory, stored_files, with_counts
 from monsoon.sources.weather import (
     curated_weather,
     landed_responses_stream,
@@ -203,8 +203,14 @@ def run_peek(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_files(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = weather_files(spark, args.path)
-    print_rows(inventory(stored_files(spark, args.path), rows).orderBy("path"))
+    files = stored_files(spark, args.path)
+    if args.counts:
+        records = weather_records_stream(spark, args.path, args.max_files)
+        count_stream(records, args.counts).awaitTermination()
+        found = with_counts(files, counted_files(spark, args.counts))
+    else:
+        found = inventory(files, weather_files(spark, args.path))
+    print_rows(found.orderBy("path"))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -247,7 +253,9 @@ def parser() -> argparse.ArgumentParser:
     look = command("peek", run_peek, bus=True)
     look.add_argument("--topic", choices=TOPICS, required=True)
     look.add_argument("-n", type=int, default=S.PEEK_MESSAGES)
-    command("files", run_files, "path")
+    files = command("files", run_files, "path")
+    files.add_argument("--counts", help="where rows per file are kept, so that only new files are read")
+    files.add_argument("--max-files", type=int, help="most files counted in a batch")
     return top
 
 

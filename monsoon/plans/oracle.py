@@ -265,6 +265,11 @@ FROM w
 """
 
 
+INVENTORY = f"""
+WITH {W} SELECT TRUE AS ada_file, TRUE AS lengkap, COUNT(*) AS jumlah_event FROM w
+"""
+
+
 def statements() -> dict[str, str]:
     events = f"WITH {W} SELECT event_id, {S1} FROM w"
     return {
@@ -331,9 +336,8 @@ def statements() -> dict[str, str]:
         "stored_document": DOCUMENT,
         "stored_current": current("temperature", "humidity", "wind_speed", "weather_code"),
         "stored_news": f"WITH {N} SELECT {S2} FROM f ORDER BY doc_id DESC LIMIT 10",
-        "file_inventory": f"""
-            WITH {W} SELECT TRUE AS ada_file, TRUE AS lengkap,
-              COUNT(*) AS jumlah_event FROM w""",
+        "file_inventory": INVENTORY,
+        "file_inventory_kept": INVENTORY,
         "weather_rejected": f"""
             WITH {W} SELECT '{{"event_id":' || event_id || ', "kode_kota' AS isi
             FROM w WHERE "timestamp" = 'garbage'""",

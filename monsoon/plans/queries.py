@@ -25,7 +25,7 @@ from monsoon.sinks.bus import answer_messages, identified, news_messages, publis
 from monsoon.sinks.results import curate_stream, write_json
 from monsoon.sources.bus import message_rejects, messages, once, peek, read_topic
 from monsoon.sources.feeds import feed_entries, feed_rejects, feed_summaries
-from monsoon.sources.inventory import inventory, stored_files
+from monsoon.sources.inventory import count_stream, counted_files, inventory, stored_files, with_counts
 from monsoon.sources.weather import (
     curated_weather,
     weather_files,
@@ -199,14 +199,30 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "json")
     write_json(tables.observations(spark, sf_dir), path)
     files = stored_files(spark, path).filter(~F.col("path").like("%/_SUCCESS"))
+    return _inventory_summary(inventory(files, weather_files(spark, path)))
+
+
+def _inventory_summary(listed: DataFrame) -> DataFrame:
     sized = (F.col("length") > 0) & F.col("modificationTime").isNotNull()
-    return inventory(files, weather_files(spark, path)).agg(
+    return listed.agg(
         (F.count(F.lit(1)) > 0).alias("ada_file"),
         F.coalesce(F.bool_and(sized | (F.col("jumlah_event") == 0)), F.lit(True)).alias("lengkap"),
         F.coalesce(F.sum("jumlah_event"), F.lit(0)).alias("jumlah_event"),
     )
 
 
+def file_inventory_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of files that came in two parts and were counted as they came."""
+    path = scratch(spark, "kept")
+    events = tables.observations(spark, sf_dir)
+    for rest in range(2):
+        events.filter(F.col("event_id") % 2 == rest).write.mode("append").json(f"{path}/json")
+        records = weather_records_stream(spark, f"{path}/json")
+        count_stream(records, f"{path}/counts").awaitTermination()
+    files = stored_files(spark, f"{path}/json").filter(~F.col("path").like("%/_SUCCESS"))
+    return _inventory_summary(with_counts(files, counted_files(spark, f"{path}/counts")))
+
+
 # Most records in a document over several lines.
 IN_DOCUMENT = 5000
 
@@ -478,6 +494,7 @@ def registry() -> dict[str, Query]:
         "article_bus_roundtrip": article_bus_roundtrip,
         "results_json_roundtrip": results_json_roundtrip,
         "file_inventory": file_inventory,
+        "file_inventory_kept": file_inventory_kept,
         "mixed_layouts": mixed_layouts,
         "mixed_layouts_curated": mixed_layouts_curated,
         "weather_rejected": weather_rejected,

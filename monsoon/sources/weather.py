@@ -75,24 +75,36 @@ def count_refused() -> Column:
     return F.count_if(_unreadable())
 
 
-def indented_files(records: DataFrame) -> list[str]:
-    """Files, read by line, that are one document over several lines.
+def lines_per_file(records: DataFrame) -> DataFrame:
+    """Records, beginnings of documents and other lines of each file read by line.
 
-    Such a file begins one document, goes on for several lines and has no line that is a
-    record. Rows are counted per file, so a large file sends a row per task. Names of the
-    files found come to the driver, which has every file's name from listing the folder.
+    Rows are counted within each task first, so a large file sends a row per task.
     """
     begins = F.col(S.CORRUPT).rlike(r"^[\[{]")
     more = F.btrim(F.col(S.CORRUPT), F.lit(BLANKS)) != ""
-    counts = records.groupBy("path").agg(
+    return records.groupBy("path").agg(
         F.count_if(~_unreadable()).alias("records"),
         F.count_if(_unreadable() & begins).alias("documents"),
         F.count_if(_unreadable() & ~begins & more).alias("inner"),
     )
+
+
+def indented_of(counts: DataFrame) -> list[str]:
+    """Files that are one document over several lines: such a file begins one document, goes
+    on for several lines and has no line that is a record.
+
+    Names of the files found come to the driver, which has every file's name from listing
+    the folder.
+    """
     found = counts.filter("records = 0 AND documents = 1 AND inner > 1")
     return [row.path for row in found.select("path").collect()]
 
 
+def indented_files(records: DataFrame) -> list[str]:
+    """Files, read by line, that are one document over several lines."""
+    return indented_of(lines_per_file(records))
+
+
 def weather_of_any_layout(
     spark: SparkSession, path: str, extra: T.StructType = T.StructType()
 ) -> tuple[DataFrame, DataFrame]:

@@ -15,6 +15,7 @@ ONE_ROW = {
     "dashboard_document",
     "stored_document",
     "file_inventory",
+    "file_inventory_kept",
 }
 
 

@@ -11,6 +11,7 @@ from test_sources import FULL, answers
 
 from monsoon import jobs
 from monsoon import schemas as S
+from monsoon.sources.inventory import counted_files
 from monsoon.sources.weather import curated_weather, weather_files
 
 
@@ -99,6 +100,37 @@ def test_all_files_are_listed(spark, tmp_path, capsys):
     assert [x.split("\t")[-1] for x in lines] == [str(i + 1) for i in range(25)]
 
 
+def test_files_counted_before_are_not_read_again(spark, tmp_path, capsys):
+    """Lines, arrays, documents over several lines, broken and blank files, in two parts."""
+    data, counts = tmp_path / "api", tmp_path / "counts"
+    data.mkdir()
+
+    def listed():
+        capsys.readouterr()
+        run(spark, "files", data, "--counts", counts)
+        lines = [x.split("\t") for x in capsys.readouterr().out.splitlines() if ".json" in x]
+        return {x[0].rsplit("/", 1)[1]: int(x[-1]) for x in lines}
+
+    one = {"kode_kota": "JKT"}
+    (data / "a.json").write_text(json.dumps(one) + "\n" + json.dumps(one))
+    (data / "b.json").write_text(json.dumps([one] * 3, indent=4))
+    (data / "c.json").write_text("\n")
+    assert listed() == {"a.json": 2, "b.json": 3, "c.json": 0}
+    (data / "d.json").write_text(json.dumps([one] * 4))
+    (data / "e.json").write_text('{"kode_kota":')
+    found = {"a.json": 2, "b.json": 3, "c.json": 0, "d.json": 4, "e.json": 0}
+    assert listed() == found
+    # The second run took the new files only, and a third takes none.
+    kept = counted_files(spark, str(counts))
+    assert kept.count() == len({r.path for r in kept.collect()})
+    assert sorted(p.name for p in counts.glob("batch=*")) == ["batch=0", "batch=1"]
+    assert {r.path.rsplit("/", 1)[1] for r in spark.read.parquet(str(counts / "batch=1")).collect()} == {"d.json", "e.json"}
+    assert listed() == found
+    assert not (counts / "batch=2").exists()
+    (data / "a.json").unlink()
+    assert listed() == {k: v for k, v in found.items() if k != "a.json"}
+
+
 def test_a_wrong_layout_stops_the_job(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"kode_kota":"JKT"}\n{"kode_kota":"SBY"}\n')
     with pytest.raises(SystemExit, match="several documents"):
