@@ -8,7 +8,8 @@ Equal payloads are one response and revisits that refer to it.
 The reader takes whole files, plain or gzip, as one member or as many. A record that fails
 a check (version line, headers, length, end of record, payload digest) or a member that
 fails to unpack is not trusted: the reader looks for the next version line or the next
-member that unpacks, goes on from there, and reports the bytes between as a gap.
+member that unpacks, goes on from there, and reports the bytes between as a gap, with their
+range in the file. Lines end in CR LF, as the format says; a file of other line ends is a gap.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monsoon.llm.common import spread_join, table
+from monsoon.llm.common import spread_join, table, written
 from monsoon.session import scratch
 
 # Fixed values of the format.
@@ -29,16 +30,21 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MEMBER = b"\x1f\x8b\x08"
 MARK = b"WARC/1."
+BLANK_LINE = b"\r\n\r\n"
 
 PAGE_URN = "urn:page:"
 DATE = "2026-01-01T00:00:00Z"
 RECORDS_PER_FILE = 2_000
 STEP = 1 << 16
+# What a task can hold of one file as one value.
+LARGEST_FILE = (1 << 31) - (1 << 20)
 
 RECORD = (
-    "file string, start long, length long, problem string, record_type string, record_id string, "
-    "target_uri string, payload_digest string, refers_to string, payload_bytes long, payload binary"
+    "file string, start long, length long, file_start long, file_length long, problem string, "
+    "record_type string, record_id string, target_uri string, payload_digest string, "
+    "refers_to string, payload_bytes long, payload binary"
 )
+GAP = ["file", "file_start", "file_length", "start", "length", "problem"]
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
@@ -157,8 +163,9 @@ def write_archives(
     ).text(path)
 
 
-def unpacked(data: bytes) -> Iterator[tuple[int, bytes, str | None]]:
-    """(offset, bytes, problem) of each gzip member, and of each gap between members.
+def unpacked(data: bytes) -> Iterator[tuple[int, int, bytes, str | None]]:
+    """(offset, length in the file, bytes, problem) of each gzip member, and of each gap
+    between members.
 
     What a broken member gave before it broke comes as bytes of its own, ahead of the gap. A
     file that does not begin with a member is one piece as it is if no member is found. If
@@ -174,17 +181,17 @@ def unpacked(data: bytes) -> Iterator[tuple[int, bytes, str | None]]:
         at = _member(data, 0)
     plain = at < 0
     if 0 <= line < at:
-        lost = at + sum(len(piece) for _, piece, problem in _members(data, at) if problem)
+        lost = at + sum(size for _, size, _, problem in _members(data, at) if problem)
         plain = sum(r["length"] for r in salvaged(data) if r.get("problem")) < lost
     if plain:
-        yield 0, data, None
+        yield 0, len(data), data, None
         return
     if at:
-        yield 0, data[:at], "member: no beginning"
+        yield 0, at, data[:at], "member: no beginning"
     yield from _members(data, at)
 
 
-def _members(data: bytes, at: int) -> Iterator[tuple[int, bytes, str | None]]:
+def _members(data: bytes, at: int) -> Iterator[tuple[int, int, bytes, str | None]]:
     import zlib
 
     view = memoryview(data)
@@ -200,14 +207,15 @@ def _members(data: bytes, at: int) -> Iterator[tuple[int, bytes, str | None]]:
         except zlib.error as error:
             problem = f"member: {error}"
             out = [_decoded(view[at : read + STEP])]
-        if out and (problem is None or any(out)):
-            yield at, b"".join(out), None
         if problem is None:
-            at = min(read, len(data)) - len(member.unused_data)
-            continue
-        nearest = _member(data, at + 1)
-        stop = nearest if nearest >= 0 else len(data)
-        yield at, data[at:stop], problem
+            stop = min(read, len(data)) - len(member.unused_data)
+        else:
+            nearest = _member(data, at + 1)
+            stop = nearest if nearest >= 0 else len(data)
+        if out and (problem is None or any(out)):
+            yield at, stop - at, b"".join(out), None
+        if problem is not None:
+            yield at, stop - at, data[at:stop], problem
         at = stop
 
 
@@ -244,17 +252,24 @@ def _begins(data: bytes, at: int, start: bytes) -> bool:
 
 
 def salvaged(data: bytes) -> Iterator[dict]:
-    """The records of plain WARC bytes, and with ``problem`` set, the gaps between them."""
+    """The records of plain WARC bytes, and with ``problem`` set, the gaps between them.
+
+    Places of blank lines are looked for once, so that bytes full of version lines take a
+    time in proportion to their length.
+    """
     import base64
     import hashlib
 
-    at, gap, why = 0, None, ""
+    at, gap, why, blank = 0, None, "", -1
 
     def lost(start, stop):
         return {"start": start, "length": stop - start, "problem": why}
 
     while at < len(data):
-        record, problem = _record(data, at)
+        if blank < at:
+            found = data.find(BLANK_LINE, at)
+            blank = found if found >= 0 else len(data)
+        record, problem = _record(data, at, blank)
         if record is not None and record["payload"] is not None and record["digest_kind"] == "sha1":
             digest = base64.b32encode(hashlib.sha1(record["payload"]).digest()).decode()
             if record["payload_digest"].upper() != digest:
@@ -275,12 +290,13 @@ def salvaged(data: bytes) -> Iterator[dict]:
         yield lost(gap, len(data))
 
 
-def _record(data: bytes, at: int) -> tuple[dict | None, str]:
-    """The record that begins there, or what is wrong with it."""
+def _record(data: bytes, at: int, stop: int) -> tuple[dict | None, str]:
+    """The record that begins there, or what is wrong with it; ``stop`` is where the next
+    blank line is, or the end of the data."""
     if not data.startswith(MARK, at):
         return None, "version line"
-    stop = data.find(b"\r\n\r\n", at)
-    if stop < 0:
+    # A version line ahead of the blank line begins another record.
+    if stop == len(data) or data.find(b"\n" + MARK, at, stop) >= 0:
         return None, "headers"
     lines = data[at:stop].split(b"\r\n")[1:]
     if any(b":" not in line for line in lines):
@@ -329,13 +345,14 @@ def _record(data: bytes, at: int) -> tuple[dict | None, str]:
 
 def recovered(data: bytes) -> Iterator[dict]:
     """Records and gaps of one file; places in a packed file are those of the members."""
-    for offset, piece, problem in unpacked(data):
+    for offset, size, piece, problem in unpacked(data):
+        own = {"start": offset, "file_start": offset, "file_length": size}
         if problem:
-            yield {"start": offset, "length": len(piece), "problem": problem}
+            yield own | {"length": size, "problem": problem}
         else:
             packed = piece is not data
             for row in salvaged(piece):
-                yield row | {"start": offset if packed else row["start"]}
+                yield row | (own if packed else {"file_start": row["start"], "file_length": row["length"]})
 
 
 def _reader(with_payload: bool):
@@ -365,14 +382,41 @@ def _reader(with_payload: bool):
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """Records and gaps of all archives under the path; a gap has ``problem`` set.
 
-    A row gives file, start (in a packed file, of the member) and length, and for records
+    A row gives file, start (in a packed file, of the member) and length, file_start and
+    file_length (the range in the file, of a packed one that of the member), and for records
     type, id, target, digest, the id referred to and the full payload's size. A task reads
     whole files, together no more than spark.sql.files.maxPartitionBytes unless a single one
-    is larger; the writer bounds its files. Empty files give no rows.
+    is larger; the writer bounds its files. Empty files give no rows. A file of LARGEST_FILE
+    bytes or more is one gap, since no task can hold it.
     """
     run, schema = _reader(payload)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(run, schema)
+    small = F.col("length") < LARGEST_FILE
+    read = files.filter(small).select("path", "content").mapInArrow(run, schema)
+    return read.unionByName(_too_large(files.filter(~small)), allowMissingColumns=True)
+
+
+def _too_large(files: DataFrame) -> DataFrame:
+    none = F.lit(0).cast("long")
+    return files.select(
+        F.col("path").alias("file"),
+        none.alias("start"),
+        "length",
+        none.alias("file_start"),
+        F.col("length").alias("file_length"),
+        F.lit("file: too large").alias("problem"),
+    )
+
+
+def salvage(spark: SparkSession, path: str, log: str) -> DataFrame:
+    """All records under the path, without payloads; the gaps go to ``log``, a JSON line each.
+
+    Archives are read once: what was found is written to the scratch folder. A log that is
+    there already is replaced; without gaps it is empty.
+    """
+    found = written(read_archives(spark, path, payload=False).drop("payload"), "salvaged")
+    found.filter("problem IS NOT NULL").select(*GAP).write.mode("overwrite").json(log)
+    return found.filter("problem IS NULL")
 
 
 def page_records(read: DataFrame) -> DataFrame:
@@ -391,6 +435,11 @@ def page_records(read: DataFrame) -> DataFrame:
 
 
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to packed archives and read back; see ``with_revisits`` for ties.
+
+    A null html is an empty payload. Repeated rows are each a record; a page without page_id
+    comes back without. Other columns are ignored. An empty table gives no rows.
+    """
     path = scratch(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path, compression="gzip")
-    return page_records(read_archives(spark, path, payload=False))
+    return page_records(salvage(spark, path, f"{path}-gaps"))

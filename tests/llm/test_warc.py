@@ -6,6 +6,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -215,3 +216,42 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(spark.createDataFrame([], SCHEMA), path)
     assert warc.read_archives(spark, path).collect() == []
+
+
+@pytest.mark.parametrize("end", [b"\n", b"\r\n"])
+def test_time_grows_with_length(end):
+    """Version lines without a blank line after them, or with one at the very end only."""
+    lines = (b"WARC/1.1" + end + b"WARC-Type: response" + end) * 200_000
+    for data in (lines, lines + b"\r\n\r\n"):
+        began = time.process_time()
+        [gap] = warc.recovered(data)
+        assert time.process_time() - began < 10
+        assert (gap["start"], gap["length"], gap["problem"]) == (0, len(data), "headers")
+    good = record(3, b"kept")
+    found = list(warc.recovered(lines + good))
+    assert ids(found) == ["3"] and found[0]["file_length"] == len(lines)
+
+
+@pytest.mark.parametrize("compression", [None, "gzip"])
+def test_gaps_are_logged_with_their_range(spark, tmp_path, monkeypatch, compression):
+    """What the log names of a file holds the damage; all else is recovered."""
+    path, log = tmp_path / "archives", str(tmp_path / "log")
+    df = spark.createDataFrame([(i, "u", f"page {i} " * 50) for i in range(12)], SCHEMA).coalesce(1)
+    warc.write_archives(df, str(path), compression=compression)
+    assert warc.salvage(spark, str(path), log).count() == 12
+    assert spark.read.text(log).count() == 0
+    [file] = [f for f in path.glob("part-*") if f.stat().st_size]
+    data = file.read_bytes()
+    hurt = list(warc.recovered(data))[4]
+    at = hurt["file_start"] + hurt["file_length"] - 20
+    file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    file.write_bytes(data[:at] + bytes([data[at] ^ 0xFF]) + data[at + 1 :])
+    left = {r.record_id for r in warc.salvage(spark, str(path), log).collect()}
+    assert len(left) == 11 and hurt["record_id"] not in left
+    gaps = spark.read.json(log).collect()
+    assert gaps and {r.file.rsplit("/", 1)[1] for r in gaps} == {file.name}
+    assert all(r.problem and hurt["file_start"] <= r.file_start <= at < r.file_start + r.file_length for r in gaps)
+    monkeypatch.setattr(warc, "LARGEST_FILE", len(data) - 1)
+    assert warc.salvage(spark, str(path), log).count() == 0
+    [gap] = spark.read.json(log).collect()
+    assert (gap.file_start, gap.file_length, gap.problem) == (0, len(data), "file: too large")
