@@ -21,6 +21,8 @@ from monsoon.llm.common import table
 
 SLOTS_LOG2 = 13
 PER_LANGUAGE = 400
+# Into how many parts a language is dealt while its sample is taken, step by step.
+PARTS = (1024, 16, 1)
 CENTROIDS = 4
 ROUNDS = 12
 REJECT_QUANTILE = 0.005
@@ -137,9 +139,11 @@ def fitted(
     # One row per text: copies lie side by side in the order and would fill the sample. Only
     # hashes are shuffled, and of the texts those of the sample.
     hashed = labelled.select("lang", "text", F.xxhash64("text").alias("hash"))
-    sample = W.partitionBy("lang").orderBy("hash")
-    few = hashed.select("lang", "hash").distinct().withColumn("n", F.row_number().over(sample))
-    few = few.filter(F.col("n") <= per_language).drop("n")
+    few = hashed.select("lang", "hash").distinct()
+    # The least hashes of a language are among the least of each of its parts.
+    for parts in PARTS:
+        least = W.partitionBy("lang", F.pmod("hash", F.lit(parts))).orderBy("hash")
+        few = few.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= per_language).drop("n")
     chosen = hashed.join(F.broadcast(few), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
 
     def cluster(pdf):

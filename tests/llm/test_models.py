@@ -70,6 +70,17 @@ def test_copies_do_not_fill_the_sample(spark):
     assert len(np.unique(centres.round(4), axis=0)) == language.CENTROIDS
 
 
+@pytest.mark.parametrize("parts", [(1,), (7, 3, 1)])
+def test_the_sample_is_the_least_hashes(spark, monkeypatch, parts):
+    """However a language is dealt, the same texts are taken of it."""
+    texts = [(("aa", "bb")[i % 3 == 0], f"{'xyz'[i % 3]}{chr(97 + i % 26)} {chr(97 + i // 26)}q") for i in range(300)]
+    df = spark.createDataFrame(texts, "lang string, text string")
+    whole = language.fitted(df, per_language=20)
+    monkeypatch.setattr(language, "PARTS", parts)
+    again = language.fitted(df, per_language=20)
+    assert whole[1] == again[1] and np.allclose(whole[2], again[2])
+
+
 def test_document_frequencies(spark):
     texts = ["abc abc", "abc", "xyz"]
     idf = language.inverse_frequencies(spark.createDataFrame([(t,) for t in texts], "text string"))
