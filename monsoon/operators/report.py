@@ -168,6 +168,10 @@ def insights(rows: DataFrame) -> DataFrame:
     )
 
 
+# Most report rows in one document.
+MOST_LISTED = 100_000
+
+
 def _records(eligible: Column, order: list[Column], fields: list[str]) -> Column:
     """Rows as an ordered list of records."""
     keyed = F.struct(F.struct(*order).alias("k"), F.struct(*fields).alias("r"))
@@ -179,10 +183,13 @@ def _records(eligible: Column, order: list[Column], fields: list[str]) -> Column
 def dashboard_document(rows: DataFrame, pretty: bool = False) -> DataFrame:
     """The three results as one JSON document, one row.
 
-    Only report rows are listed, one per city and one per hour. For results of any other
-    size use the JSON directories, which are written by as many tasks as needed.
+    Only report rows are listed, one per city and one per hour. City codes are free text, so
+    there may be any number: beyond MOST_LISTED rows the job fails, having brought no more
+    than that together. For results of any size use the JSON directories, which are written
+    by as many tasks as needed.
     """
-    body = rows.agg(
+    body = rows.limit(MOST_LISTED + 1).agg(
+        F.count(F.lit(1)).alias("n"),
         _records(
             _city_row(),
             [F.col("suhu_avg").isNull(), -F.col("suhu_avg"), F.col("kode_kota")],
@@ -196,6 +203,6 @@ def dashboard_document(rows: DataFrame, pretty: bool = False) -> DataFrame:
         _records(_hour_row(), [F.col("jam")], ["jam", "suhu_avg", "jumlah_event"]).alias("tren_jam"),
     )
     options = {**KEEP_NULLS, "pretty": str(pretty).lower()}
-    return body.select(
-        F.to_json(F.struct("suhu_kota", "ekstrem", "tren_jam"), options).alias("dokumen")
-    )
+    document = F.to_json(F.struct("suhu_kota", "ekstrem", "tren_jam"), options)
+    refusal = F.raise_error(F.lit(f"the dashboard document lists at most {MOST_LISTED} rows; use the JSON directories"))
+    return body.select(F.when(F.col("n") <= MOST_LISTED, document).otherwise(refusal).alias("dokumen"))

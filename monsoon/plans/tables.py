@@ -130,10 +130,6 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_candidates(read(spark, sf_dir, "documents"))
 
 
-def candidates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_candidates(read_stream(spark, sf_dir, "documents"))
-
-
 def _polled(entries: DataFrame, *columns: str | Column) -> DataFrame:
     """Entries listed by poll and feed, at most DOCS_PER_POLL, and the feed's number."""
     entry = F.struct("doc_id", F.struct(*columns).alias("e"))

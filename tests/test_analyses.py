@@ -6,6 +6,7 @@ import json
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
@@ -112,6 +113,16 @@ def test_dashboard_document(weather):
     ]
 
 
+def test_dashboard_document_of_too_many_rows(weather, monkeypatch):
+    rows = R.report_rows(weather)
+    n = rows.count()
+    monkeypatch.setattr(R, "MOST_LISTED", n)
+    assert len(tuples(R.dashboard_document(rows))) == 1
+    monkeypatch.setattr(R, "MOST_LISTED", n - 1)
+    with pytest.raises(Exception, match=f"at most {n - 1} rows"):
+        R.dashboard_document(rows).collect()
+
+
 def test_dashboard_document_without_data(no_weather):
     [(text,)] = tuples(R.dashboard_document(R.report_rows(no_weather), pretty=True))
     assert json.loads(text) == {"suhu_kota": [], "ekstrem": [], "tren_jam": []}
