@@ -224,7 +224,8 @@ def fitted(
     """Words and models from at most ``sample`` labelled documents, taken by a hash of the id.
 
     A document labelled more than once is in a category if any of its labels says so; a null
-    label says nothing.
+    label says nothing. Of documents with one id the one whose list of words comes first is
+    learned from, so that reruns agree. Ids may be of any type.
     """
     import numpy as np
 
@@ -243,10 +244,12 @@ def fitted(
     # At most ``sample`` ids and labels are broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     words = vocabulary(rows, names)
+    kind = rows.schema["doc_id"].dataType.simpleString()
     found = (
-        rows.select(F.col("doc_id").cast("long"), "labels", "text")
-        .mapInArrow(_features(words), "doc_id long, labels int, words array<int>")
-        .dropDuplicates(["doc_id"])
+        rows.select("doc_id", "labels", "text")
+        .mapInArrow(_features(words), f"doc_id {kind}, labels int, words array<int>")
+        .groupBy("doc_id")
+        .agg(F.min("labels").alias("labels"), F.min("words").alias("words"))
         .toPandas()
         .sort_values("doc_id")
     )

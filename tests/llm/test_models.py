@@ -186,6 +186,38 @@ def test_toxicity_of_held_out_documents(spark, documents, labels):
         assert all(0 <= r[f"p_{c}"] <= 1 for c in toxicity.CATEGORIES)
 
 
+def test_toxicity_categories_of_held_out_labels(spark):
+    """Of the larger tables, since the small ones hold back six toxic documents only.
+
+    ``toxic_junk`` has too few documents to be held to a figure; the README gives it.
+    """
+    large = os.path.join(os.path.dirname(SF), "sf0.1")
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{large}/labels.parquet").collect()}
+    held = [r for r in toxicity.toxicity_query(spark, large).collect() if r.held_out and r.doc_id in labels]
+    for name, least in (("toxic", 0.9), ("toxic_junk", None), ("toxic_clean", 0.9)):
+        quality = {"toxic": (0, 1), "toxic_junk": (0,), "toxic_clean": (1,)}[name]
+        known = np.array([labels[r.doc_id].toxic == 1 and labels[r.doc_id].quality in quality for r in held])
+        p = np.array([r[f"p_{name}"] for r in held])
+        inside, outside = p[known][:, None], p[~known]
+        area = np.mean((inside > outside) + 0.5 * (inside == outside))
+        print(name, known.sum(), len(held), round(float(area), 4))
+        assert least is None or (known.sum() > 50 and area >= least)
+
+
+def test_documents_with_one_id_are_learned_from_alike(spark):
+    """Ids are texts, several documents have one, and rows come in any order."""
+    texts = ["you idiot out there", "you out there on a nice day"]
+    rows = [(f"id-{i}", texts[i % 2]) for i in range(60)] + [(f"id-{i}", "quite another text there") for i in range(0, 60, 3)]
+    labels = spark.createDataFrame([(f"id-{i}", 1, 1 - i % 2) for i in range(60)], "doc_id string, quality int, toxic int")
+    found = []
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "doc_id string, text string").repartition(3)
+        words, models = toxicity.fitted(df, labels)
+        assert "idiot" in words
+        found.append((words, [m.tolist() for m in models]))
+    assert found[0] == found[1]
+
+
 def test_beginnings_of_words():
     text = "Achlichen, achlichte! ab"
     assert toxicity.features_of(text) >= {"achlichen", "ach*", "achlich*", "achlichte", "ab"}
