@@ -16,7 +16,7 @@ from monsoon.operators import report as R
 from monsoon.operators.articles import as_articles
 from monsoon.operators.observations import checked_responses
 from monsoon.plans.analyse import analyse
-from monsoon.session import ROCKSDB, session, using, widen_for
+from monsoon.session import session, stateful, using, widen_for
 from monsoon.sinks.bus import answer_messages, news_messages, publish
 from monsoon.sinks.results import curate_stream, display, print_rows, write_json
 from monsoon.sources.bus import heads, message_lines, message_rejects, messages, once, peek, read_topic
@@ -110,7 +110,7 @@ def store_topic(spark, topic, path, bus, servers, checkpoint, trigger, most, rep
     """A broker may hold messages twice; the file-backed bus only where asked for."""
     read = read_topic(spark, topic, bus, servers, stream=True, max_per_trigger=most)
     events = messages(once(read) if servers or repeats else read, TOPICS[topic])
-    with using(spark, ROCKSDB):
+    with using(spark, stateful(spark)):
         return store_stream(events, path, checkpoint, trigger, f"Store-{topic}")
 
 

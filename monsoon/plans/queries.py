@@ -20,7 +20,7 @@ from monsoon.operators.current import current_conditions
 from monsoon.operators.history import LinkHistory
 from monsoon.plans import tables
 from monsoon.plans.analyse import CITIES, CURRENT, DOCUMENT, NEWS, analyse
-from monsoon.session import ROCKSDB, scratch, using
+from monsoon.session import scratch, stateful, using
 from monsoon.sinks.bus import answer_messages, identified, news_messages, publish, to_messages, weather_messages
 from monsoon.sinks.results import curate_stream, write_json
 from monsoon.sources.bus import message_rejects, messages, once, peek, read_topic
@@ -319,12 +319,21 @@ def stored_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams, drained -----------------------------------------------------------
 
 
+def _pieces(df: DataFrame, number: str) -> list[DataFrame]:
+    """The rows in PIECES by their number, each row in one of them. Ranges of the number are
+    pushed to the files, so that a piece is read without the others."""
+    n = F.col(number)
+    top = (df.agg(F.max(number)).first()[0] or 0) + 1
+    bounds = [-(-piece * top // PIECES) for piece in range(1, PIECES)]
+    inner = [(n >= low) & (n < high) for low, high in zip(bounds, bounds[1:])]
+    own = [n.isNull() | (n < bounds[0]), *inner, n >= bounds[-1]]
+    return [df.filter(rows) for rows in own]
+
+
 def _landed_in_pieces(df: DataFrame, number: str, path: str, run: Callable[[], None]) -> None:
     """Land the rows in PIECES by their number, and run after each."""
-    top = df.agg(F.coalesce(F.max(number), F.lit(0)) + 1).scalar()
-    for piece in range(PIECES):
-        own = F.floor(F.col(number) * PIECES / top) == piece
-        df.filter(own).write.mode("append").parquet(path)
+    for piece in _pieces(df, number):
+        piece.write.mode("append").parquet(path)
         run()
 
 
@@ -375,7 +384,7 @@ def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             publish(read_topic(spark, S.TOPIC_WEATHER, f"{path}/bus"), f"{path}/bus", part=copy)
         bus = once(read_topic(spark, S.TOPIC_WEATHER, f"{path}/bus", stream=True))
-        with using(spark, ROCKSDB):
+        with using(spark, stateful(spark)):
             store_stream(messages(bus, EVENT), f"{path}/api", f"{path}/checkpoint", DRAIN).awaitTermination()
     return weather_files(spark, f"{path}/api", extra=EVENT_ID)
 

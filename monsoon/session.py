@@ -46,6 +46,11 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# A stream's state lies in so many partitions: what the first setting says, or as many as there
+# are cores, though not under the least, nor more than the session's shuffles have.
+STATE_PARTITIONS, SHUFFLE_PARTITIONS = "spark.monsoon.state.partitions", "spark.sql.shuffle.partitions"
+LEAST_STATE_PARTITIONS = 32
+
 _local_roots: dict[str, str] = {}
 
 
@@ -93,6 +98,19 @@ def first_partitions(size: int) -> int:
     return max(LEAST_PARTITIONS, math.ceil(size / PARTITION_BYTES))
 
 
+def stateful(spark: SparkSession) -> dict[str, str]:
+    """The settings to start a stream with state under.
+
+    Every batch opens and commits each partition of the state, be it empty, and deals what is
+    new in each to as many partitions again. So their number follows the cores, not the input.
+    A stream that has a checkpoint keeps the number it began with.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    shuffled = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    own = spark.conf.get(STATE_PARTITIONS, None) or min(shuffled, max(LEAST_STATE_PARTITIONS, cores))
+    return {**ROCKSDB, SHUFFLE_PARTITIONS: str(own)}
+
+
 @contextmanager
 def using(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply session settings for the duration of a block."""

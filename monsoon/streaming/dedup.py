@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from monsoon.operators.articles import with_link
-from monsoon.session import ADAPTIVE, ROCKSDB, stream_id, using
+from monsoon.session import ADAPTIVE, stateful, stream_id, using
 from monsoon.streaming.monitor import counted
 from monsoon.streaming.triggers import POLL_NEWS
 
@@ -78,7 +78,7 @@ def first_seen_stream(
                 new = spark.read.schema(batch.schema).parquet(own)
                 forward(new, f"{stream_id(spark, checkpoint)}-{batch_id}")
 
-    with using(articles.sparkSession, ROCKSDB):
+    with using(articles.sparkSession, stateful(articles.sparkSession)):
         writer = counted(newly_seen(articles, order, within)).writeStream.outputMode("update")
         if name:
             writer = writer.queryName(name)

@@ -9,7 +9,7 @@ import sys
 import pytest
 from conftest import ROOT
 
-from monsoon.session import CLUSTER, first_partitions, matches, scratch, settle, using, widen
+from monsoon.session import CLUSTER, first_partitions, matches, scratch, settle, stateful, using, widen
 
 
 def test_scratch_follows_the_shared_folder(spark):
@@ -69,6 +69,16 @@ def test_using_restores(spark):
     assert spark.conf.get("spark.monsoon.test", None) is None
 
 
+def test_state_partitions_follow_the_cores(spark):
+    shuffled, own = "spark.sql.shuffle.partitions", "spark.monsoon.state.partitions"
+    least = max(32, spark.sparkContext.defaultParallelism)
+    for asked, given in ((4, 4), (600, least), (6000, least)):
+        with using(spark, {shuffled: str(asked)}):
+            assert stateful(spark)[shuffled] == str(given)
+    with using(spark, {own: "48"}):
+        assert stateful(spark)[shuffled] == "48"
+
+
 def test_settled_results_have_no_lineage(spark):
     df = settle(spark.range(10).selectExpr("id % 3 AS k").groupBy("k").count())
     assert sorted(tuple(r) for r in df.collect()) == [(0, 4), (1, 3), (2, 3)]

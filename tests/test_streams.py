@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 
 import pytest
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from monsoon import schemas as S
 from monsoon.operators import articles as N
+from monsoon.plans.queries import _pieces
+from monsoon.session import using
 from monsoon.sinks.bus import identified, news_messages, publish, weather_messages
 from monsoon.sources.bus import messages, once, read_topic
 from monsoon.sources.weather import weather_files
@@ -86,6 +89,35 @@ def test_first_seen_batch_equals_stream(spark, tmp_path, at_once):
     assert spark.read.parquet(str(out)).count() == len(FIRST)
 
 
+def test_state_does_not_grow_with_the_shuffles(spark, tmp_path):
+    """A restart keeps the partitions of the state, whatever the session says by then."""
+    landed, out = tmp_path / "in", tmp_path / "out"
+    for poll, shuffled in zip(POLLS, ("48", "3", "48", "3")):
+        land(landed, poll)
+        with using(spark, {"spark.sql.shuffle.partitions": shuffled}):
+            first_seen_stream(stream_of(spark, landed), str(out), ORDER, triggers.DRAIN).awaitTermination()
+    assert stored(spark, out) == FIRST
+    kept = [path for path in (out / "_checkpoint" / "state" / "0").iterdir() if path.name.isdigit()]
+    assert len(kept) == max(32, spark.sparkContext.defaultParallelism)
+
+
+@pytest.mark.parametrize("numbers", [range(23), [0], [], [-7, -2, None, 3], [-7, -2], [None], [2**63 - 1, 0]])
+def test_every_row_is_in_one_piece(spark, numbers):
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    pieces = [[r.n for r in piece.collect()] for piece in _pieces(df, "n")]
+    assert sorted(map(str, sum(pieces, []))) == sorted(map(str, numbers))
+    if numbers and all(n is not None and n >= 0 for n in numbers):
+        top = max(numbers) + 1
+        assert all(n * len(pieces) // top == k for k, own in enumerate(pieces) for n in own)
+
+
+def test_a_piece_is_read_without_the_others(spark, tmp_path):
+    spark.range(1000).withColumnRenamed("id", "n").write.parquet(f"{tmp_path}/t")
+    for piece in _pieces(spark.read.parquet(f"{tmp_path}/t"), "n"):
+        plan = piece._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PushedFilters: \[.*(LessThan|GreaterThanOrEqual)\(n,\d+\)", plan)
+
+
 def hot_feed(tmp_path, polls=6, rows=600):
     """A third of the rows of every poll carry one link; the others repeat in turn."""
     landed, first = tmp_path / "in", {}
